@@ -110,7 +110,7 @@ def source_inventory(spark: SparkSession, root: str) -> DataFrame:
     Only names are listed on the driver; rows are counted by Spark, all sources in one job.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    below_root = F.regexp_extract("path", F.lit(f"{root.rstrip('/')}/([^/]+)"), 1)
+    below_root = F.regexp_extract("path", rf"\Q{root.rstrip('/')}/\E([^/]+)", 1)
     entries = [r[0] for r in files.select(below_root.alias("entry")).distinct().orderBy("entry").collect()]
     reports = []
     for entry in entries:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradeloom.operators.columns import all_string, normalize_columns
+from tradeloom.operators.keys import all_of, any_of
 from tradeloom.session import new_folder
 
 # Namespaces of the three layers.
@@ -91,47 +93,58 @@ class Warehouse:
 
     def replace_slice(
         self, df: DataFrame, layer: str, table: str, slice_columns: Sequence[str], slices: Sequence[Mapping[str, str]]
-    ) -> None:
+    ) -> list[int]:
         """Replace the named slices of a partitioned table; other slices are untouched.
 
         A dynamic overwrite replaces each partition that has new rows. It leaves
         a partition without new rows alone, so slices that came back empty are
-        dropped by name. Running it again changes nothing.
+        dropped by name. Running it again changes nothing. Returns the rows per
+        slice, as counted by the write.
         """
         target = self.name(layer, table)
-        existing = self.exists(layer, table)
-        named = any_slice(slices)
-        ordered = df.select(*[c for c in df.columns if c not in slice_columns], *slice_columns)
-        if existing:
-            ordered = ordered.select(*self.table(layer, table).columns)
-            (
-                ordered.where(named)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .insertInto(target)
-            )
-        else:
-            ordered.where(named).write.partitionBy(*slice_columns).format("parquet").saveAsTable(target)
-        filled = {
-            tuple(r) for r in ordered.where(named).select(*slice_columns).distinct().collect()
-        }  # one row per named slice
-        for s in slices:
-            if tuple(s[c] for c in slice_columns) not in filled and existing:
+        seen = Observation()
+        wanted = df.where(any_slice(slices)).observe(
+            seen, *[F.count_if(in_slice(s)).alias(f"slice{i}") for i, s in enumerate(slices)]
+        )
+        if not self.exists(layer, table):
+            self.ensure_table(layer, table, slices_last(df.schema, slice_columns), slice_columns)
+        with dynamic_overwrite(self.spark):
+            wanted.select(*self.table(layer, table).columns).write.mode("overwrite").insertInto(target)
+        counts = [seen.get[f"slice{i}"] for i in range(len(slices))]
+        for s, rows in zip(slices, counts):
+            if rows == 0:
                 values = ", ".join(f"{c} = '{_quoted(s[c])}'" for c in slice_columns)
                 self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({values})")
         self.spark.catalog.refreshTable(target)
+        return counts
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession):
+    """Overwrite only the partitions that get rows; the session's setting is put back."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def slices_last(schema: StructType, slice_columns: Sequence[str]) -> StructType:
+    """The schema with its partition columns at the end, in the given order."""
+    own = [f for f in schema.fields if f.name not in slice_columns]
+    return StructType(own + [schema[c] for c in slice_columns])
 
 
 def _quoted(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def any_slice(slices: Sequence[Mapping[str, str]]):
+def in_slice(one: Mapping[str, str]) -> Column:
+    return all_of([F.col(column) == value for column, value in one.items()])
+
+
+def any_slice(slices: Sequence[Mapping[str, str]]) -> Column:
     """Rows that belong to one of the slices."""
-    matches = F.lit(False)
-    for s in slices:
-        one = F.lit(True)
-        for column, value in s.items():
-            one = one & (F.col(column) == value)
-        matches = matches | one
-    return matches
+    return any_of([in_slice(s) for s in slices]) if slices else F.lit(False)
