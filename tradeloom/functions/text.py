@@ -45,7 +45,7 @@ def sentinel_to_null(c: Column | str) -> Column:
 
 def is_valid_key(c: Column | str) -> Column:
     """True for a key that is present and is not one of the sentinel words."""
-    return F.coalesce(~F.lower(F.trim(_col(c))).isin(*KEY_SENTINELS), F.lit(False))
+    return _col(c).isNotNull() & ~F.lower(F.trim(_col(c))).isin(*KEY_SENTINELS)
 
 
 def is_missing_key(c: Column | str) -> Column:

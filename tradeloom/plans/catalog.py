@@ -6,9 +6,9 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.plans.gold import GOLD_MODELS
+from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS
 from tradeloom.plans.silver import SILVER_MODELS
-from tradeloom.sources.warehouse import Warehouse
+from tradeloom.sources.warehouse import Warehouse, by_month
 
 MODELS = {**SILVER_MODELS, **GOLD_MODELS}
 
@@ -38,7 +38,8 @@ class Catalog(Mapping[str, DataFrame]):
         if name not in self._stored:
             path = f"{self._folder}/{name}"
             frame = self.plan(name)
-            frame.write.mode("overwrite").parquet(path)
+            laid_out = by_month(frame, FACT_DATES[name]) if name in FACT_DATES else frame
+            laid_out.write.mode("overwrite").parquet(path)
             self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
         return self._stored[name]
 
@@ -79,5 +80,5 @@ def build(warehouse: Warehouse, models: list[str] | None = None) -> StoredTables
     tables = StoredTables(warehouse)
     for name in models or MODELS:
         layer, table = StoredTables._place(name)
-        warehouse.materialize(MODELS[name](tables), layer, table)
+        warehouse.materialize(MODELS[name](tables), layer, table, FACT_DATES.get(name))
     return tables

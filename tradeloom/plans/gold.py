@@ -237,6 +237,9 @@ def mart_distributor_performance(src: Tables) -> DataFrame:
     )
 
 
+# The date each order-line fact is read by.
+FACT_DATES = {"fact_sales": "order_date", "fact_returns": "return_date", "fact_distributor_orders": "order_date"}
+
 # In build order: the channel dimension reads the sales fact.
 GOLD_MODELS = {
     "dim_date": dim_date,

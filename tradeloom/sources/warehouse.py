@@ -72,15 +72,15 @@ class Warehouse:
         """Append to Bronze: normalised names, text cells, one timestamp."""
         return self.append(all_string(normalize_columns(df)), "raw", table)
 
-    def materialize(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Replace a table by the rows of ``df``.
+    def materialize(self, df: DataFrame, layer: str, table: str, date: str | None = None) -> DataFrame:
+        """Replace a table by the rows of ``df``, laid out by ``date`` if given.
 
         The rows go to a new folder and the table is pointed at it once they are
         all written, so a failed job leaves the old table as it was and a model
         may read the table it replaces.
         """
         folder = new_folder(self.spark, f"{self.namespace(layer)}-{table}")
-        df.write.parquet(folder)
+        (by_month(df, date) if date else df).write.parquet(folder)
         target = self.name(layer, table)
         fresh = self.spark.read.parquet(folder)
         if self.exists(layer, table) and self.table(layer, table).schema == fresh.schema:
@@ -137,6 +137,16 @@ def slices_last(schema: StructType, slice_columns: Sequence[str]) -> StructType:
     return StructType(own + [schema[c] for c in slice_columns])
 
 
+def by_month(df: DataFrame, date: str) -> DataFrame:
+    """Rows of a month written together and in date order, so that a date range skips most files.
+
+    The months are rebalanced, not hashed: adaptive execution splits a month that
+    is too large for one task and puts small ones together.
+    """
+    month = F.trunc(df[date], "month")
+    return df.withColumn("_month", month).hint("rebalance", "_month").sortWithinPartitions(date).drop("_month")
+
+
 def _quoted(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
 

@@ -397,9 +397,9 @@ _sales = ", ".join(SOURCES["sales_transactions"].columns)
 SQL["src_csv_roundtrip"] = f"SELECT * REPLACE (NULLIF(employee_id, '') AS employee_id) FROM (SELECT {_sales} FROM raw_sales_transactions)"
 SQL["src_sheet_select"] = "SELECT * FROM plan_sheets WHERE sheet_name = 'Plan_v2_Adjustment_H2'"
 SQL["src_sheets_skip"] = "SELECT * FROM plan_sheets WHERE sheet_name <> 'summary'"
-SQL["src_dispatch"] = """SELECT 'delimited' AS source, count(*) AS row_count FROM raw_customer_master
-    UNION ALL SELECT 'columnar', count(*) FROM raw_product_master
-    UNION ALL SELECT 'first sheet', count(*) FROM plan_sheets WHERE sheet_name = 'Plan_v1_Original'"""
+SQL["src_dispatch"] = """SELECT 'SRC03_customer_master.csv' AS source, count(*) AS row_count FROM raw_customer_master
+    UNION ALL SELECT 'SRC04_product_master.PARQUET', count(*) FROM raw_product_master
+    UNION ALL SELECT 'SRC02_sales_target_plan.sheets', count(*) FROM plan_sheets WHERE sheet_name = 'Plan_v1_Original'"""
 SQL["date_spine"] = """
     SELECT date_day, count(o_orderkey) AS orders
     FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS date_day FROM orders)
@@ -418,9 +418,12 @@ SQL["ingest_log_rows"] = " UNION ALL ".join(
     '{s}' AS status, {str(s == 'FAILED').lower()} AS has_message, true AS finished_after_start, true AS has_duration, true AS has_batch_id"""
     for t, f, n, s in _loads
 )
+_headers = {t: ", ".join(SOURCES[t].columns) for t in SOURCES}
 SQL["source_inventory"] = f"""
     SELECT 'SRC01_sales_transactions.csv' AS source_file, 'OK' AS status, count(*) AS row_count, '{_sales}' AS columns FROM raw_sales_transactions
-    UNION ALL SELECT 'SRC03_customer_master.csv', 'OK', count(*), '{', '.join(SOURCES['customer_master'].columns)}' FROM raw_customer_master
+    UNION ALL SELECT 'SRC03_customer_master.csv', 'OK', count(*), '{_headers['customer_master']}' FROM raw_customer_master
+    UNION ALL SELECT 'SRC04_product_master.PARQUET', 'OK', count(*), '{_headers['product_master']}' FROM raw_product_master
+    UNION ALL SELECT 'SRC02_sales_target_plan.sheets', 'OK', count(*), '{_headers['sales_target_plan']}' FROM raw_sales_target_plan
     UNION ALL SELECT 'notes.txt', 'FAILED', NULL, NULL"""
 SQL["bronze_load_sales"] = f"""
     SELECT {_sales}, 'SRC01_sales_transactions.csv' AS _source_file, 'local' AS _source_platform

@@ -32,12 +32,22 @@ def query(fn: Query) -> Query:
 
 
 class BoundCatalog(Catalog):
-    """A catalog over the order-processing tables of one folder."""
+    """A catalog over the order-processing tables of one folder, and raw files landed from it."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.bindings = Bindings(spark, folder)
+        self.landing = new_folder(spark, "landing")
+        self._landed: set[str] = set()
         super().__init__(spark, self.bindings.sources(), new_folder(spark, "tables"))
 
+    def landed(self, name: str) -> str:
+        """Path of a raw source file, written on first use."""
+        path = f"{self.landing}/{name}"
+        if name not in self._landed:
+            LANDED[name](self, path)
+            self._landed.add(name)
+        return path
+
 
 def catalog(spark: SparkSession, folder: str) -> BoundCatalog:
     """One catalog per application and folder, so each table is stored once."""
@@ -64,24 +74,32 @@ def new_warehouse(cat: Catalog) -> Warehouse:
     return warehouse
 
 
-def land_csv(df: DataFrame, folder: str, name: str) -> str:
-    path = f"{folder}/{name}.csv"
+def source_columns(cat: Catalog, table: str) -> DataFrame:
+    """A raw source without lineage, as the file would hold it."""
+    return cat[f"raw.{table}"].select(*SOURCES[table].columns)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.option("header", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
-    return path
 
 
-def land_sheets(df: DataFrame, folder: str, name: str) -> str:
-    path = f"{folder}/{name}.sheets"
+def write_sheets(df: DataFrame, path: str) -> None:
     df.write.partitionBy("sheet_name").parquet(path)
-    return path
 
 
-def source_columns(cat: Catalog, table: str) -> DataFrame:
-    """A raw source without lineage, as the file would hold it."""
-    return cat[f"raw.{table}"].select(*SOURCES[table].columns)
+SALES_FILE, CUSTOMER_FILE = "SRC01_sales_transactions.csv", "SRC03_customer_master.csv"
+PLAN_FILE, PRODUCT_FILE, NOTES_FILE = "SRC02_sales_target_plan.sheets", "SRC04_product_master.PARQUET", "notes.txt"
+
+LANDED = {
+    SALES_FILE: lambda cat, path: write_csv(source_columns(cat, "sales_transactions"), path),
+    CUSTOMER_FILE: lambda cat, path: write_csv(source_columns(cat, "customer_master"), path),
+    PLAN_FILE: lambda cat, path: write_sheets(cat.bindings.plan_sheets(), path),
+    PRODUCT_FILE: lambda cat, path: source_columns(cat, "product_master").write.parquet(path),
+    NOTES_FILE: lambda cat, path: cat.bindings.table("region").select("r_name").write.text(path),
+}
 
 
 # --- sources -----------------------------------------------------------------
@@ -89,32 +107,24 @@ def source_columns(cat: Catalog, table: str) -> DataFrame:
 
 @query
 def src_csv_roundtrip(cat):
-    path = land_csv(source_columns(cat, "sales_transactions"), new_folder(cat.spark, "land"), "SRC01")
-    return columns.missing_cells_to_null(readers.read_delimited(cat.spark, path))
+    return columns.missing_cells_to_null(readers.read_delimited(cat.spark, cat.landed(SALES_FILE)))
 
 
 @query
 def src_sheet_select(cat):
-    path = land_sheets(cat.bindings.plan_sheets(), new_folder(cat.spark, "land"), "SRC02")
-    return readers.read_sheet(cat.spark, path, "Plan_v2_Adjustment_H2")
+    return readers.read_sheet(cat.spark, cat.landed(PLAN_FILE), "Plan_v2_Adjustment_H2")
 
 
 @query
 def src_sheets_skip(cat):
-    path = land_sheets(cat.bindings.plan_sheets(), new_folder(cat.spark, "land"), "SRC02")
-    return readers.read_sheets(cat.spark, path)
+    return readers.read_sheets(cat.spark, cat.landed(PLAN_FILE))
 
 
 @query
 def src_dispatch(cat):
-    folder = new_folder(cat.spark, "land")
-    paths = {
-        "delimited": land_csv(source_columns(cat, "customer_master"), folder, "SRC03"),
-        "first sheet": land_sheets(cat.bindings.plan_sheets(), folder, "SRC02"),
-        "columnar": f"{folder}/SRC04.PARQUET",
-    }
-    source_columns(cat, "product_master").write.parquet(paths["columnar"])
-    return readers.row_counts({k: readers.read_source(cat.spark, p) for k, p in paths.items()}, "source")
+    """Rows of a source in each format, the first sheet of a sheet set."""
+    files = (CUSTOMER_FILE, PLAN_FILE, PRODUCT_FILE)
+    return readers.row_counts({f: readers.read_source(cat.spark, cat.landed(f)) for f in files}, "source")
 
 
 @query
@@ -136,15 +146,13 @@ def bronze_row_counts(cat):
 
 def _ingested(cat) -> Warehouse:
     """Sales and customers loaded; the product file is missing."""
-    warehouse, folder = new_warehouse(cat), new_folder(cat.spark, "land")
-    ingest.ingest_all(
-        warehouse,
-        {
-            "sales_transactions": land_csv(source_columns(cat, "sales_transactions"), folder, "SRC01_sales_transactions"),
-            "customer_master": land_csv(source_columns(cat, "customer_master"), folder, "SRC03_customer_master"),
-            "product_master": f"{folder}/SRC04_product_master.csv",
-        },
-    )
+    warehouse = new_warehouse(cat)
+    paths = {
+        "sales_transactions": cat.landed(SALES_FILE),
+        "customer_master": cat.landed(CUSTOMER_FILE),
+        "product_master": f"{cat.landing}/SRC04_product_master.csv",
+    }
+    ingest.ingest_all(warehouse, paths)
     return warehouse
 
 
@@ -168,11 +176,10 @@ def ingest_log_rows(cat):
 
 @query
 def source_inventory(cat):
-    folder = new_folder(cat.spark, "land")
-    land_csv(source_columns(cat, "sales_transactions"), folder, "SRC01_sales_transactions")
-    land_csv(source_columns(cat, "customer_master"), folder, "SRC03_customer_master")
-    cat.bindings.table("region").select("r_name").write.text(f"{folder}/notes.txt")
-    return readers.source_inventory(cat.spark, folder).select("source_file", "status", "row_count", "columns")
+    """Every landed file, one of them unreadable."""
+    for name in LANDED:
+        cat.landed(name)
+    return readers.source_inventory(cat.spark, cat.landing).select("source_file", "status", "row_count", "columns")
 
 
 @query
@@ -233,7 +240,8 @@ def _loaded_targets(cat) -> dict[str, DataFrame]:
     """Plan sheets, one with an unusable name, loaded twice."""
     sheets = cat.bindings.plan_sheets()
     draft = sheets.where("sheet_name = 'Plan_v1_Original'").withColumn("sheet_name", F.lit("Draft"))
-    path = land_sheets(sheets.unionByName(draft), new_folder(cat.spark, "land"), "SRC02_sales_target_plan")
+    path = f"{new_folder(cat.spark, 'landing')}/{PLAN_FILE}"
+    write_sheets(sheets.unionByName(draft), path)
     warehouse = new_warehouse(cat)
     ingest.load_target_versions(warehouse, path)
     return ingest.load_target_versions(warehouse, path)
