@@ -63,7 +63,7 @@ def asof_scd(
         *[F.col(c).alias(n) for n, c in take.items()],
     ).where(F.col("_from") <= F.col("_to"))
     valid = (fact[on] == F.col("_id")) & fact[event_date].between(F.col("_from"), F.col("_to"))
-    if dim.count() <= direct_rows:
+    if direct_rows and dim.count() <= direct_rows:
         return fact.join(side, valid, "left").drop("_id", "_from", "_to")
 
     first, last = fact.agg(F.min(event_date), F.max(event_date)).first()
@@ -82,13 +82,14 @@ def asof_scd(
 
 
 def full_outer_coalesce(
-    left: DataFrame, right: DataFrame, on: Mapping[str, str], spread: int = 256
+    left: DataFrame, right: DataFrame, on: Mapping[str, str], spread: int = 8192
 ) -> DataFrame:
     """Full outer join on ``{left column: right column}``, keys coalesced.
 
-    NULL keys match nothing and survive on both sides. As they would all hash to
-    one task, rows with a NULL key get a spread value as an additional join key,
-    which is constant for all other rows.
+    Each side is an aggregate with at most one row per key. NULL keys match
+    nothing and survive on both sides. As they would all hash to one task, rows
+    with a NULL key get a spread value as an additional join key, which is
+    constant for all other rows.
     """
     def spread_nulls(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
         has_null = any_of([F.col(k).isNull() for k in keys])

@@ -18,7 +18,7 @@ def flag_latest(
     order: Sequence[str],
     identity: Sequence[str],
     flag: str = "is_latest",
-    salts: int = 256,
+    salts: int = 8192,
 ) -> DataFrame:
     """Mark the first row of each group, keeping every row.
 

@@ -46,6 +46,21 @@ FACT_FOREIGN_KEYS = {
 GOLD_COUNTED = (*DIMENSION_KEYS, *FACT_GRAINS, "mart_sales_vs_target", "mart_distributor_performance")
 
 
+# What a composite key is called in a check's name.
+KEY_PHRASES = {
+    ("employee_id", "effective_date"): "employee effective record",
+    ("territory_id", "employee_id", "customer_id", "effective_date"): "mapping",
+    ("order_id", "product_id"): "order product",
+    ("order_id", "distributor_id", "product_id"): "order distributor product",
+    PLAN_KEY: "version target",
+    PLAN_GROUP: "employee month",
+}
+
+
+def key_phrase(keys: Sequence[str]) -> str:
+    return keys[0] if len(keys) == 1 else KEY_PHRASES.get(tuple(keys), "key")
+
+
 def _check(counted: DataFrame, layer: str, test_name: str, kind: str) -> DataFrame:
     return counted.select(
         F.lit(layer).alias("layer"), F.lit(test_name).alias("test_name"), F.lit(kind).alias("kind"),
@@ -71,19 +86,24 @@ def row_count_checks(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
 def not_null_checks(layer: str, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
     return union_all(
         [
-            rule_check(layer, f"{t} key nulls", df, any_of([F.col(k).isNull() for k in keys[t]]))
+            rule_check(
+                layer, f"{t} {keys[t][0] if len(keys[t]) == 1 else 'key'} nulls", df, any_of([F.col(k).isNull() for k in keys[t]])
+            )
             for t, df in tables.items()
         ]
     )
 
 
 def unique_checks(
-    layer: str, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], what: str = "duplicate key"
+    layer: str, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], what: str | None = None
 ) -> DataFrame:
     """Number of keys held by more than one row."""
+    def repeated(df: DataFrame, t: str) -> DataFrame:
+        return duplicate_keys(df, keys[t]).agg(F.count(F.lit(1)).alias("value"))
+
     return union_all(
         [
-            _check(duplicate_keys(df, keys[t]).agg(F.count(F.lit(1)).alias("value")), layer, f"{t} {what}", FAILURES)
+            _check(repeated(df, t), layer, f"{t} duplicate {what or key_phrase(keys[t])}", FAILURES)
             for t, df in tables.items()
         ]
     )
@@ -117,7 +137,7 @@ def silver_unique(src: Tables) -> DataFrame:
 
 def one_latest(src: Tables) -> DataFrame:
     name = "stg_sales_targets_versioned"
-    return unique_checks("silver", {name: src[name].where("is_latest")}, {name: PLAN_GROUP}, "duplicate latest target")
+    return unique_checks("silver", {name: src[name].where("is_latest")}, {name: PLAN_GROUP}, "latest target")
 
 
 def gold_row_counts(src: Tables) -> DataFrame:
@@ -133,7 +153,7 @@ def dimension_unique(src: Tables) -> DataFrame:
 
 
 def fact_grain(src: Tables) -> DataFrame:
-    return unique_checks("gold", _pick(src, FACT_GRAINS), FACT_GRAINS, "duplicate grain")
+    return unique_checks("gold", _pick(src, FACT_GRAINS), FACT_GRAINS)
 
 
 def missing_keys(src: Tables) -> DataFrame:

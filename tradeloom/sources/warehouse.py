@@ -108,8 +108,10 @@ class Warehouse:
         )
         if not self.exists(layer, table):
             self.ensure_table(layer, table, slices_last(df.schema, slice_columns), slice_columns)
+        # A slice's rows are brought together so that it gets few files; a large slice is split.
+        grouped = wanted.select(*self.table(layer, table).columns).hint("rebalance", *slice_columns)
         with dynamic_overwrite(self.spark):
-            wanted.select(*self.table(layer, table).columns).write.mode("overwrite").insertInto(target)
+            grouped.write.mode("overwrite").insertInto(target)
         counts = [seen.get[f"slice{i}"] for i in range(len(slices))]
         for s, rows in zip(slices, counts):
             if rows == 0:

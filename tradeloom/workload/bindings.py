@@ -9,12 +9,12 @@ Joins are left to Spark: nothing here is broadcast by hint.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators.columns import normalize_plan
-from datetime import datetime
 
 # Days from 1995-01-01 to 2022-01-01.
 SHIFT_DAYS = 9862
@@ -36,6 +36,10 @@ def text(sql: str) -> str:
     return f"cast({sql} as string)"
 
 
+def employee(sql: str) -> str:
+    return f"concat('E', lpad({sql}, 10, '0'))"
+
+
 class Bindings:
     """Source-shaped DataFrames over the tables in one folder."""
 
@@ -112,7 +116,7 @@ class Bindings:
             "r_name as region",
             "n_name as province",
             "if(o_orderkey % 211 = 0, ' ', c_mktsegment) as channel",
-            "if(o_orderkey % 503 = 0, '', concat('E', lpad(o_custkey % 40, 3, '0'))) as employee_id",
+            f"if(o_orderkey % 503 = 0, '', {employee('o_custkey div 20')}) as employee_id",
             f"{text('l_partkey')} as product_id",
             "p_type as product_category",
             f"{text('qty')} as quantity",
@@ -185,7 +189,7 @@ class Bindings:
             f"{text('back')} as return_date",
             f"{text('month(back)')} as return_month",
             f"{text('o_custkey')} as customer_id",
-            "concat('E', lpad(o_custkey % 40, 3, '0')) as employee_id",
+            f"{employee('o_custkey div 20')} as employee_id",
             f"{text('l_partkey')} as product_id",
             "r_name as region",
             "n_name as province",
@@ -250,22 +254,22 @@ class Bindings:
             f"{text('date_add(date ' + repr('2018-01-01') + ', cast(s_suppkey % 900 as int))')} as join_date",
             f"if(s_suppkey % 53 = 0, 'nan', {text(money('s_acctbal') + ' * 60000')}) as credit_limit",
             "if(s_suppkey % 11 = 0, '', 'Active') as status",
-            "concat('E', lpad(s_suppkey % 40, 3, '0')) as assigned_supervisor_id",
+            f"{employee('s_suppkey div 20')} as assigned_supervisor_id",
             *self._lineage("06_distributor_master"),
         )
 
     def employee_master(self) -> DataFrame:
-        """Forty employees with one to three versions each, found among the customers' keys."""
-        ids = self.table("customer").selectExpr("c_custkey % 40 as n").distinct()
+        """One employee per twenty customers, with one to three versions each; some ids are unusable."""
+        ids = self.table("customer").selectExpr("c_custkey div 20 as n").distinct()
         versions = ids.withColumn(
             "v",
             F.expr("explode(filter(array(1, 2, 3), v -> v = 1 or (v = 2 and n % 2 = 0) or (v = 3 and n % 4 = 0)))"),
         )
         return versions.selectExpr(
-            "concat('E', lpad(n, 3, '0')) as employee_id",
+            f"if(n % 37 = 5, 'None', {employee('n')}) as employee_id",
             "concat('Employee ', n) as full_name",
             "if(n % 2 = 0, 'F', 'M') as gender",
-            f"{text('date_add(date ' + repr('1980-01-01') + ', cast(n * 100 as int))')} as date_of_birth",
+            f"{text('date_add(date ' + repr('1980-01-01') + ', cast(n % 7000 as int))')} as date_of_birth",
             "'2021-06-01' as join_date",
             "concat('Level ', v) as position",
             "concat('Region ', (n + v) % 5) as region",
@@ -283,7 +287,7 @@ class Bindings:
     def territory_mapping(self) -> DataFrame:
         return self.table("customer").selectExpr(
             "concat('T', lpad(c_nationkey, 2, '0')) as territory_id",
-            "concat('E', lpad(c_custkey % 40, 3, '0')) as employee_id",
+            f"{employee('c_custkey div 20')} as employee_id",
             f"if(c_custkey % 97 = 0, 'None', {text('c_custkey')}) as customer_id",
             "concat('Region ', c_nationkey % 5) as region",
             "concat('Team ', c_custkey % 4) as team",
@@ -294,21 +298,21 @@ class Bindings:
         )
 
     def promotion_program(self) -> DataFrame:
-        """One promotion per brand, with a budget from its products' prices."""
-        brands = self.table("part").groupBy("p_brand").agg(
+        """One promotion per five products, with a budget from their prices."""
+        bundles = self.table("part").groupBy(F.expr("p_partkey div 5").alias("bundle")).agg(
             F.sum(F.expr(money("p_retailprice"))).alias("value"), F.count(F.lit(1)).alias("products"),
             F.min("p_type").alias("kind"),
         )
-        return brands.selectExpr(
-            "p_brand as promotion_id",
-            "concat('Promotion ', p_brand) as promotion_name",
-            "if(products % 2 = 0, 'Discount', 'Bundle') as promotion_type",
+        return bundles.selectExpr(
+            "concat('PR', bundle) as promotion_id",
+            "concat('Promotion ', bundle) as promotion_name",
+            "if(bundle % 2 = 0, 'Discount', 'Bundle') as promotion_type",
             "'General Trade' as target_channel",
             "'' as target_region",
-            f"{text('date_add(date ' + repr('2024-01-01') + ', cast(products % 300 as int))')} as start_date",
-            f"{text('date_add(date ' + repr('2024-02-01') + ', cast(products % 300 as int))')} as end_date",
+            f"{text('date_add(date ' + repr('2024-01-01') + ', cast(bundle % 300 as int))')} as start_date",
+            f"{text('date_add(date ' + repr('2024-02-01') + ', cast(bundle % 300 as int))')} as end_date",
             "kind as applicable_products",
-            f"{text('products % 30')} as discount_pct",
+            f"{text('bundle % 30')} as discount_pct",
             f"{text('products')} as min_order_quantity",
             f"{text('value')} as budget_vnd",
             f"{text('cast(round(value * 0.9, 2) as ' + MONEY + ')')} as actual_cost_vnd",
@@ -320,15 +324,15 @@ class Bindings:
     def plan_sheets(self) -> DataFrame:
         """Plan sheets with a ``sheet_name``: an original plan, a second-half revision, a summary.
 
-        Targets come from the customers: each falls to one of 45 employees (five
-        of whom sell nothing) and one month. Each plan sheet also gets a blank
-        row, two total rows and two rows with a bad month.
+        Targets come from an employee's customers, each of whom counts for one
+        month. Each plan sheet also gets a blank row, two total rows and two rows
+        with a bad month.
         """
         cells = (
             self.table("customer")
             .selectExpr(
-                "c_custkey % 45 as n",
-                "1 + (c_custkey div 45) % 12 as m",
+                "c_custkey div 20 as n",
+                "1 + c_custkey % 12 as m",
                 f"{money('c_acctbal')} as balance",
             )
             .groupBy("n", "m")
@@ -344,13 +348,13 @@ class Bindings:
             f"if({revised}, '2024-06-20', '2023-12-15') as version_date",
             "'2024-01-01' as effective_from",
             "if(n % 7 = 0, 'nan', '2024-12-31') as effective_to",
-            "concat('E', lpad(n, 3, '0')) as employee_id",
+            f"{employee('n')} as employee_id",
             "concat('Employee ', n) as employee_name",
             "concat('Region ', n % 5) as region",
             "concat('Team ', n % 4) as team",
             "'2024' as year",
             "if(n % 9 = 0, concat(m, '.0'), cast(m as string)) as month",
-            "cast(case when n = 43 then 0 else (500000 + 10 * balance) * "
+            "cast(case when n % 11 = 7 then 0 else (500000 + 10 * balance) * "
             f"if({revised}, 1.1, 1.0) end as decimal(18,3)) as revenue",
             "50 + customers as quantity",
             "customers as new_customers",

@@ -29,7 +29,7 @@ def pad(x: str, width: int = 3) -> str:
 
 
 def emp(x: str) -> str:
-    return f"'E' || {pad(x)}"
+    return f"'E' || {pad(x, 10)}"
 
 
 def ratio(num: str, den: str, scale: int = 2, mult: int = 100) -> str:
@@ -102,7 +102,7 @@ CTE["raw_sales_transactions"] = f"""
     SELECT {varchar('l_orderkey')} AS order_id, {varchar('day')} AS order_date, {varchar('month(day)')} AS order_month,
         'Q' || quarter(day) AS order_quarter, {varchar('year(day)')} AS order_year, {varchar('o_custkey')} AS customer_id,
         r_name AS region, n_name AS province, CASE WHEN o_orderkey % 211 = 0 THEN ' ' ELSE c_mktsegment END AS channel,
-        CASE WHEN o_orderkey % 503 = 0 THEN '' ELSE {emp('o_custkey % 40')} END AS employee_id,
+        CASE WHEN o_orderkey % 503 = 0 THEN '' ELSE {emp('o_custkey // 20')} END AS employee_id,
         {varchar('l_partkey')} AS product_id, p_type AS product_category, {varchar('qty')} AS quantity,
         {ratio_text('gross', 'qty')} AS unit_price, {varchar(money('l_discount') + ' * 100')} AS discount_pct,
         {varchar('rebate')} AS discount_amount, {varchar('gross')} AS gross_amount,
@@ -135,7 +135,7 @@ CTE["raw_distributor_orders"] = f"""
 CTE["raw_return_transactions"] = f"""
     SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS return_id,
         {varchar('l_orderkey')} AS original_order_id, {varchar('back')} AS return_date, {varchar('month(back)')} AS return_month,
-        {varchar('o_custkey')} AS customer_id, {emp('o_custkey % 40')} AS employee_id, {varchar('l_partkey')} AS product_id,
+        {varchar('o_custkey')} AS customer_id, {emp('o_custkey // 20')} AS employee_id, {varchar('l_partkey')} AS product_id,
         r_name AS region, n_name AS province, {varchar('qty')} AS return_quantity, {ratio_text('gross', 'qty')} AS unit_price,
         {varchar('gross')} AS return_amount,
         CASE WHEN l_linestatus = 'F' THEN 'Damaged' ELSE 'Wrong item' END AS return_reason,
@@ -173,36 +173,36 @@ CTE["raw_distributor_master"] = f"""
         {varchar("DATE '2018-01-01' + CAST(s_suppkey % 900 AS INTEGER)")} AS join_date,
         CASE WHEN s_suppkey % 53 = 0 THEN 'nan' ELSE {varchar(money('s_acctbal') + ' * 60000')} END AS credit_limit,
         CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE 'Active' END AS status,
-        {emp('s_suppkey % 40')} AS assigned_supervisor_id, {lineage('06_distributor_master')}
+        {emp('s_suppkey // 20')} AS assigned_supervisor_id, {lineage('06_distributor_master')}
     FROM supplier LEFT JOIN places ON s_nationkey = n_nationkey"""
 
 CTE["raw_employee_master"] = f"""
-    SELECT {emp('n')} AS employee_id, 'Employee ' || n AS full_name, CASE WHEN n % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-        {varchar("DATE '1980-01-01' + CAST(n * 100 AS INTEGER)")} AS date_of_birth, '2021-06-01' AS join_date,
+    SELECT CASE WHEN n % 37 = 5 THEN 'None' ELSE {emp('n')} END AS employee_id, 'Employee ' || n AS full_name, CASE WHEN n % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+        {varchar("DATE '1980-01-01' + CAST(n % 7000 AS INTEGER)")} AS date_of_birth, '2021-06-01' AS join_date,
         'Level ' || v AS position, 'Region ' || ((n + v) % 5) AS region, 'Team ' || (n % 4) AS team,
         'e' || n || '@example.com' AS email, {pad('n', 10)} AS phone,
         CASE WHEN n % 5 = 0 THEN 'Resigned' ELSE 'Active' END AS status, 'v' || v AS version, since AS effective_date,
         CASE WHEN n % 5 = 0 THEN '2026-06-30' END AS resign_date, CASE WHEN v > 1 THEN 'transfer' ELSE '' END AS transfer_note,
         {lineage('07_employee_master')}
-    FROM (SELECT DISTINCT c_custkey % 40 AS n FROM customer)
+    FROM (SELECT DISTINCT c_custkey // 20 AS n FROM customer)
     JOIN (VALUES (1, '2022-01-01', 1), (2, '2024-01-01', 2), (3, '2025-07-01', 4)) AS steps(v, since, every) ON n % every = 0"""
 
 CTE["raw_territory_mapping"] = f"""
-    SELECT 'T' || {pad('c_nationkey', 2)} AS territory_id, {emp('c_custkey % 40')} AS employee_id,
+    SELECT 'T' || {pad('c_nationkey', 2)} AS territory_id, {emp('c_custkey // 20')} AS employee_id,
         CASE WHEN c_custkey % 97 = 0 THEN 'None' ELSE {varchar('c_custkey')} END AS customer_id,
         'Region ' || (c_nationkey % 5) AS region, 'Team ' || (c_custkey % 4) AS team, '2022-01-01' AS effective_date,
         CASE WHEN c_custkey % 13 = 0 THEN '2025-12-31' END AS expiry_date, 'v1' AS version, {lineage('08_territory_mapping')}
     FROM customer"""
 
 CTE["raw_promotion_program"] = f"""
-    SELECT p_brand AS promotion_id, 'Promotion ' || p_brand AS promotion_name,
-        CASE WHEN products % 2 = 0 THEN 'Discount' ELSE 'Bundle' END AS promotion_type, 'General Trade' AS target_channel,
-        '' AS target_region, {varchar("DATE '2024-01-01' + CAST(products % 300 AS INTEGER)")} AS start_date,
-        {varchar("DATE '2024-02-01' + CAST(products % 300 AS INTEGER)")} AS end_date, kind AS applicable_products,
-        {varchar('products % 30')} AS discount_pct, {varchar('products')} AS min_order_quantity, {varchar('value')} AS budget_vnd,
+    SELECT 'PR' || bundle AS promotion_id, 'Promotion ' || bundle AS promotion_name,
+        CASE WHEN bundle % 2 = 0 THEN 'Discount' ELSE 'Bundle' END AS promotion_type, 'General Trade' AS target_channel,
+        '' AS target_region, {varchar("DATE '2024-01-01' + CAST(bundle % 300 AS INTEGER)")} AS start_date,
+        {varchar("DATE '2024-02-01' + CAST(bundle % 300 AS INTEGER)")} AS end_date, kind AS applicable_products,
+        {varchar('bundle % 30')} AS discount_pct, {varchar('products')} AS min_order_quantity, {varchar('value')} AS budget_vnd,
         {varchar('CAST(round(CAST(value AS DECIMAL(18,2)) * 0.9, 2) AS DECIMAL(18,2))')} AS actual_cost_vnd,
         'Active' AS status, 'nan' AS created_by, {lineage('10_promotion_program')}
-    FROM (SELECT p_brand, sum({money('p_retailprice')}) AS value, count(*) AS products, min(p_type) AS kind FROM part GROUP BY p_brand)"""
+    FROM (SELECT p_partkey // 5 AS bundle, sum({money('p_retailprice')}) AS value, count(*) AS products, min(p_type) AS kind FROM part GROUP BY 1)"""
 
 CTE["plan_sheets"] = f"""
     SELECT CASE WHEN second THEN 'Adjustment' ELSE 'Original' END AS plan_version,
@@ -210,10 +210,10 @@ CTE["plan_sheets"] = f"""
         CASE WHEN n % 7 = 0 THEN 'nan' ELSE '2024-12-31' END AS effective_to, {emp('n')} AS employee_id,
         'Employee ' || n AS employee_name, 'Region ' || (n % 5) AS region, 'Team ' || (n % 4) AS team, '2024' AS year,
         m || CASE WHEN n % 9 = 0 THEN '.0' ELSE '' END AS month,
-        {varchar("CAST(CASE WHEN n = 43 THEN 0 ELSE (500000 + 10 * CAST(balance AS DECIMAL(18,2))) * CASE WHEN second THEN 1.1 ELSE 1.0 END END AS DECIMAL(18,3))")} AS target_revenue,
+        {varchar("CAST(CASE WHEN n % 11 = 7 THEN 0 ELSE (500000 + 10 * CAST(balance AS DECIMAL(18,2))) * CASE WHEN second THEN 1.1 ELSE 1.0 END END AS DECIMAL(18,3))")} AS target_revenue,
         {varchar('50 + customers')} AS target_quantity, {varchar('customers')} AS target_new_customers, sheet_name
     FROM (
-        SELECT c_custkey % 45 AS n, 1 + (c_custkey // 45) % 12 AS m, sum({money('c_acctbal')}) AS balance, count(*) AS customers
+        SELECT c_custkey // 20 AS n, 1 + c_custkey % 12 AS m, sum({money('c_acctbal')}) AS balance, count(*) AS customers
         FROM customer GROUP BY 1, 2
     )
     JOIN (VALUES ('Plan_v1_Original', 1, false), ('Plan_v2_Adjustment_H2', 7, true), ('summary', 1, false))
@@ -681,27 +681,40 @@ def counts(layer: str, tables) -> str:
     return " UNION ALL ".join(check(layer, f"{t} row count", "result", "count(*)", f"FROM {t}") for t in tables)
 
 
-def nulls(layer: str, keys, what: str = "key nulls") -> str:
+def nulls(layer: str, keys, what: str | None = None) -> str:
     return " UNION ALL ".join(
-        check(layer, f"{t} {what}", "failures", "count(*)", f"FROM {t} WHERE {' OR '.join(f'{k} IS NULL' for k in ks)}") for t, ks in keys.items()
+        check(
+            layer, f"{t} {what or (ks[0] if len(ks) == 1 else 'key') + ' nulls'}", "failures", "count(*)",
+            f"FROM {t} WHERE {' OR '.join(f'{k} IS NULL' for k in ks)}",
+        )
+        for t, ks in keys.items()
     )
 
 
-def repeated(layer: str, keys, what: str = "duplicate key", where: str = "") -> str:
+def repeated(layer: str, keys, names, where: str = "") -> str:
     return " UNION ALL ".join(
-        check(layer, f"{t} {what}", "failures", "count(*)", f"FROM (SELECT 1 FROM {t} {where} GROUP BY {', '.join(ks)} HAVING count(*) > 1)")
+        check(
+            layer, f"{t} duplicate {names.get(t, ks[0])}", "failures", "count(*)",
+            f"FROM (SELECT 1 FROM {t} {where} GROUP BY {', '.join(ks)} HAVING count(*) > 1)",
+        )
         for t, ks in keys.items()
     )
 
 
+_KEY_NAMES = {
+    "stg_employees": "employee effective record", "stg_territory_mapping": "mapping", "stg_sales_transactions": "order product",
+    "stg_distributor_orders": "order distributor product", _TARGETS: "version target", "fact_sales": "order product",
+    "fact_targets": "employee month", "fact_distributor_orders": "order distributor product",
+}
+
 SQL["dq_silver_row_counts"] = counts("silver", _SILVER_KEYS)
 SQL["dq_silver_not_null"] = nulls("silver", _SILVER_REQUIRED)
-SQL["dq_silver_unique"] = repeated("silver", _SILVER_KEYS)
-SQL["dq_one_latest"] = repeated("silver", {_TARGETS: _GRAINS["fact_targets"]}, "duplicate latest target", "WHERE is_latest")
+SQL["dq_silver_unique"] = repeated("silver", _SILVER_KEYS, _KEY_NAMES)
+SQL["dq_one_latest"] = repeated("silver", {_TARGETS: _GRAINS["fact_targets"]}, {_TARGETS: "latest target"}, "WHERE is_latest")
 SQL["dq_gold_row_counts"] = counts("gold", [*_DIM_KEYS, *_GRAINS, "mart_sales_vs_target", "mart_distributor_performance"])
 SQL["dq_dim_not_null"] = nulls("gold", _DIM_KEYS)
-SQL["dq_dim_unique"] = repeated("gold", _DIM_KEYS)
-SQL["dq_fact_grain"] = repeated("gold", _GRAINS, "duplicate grain")
+SQL["dq_dim_unique"] = repeated("gold", _DIM_KEYS, {})
+SQL["dq_fact_grain"] = repeated("gold", _GRAINS, _KEY_NAMES)
 SQL["dq_missing_keys"] = nulls("gold", _FOREIGN, "missing dimension keys")
 SQL["dq_fiscal_year"] = check(
     "gold", "dim_date fiscal year check", "failures", "count(*)",
