@@ -59,11 +59,12 @@ class TestSilver:
             assert tables[name].columns[len(expected):] == ["_source_file", "_source_platform", "_ingested_at", "_batch_id"]
 
 
-class TestCalendar:
-    @pytest.fixture(scope="class")
-    def days(self, spark):
-        return {r.date_day: r for r in gold.calendar(spark).collect()}
+@pytest.fixture(scope="module")
+def days(spark):
+    return {r.date_day: r for r in gold.calendar(spark).collect()}
+
 
+class TestCalendar:
     def test_range(self, days):
         assert len(days) == 1826 and min(days) == day("2022-01-01") and max(days) == day("2026-12-31")
 

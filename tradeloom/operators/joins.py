@@ -54,7 +54,8 @@ def asof_scd(
     interval a residual condition. Beyond ``direct_rows`` each interval is listed
     once per month it covers within the facts' date range and joined on
     (id, month) plus the interval, so an event meets only the versions of its
-    month, not all versions of a busy id.
+    month, not all versions of a busy id. The date range is one pass over the
+    facts' date column, so join intervals before other dimensions.
     """
     side = dim.select(
         F.col(on).alias("_id"),

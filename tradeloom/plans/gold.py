@@ -105,10 +105,12 @@ def dim_channels(src: Tables) -> DataFrame:
 
 def fact_sales(src: Tables) -> DataFrame:
     """Sales lines with dimension keys, cost and profit."""
-    lines = lookup(src["stg_sales_transactions"], src["dim_customers"], "customer_id", {"customer_key": "customer_key"})
+    lines = asof_scd(
+        src["stg_sales_transactions"], src["dim_employees"], "employee_id", "order_date", {"employee_key": "employee_key"}
+    )
+    lines = lookup(lines, src["dim_customers"], "customer_id", {"customer_key": "customer_key"})
     lines = lookup(lines, src["dim_products"], "product_id", {"product_key": "product_key", "_cost": "cost_price"})
     lines = date_lookup(lines, src["dim_date"], "order_date", "order_date_key")
-    lines = asof_scd(lines, src["dim_employees"], "employee_id", "order_date", {"employee_key": "employee_key"})
     cost = F.col("quantity") * F.col("_cost")
     profit = F.col("net_amount") - cost
     return lines.select(
@@ -126,10 +128,12 @@ def fact_sales(src: Tables) -> DataFrame:
 
 def fact_returns(src: Tables) -> DataFrame:
     """Returns with dimension keys and their effect on margin."""
-    rows = lookup(src["stg_return_transactions"], src["dim_customers"], "customer_id", {"customer_key": "customer_key"})
+    rows = asof_scd(
+        src["stg_return_transactions"], src["dim_employees"], "employee_id", "return_date", {"employee_key": "employee_key"}
+    )
+    rows = lookup(rows, src["dim_customers"], "customer_id", {"customer_key": "customer_key"})
     rows = lookup(rows, src["dim_products"], "product_id", {"product_key": "product_key", "_cost": "cost_price"})
     rows = date_lookup(rows, src["dim_date"], "return_date", "return_date_key")
-    rows = asof_scd(rows, src["dim_employees"], "employee_id", "return_date", {"employee_key": "employee_key"})
     cost = F.col("return_quantity") * F.col("_cost")
     return rows.select(
         "return_id", "original_order_id", "return_date_key", "customer_key", "product_key", "employee_key",
@@ -146,8 +150,8 @@ def fact_targets(src: Tables) -> DataFrame:
     rows = src["stg_sales_targets_versioned"].where("is_latest").withColumnsRenamed(
         {"effective_from": "plan_from", "effective_to": "plan_to"}
     )
-    rows = date_lookup(rows, src["dim_date"], "target_month_date", "target_date_key")
     rows = asof_scd(rows, src["dim_employees"], "employee_id", "target_month_date", {"employee_key": "employee_key"})
+    rows = date_lookup(rows, src["dim_date"], "target_month_date", "target_date_key")
     return rows.select(
         "target_date_key", "employee_key", "employee_id", "employee_name", "target_year", "target_month",
         "month_col", "target_month_date", "version_label", "version_rank", "version_date",

@@ -103,15 +103,15 @@ class Warehouse:
         """
         target = self.name(layer, table)
         seen = Observation()
-        wanted = df.where(any_slice(slices)).observe(
-            seen, *[F.count_if(in_slice(s)).alias(f"slice{i}") for i, s in enumerate(slices)]
-        )
+        per_slice = [F.count_if(in_slice(s)).alias(f"slice{i}") for i, s in enumerate(slices)]
         if not self.exists(layer, table):
             self.ensure_table(layer, table, slices_last(df.schema, slice_columns), slice_columns)
         # A slice's rows are brought together so that it gets few files; a large slice is split.
-        grouped = wanted.select(*self.table(layer, table).columns).hint("rebalance", *slice_columns)
+        grouped = df.where(any_slice(slices)).hint("rebalance", *slice_columns)
         with dynamic_overwrite(self.spark):
-            grouped.write.mode("overwrite").insertInto(target)
+            # Counted after the exchange: adaptive execution cuts off what precedes an empty one.
+            counted = grouped.select(*self.table(layer, table).columns).observe(seen, *per_slice)
+            counted.write.mode("overwrite").insertInto(target)
         counts = [seen.get[f"slice{i}"] for i in range(len(slices))]
         for s, rows in zip(slices, counts):
             if rows == 0:
