@@ -10,7 +10,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from tradeloom.session import build_session  # noqa: E402
 
-TABLES = "/root/testdata/sf0.01"
+TABLES = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="3",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, at sf0.01."""
+"""Every registered query against its SQL."""
 
 import pytest
 from compare import differences, duck

@@ -107,7 +107,9 @@ def test_hot_key_in_a_lookup_is_split(spark, no_broadcast):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
     }
+    before = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
@@ -118,8 +120,8 @@ def test_hot_key_in_a_lookup_is_split(spark, no_broadcast):
         assert "skew=true" in text or "SortMergeJoin(skew" in text
         assert looked_up.where("cost = 14").count() == 400_000 // 3 + 1 + sum(1 for i in range(7, 400_000, 5000) if i % 3)
     finally:
-        for k in settings:
-            spark.conf.unset(k)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_hot_group_of_versions_is_spread(spark):
