@@ -54,9 +54,3 @@ def day(text):
 
 def dec(text):
     return Decimal(text) if text is not None else None
-
-
-def plan_of(df):
-    """The physical plan that runs, after adaptive changes."""
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
