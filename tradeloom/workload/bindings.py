@@ -3,7 +3,7 @@
 Every source row is derived from table rows, so each source grows with the
 tables. Order dates are moved to 2022 and later. Some keys and cells are blanked,
 padded or repeated in a second batch, so that cleaning has something to do.
-Joins are left to Spark: nothing here is broadcast by hint.
+Nothing here is broadcast by hint.
 """
 
 from __future__ import annotations
@@ -84,8 +84,12 @@ class Bindings:
         return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
 
     def _lines(self) -> DataFrame:
-        """Order lines with their order, with shifted dates."""
-        lines, orders = self.table("lineitem"), self.table("orders")
+        """Order lines with their order, with shifted dates.
+
+        Both sides grow with the data, so they are always sort-merged; this also
+        spreads the lines of a file that only one task can read.
+        """
+        lines, orders = self.table("lineitem"), self.table("orders").hint("merge")
         return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).withColumns(
             {
                 "day": F.date_add(F.col("o_orderdate").cast("date"), SHIFT_DAYS),
