@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.llm.chat import format_conversations, read_back
 from tradeloom.llm.decontam import contamination
 from tradeloom.llm.minhash import near_duplicates
 from tradeloom.llm.packing import pack_documents
 from tradeloom.llm.runtime import table
 from tradeloom.llm.token_counts import count_tokens
+from tradeloom.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +34,20 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    probe = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(table(spark, sf_dir, "conversations").select(*columns).unionByName(added)))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = write_archives(table(spark, sf_dir, "pages"))
+    return read_archives(written, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,3 +64,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+SQL["op5_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS digest FROM p),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS winner FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> winner THEN winner END AS refers_to
+FROM w
+"""
