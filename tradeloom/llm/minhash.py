@@ -5,8 +5,8 @@ band hashes puts it in a bucket. Candidate pairs are first those of a bucket's
 members with its smallest member, so a bucket of n texts gives n - 1 pairs and
 not n squared. Buckets that still hold more than one component after these
 links are searched in blocks, and only pairs between components whose
-signatures come near the similarity are kept. Every link is confirmed on the
-full shingle sets.
+signatures come near the similarity are compared. Every link is confirmed on
+the full shingle sets.
 
 A pair at similarity 0.8 is missed by all 32 bands of 5 minima with probability
 3e-6, and by the signature filter, five standard deviations below, with 3e-7.
@@ -34,8 +34,8 @@ _draw = np.random.default_rng(20)
 MULTIPLIERS = _draw.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADDENDS = _draw.integers(0, 2**63, MINIMA, dtype=np.uint64)
 MEMO_WORDS = 300_000
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 2_000
+#: Members of a bucket, and shingles of these, that one task compares with as many others.
+BLOCK, BLOCK_SHINGLES = 2_000, 4_000_000
 #: Members that are verified against one copy of their hub's set.
 HUB_MEMBERS = 4_000
 
@@ -181,19 +181,63 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     return stored(grouped.mapInArrow(run, "u long, v long").distinct(), "links")
 
 
-def _bucket_pairs(least: float):
-    """Within a block pair of one bucket: pairs between components whose signatures come near enough."""
+def _near(part: pd.DataFrame, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Within a block pair of one bucket: each member with those of other components whose signatures come near enough.
+
+    A pair that shares several buckets is met in that of its first band alone.
+    """
+    signed = np.frombuffer(b"".join(part["bytes"]), np.uint8).reshape(-1, MINIMA)
+    bands = np.stack(part["bands"].to_numpy())
+    rep, comp, mine = (part[c].to_numpy() for c in ("rep", "comp", "mine"))
+    i, j, pos = (part[c].iloc[0] for c in ("i", "j", "pos"))
+    left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+    for a in left:
+        others = right[(comp[right] != comp[a]) & ((i != j) | (rep[right] < rep[a]))]
+        others = others[(signed[others] == signed[a]).mean(axis=1) >= least]
+        others = others[(bands[others] == bands[a]).argmax(axis=1) == pos]
+        if len(others):
+            yield a, others
+
+
+def _with_partners(least: float):
+    """The members that have a near enough partner in this block pair: no more rows than members."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        wanted = np.zeros(len(part), bool)
+        for a, others in _near(part, least):
+            wanted[a] = wanted[others] = True
+        return part[wanted]
+
+    return run
+
+
+def _links_within(least: float, size: int, percent: int):
+    """Links between components within a block pair, on full sets; of links that join the same components, one."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(part["bytes"]), np.uint8).reshape(-1, MINIMA)
-        rep, comp, mine = (part[c].to_numpy() for c in ("rep", "comp", "mine"))
-        i, j = part["i"].iloc[0], part["j"].iloc[0]
-        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        sets = [shingle_set(t, size) for t in part["text"]]
+        rep, comp = part["rep"].to_numpy(), part["comp"].to_numpy()
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
         found = []
-        for a in left:
-            others = right[(comp[right] != comp[a]) & ((i != j) | (rep[right] < rep[a]))]
-            share = (sig[others] == sig[a]).mean(axis=1)
-            found.extend((max(rep[a], rep[b]), min(rep[a], rep[b])) for b in others[share >= least])
+        for a, others in _near(part, least):
+            others = [b for b in others.tolist() if find(comp[b]) != find(comp[a])]
+            if not others:
+                continue
+            own, sizes = sets[a], np.array([len(sets[b]) for b in others])
+            values = np.concatenate([sets[b] for b in others])
+            at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            common = np.add.reduceat((own[at] == values).astype(np.int64), np.cumsum([0, *sizes[:-1]]))
+            for b, linked in zip(others, 100 * common >= percent * (len(own) + sizes - common), strict=True):
+                if linked and find(comp[b]) != find(comp[a]):
+                    root[find(comp[b])] = find(comp[a])
+                    found.append((max(rep[a], rep[b]), min(rep[a], rep[b])))
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return run
@@ -214,11 +258,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     classes = part.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     members = stored(part.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").select("doc_id", "n_shingles", "rep"), "members")
     heads = members.where("doc_id = rep").select("rep").distinct()
-    reps = stored(part.select("doc_id", "bands", "bytes").join(heads, F.col("doc_id") == F.col("rep")).drop("doc_id").dropDuplicates(["rep", "bands"]), "representatives")
+    reps = stored(part.select("doc_id", "n_shingles", "bands", "bytes").join(heads, F.col("doc_id") == F.col("rep")).drop("doc_id").dropDuplicates(["rep", "bands"]), "representatives")
 
-    banded = reps.select("rep", F.explode("bands").alias("band"))
+    banded = reps.select("rep", "n_shingles", F.posexplode("bands").alias("pos", "band"))
     buckets = stored(banded.groupBy("band").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    in_bucket = stored(banded.join(buckets, "band").select("band", "rep", "hub", "n"), "bucket-members")
+    in_bucket = stored(banded.join(buckets, "band").select("band", "pos", "rep", "n_shingles", "hub", "n"), "bucket-members")
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / MINIMA) ** 0.5
 
     signed = reps.select("rep", "bytes")
@@ -237,23 +281,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         links.append(verify(docs, apart, size, percent))
         found = components(links[0].unionByName(links[1]))
 
-    named = in_bucket.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    mixed = named.where("n > 2").groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("held")).where("low != high")
-    mixed = mixed.select("band", F.ceil(F.col("held") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    placed = named.join(mixed, "band").join(signed, "rep").select("band", "rep", "comp", "bytes", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("mine"))
+    named = in_bucket.where("n > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    weight = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")
+    mixed = named.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), weight).where("low != high")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = placed.select("*", other).select("band", "rep", "comp", "bytes", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    rest = placed.groupBy("band", "i", "j").applyInPandas(_bucket_pairs(least), "u long, v long").distinct()
-    rest = stored(rest.join(candidates.select("u", "v"), ["u", "v"], "left_anti"), "rest")
+    placed = named.join(mixed, "band").select("band", "pos", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("mine"), other)
+    placed = placed.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("other").join(reps.select("rep", "bands", "bytes"), "rep")
+    schema = "band long, pos int, rep long, comp long, mine int, i int, j int, bands array<long>, bytes binary"
+    placed = placed.select(*[f.split()[0] for f in schema.split(", ")])
+    rest = stored(placed.groupBy("band", "i", "j").applyInPandas(_with_partners(least), schema), "rest")
     if not rest.isEmpty():
-        # The most alike partners were their hubs; of these, one for each text joins most that is left to join.
-        first = rest.groupBy("u").agg(F.min("v").alias("v"))
-        links.append(verify(docs, first, size, percent))
+        texts = docs.select(F.col("doc_id").alias("rep"), utf8(F.col("text")).alias("text")).join(rest.select("rep").distinct(), "rep")
+        links.append(stored(rest.join(texts, "rep").groupBy("band", "i", "j").applyInPandas(_links_within(least, size, percent), "u long, v long"), "links"))
         found = components(_united(links))
-        apart = stored(_apart(rest.join(first, ["u", "v"], "left_anti"), found), "apart")
-        if not apart.isEmpty():
-            links.append(verify(docs, apart, size, percent))
-            found = components(_united(links))
 
     linked = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     alone = prints.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
