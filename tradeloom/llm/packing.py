@@ -11,6 +11,7 @@ their unfilled bins to a common pool that is dealt and packed again.
 from __future__ import annotations
 
 import functools
+import struct
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.bytebpe import Units, added_tokens, tokenizer
+from tradeloom.llm.bytebpe import Units, added_tokens, unit_encoder
 from tradeloom.llm.runtime import ship, stored
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,8 +32,8 @@ PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 @functools.lru_cache(maxsize=2)
 def unit_ids(name: str) -> Units:
-    t = tokenizer(name)
-    return Units(lambda unit: np.asarray(t.encode(unit, add_special_tokens=False).ids, "<u4").tobytes(), added_tokens(name))
+    encode = unit_encoder(name)
+    return Units(lambda unit: struct.pack(f"<{len(ids := encode(unit))}I", *ids), added_tokens(name))
 
 
 def cut(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_name: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

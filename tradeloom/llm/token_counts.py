@@ -11,42 +11,27 @@ import functools
 from collections.abc import Iterator
 
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.bytebpe import Units, added_tokens, tokenizer
+from tradeloom.llm.bytebpe import PRETOKENS, SAME_CLASSES, Units, added_tokens, pretoken_encoder, tokenizer
 from tradeloom.llm.runtime import ship
 
 TOKENIZER = "byte_bpe_50k.json"
-# Fixed value: the pattern by which the tokenizer cuts a text into pre-tokens.
-PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Up to here both regex libraries hold the same characters for letters, digits and white space (tests compare them).
-SAME_CLASSES = regex.compile("[\x00-ɏ]*")
-
-
-@functools.lru_cache(maxsize=2)
-def whole_tokens(name: str) -> frozenset[str]:
-    """The vocabulary's strings that are one pre-token and encode alone as one token."""
-    t = tokenizer(name)
-    vocabulary = t.get_vocab()
-    texts = {i: t.decode([i], skip_special_tokens=False) for i in vocabulary.values()}
-    proved = t.encode_batch(list(texts.values()), add_special_tokens=False)
-    return frozenset(
-        text for (i, text), e in zip(texts.items(), proved, strict=True) if e.ids == [i] and SAME_CLASSES.fullmatch(text) and PRETOKENS.fullmatch(text)
-    )
 
 
 @functools.lru_cache(maxsize=2)
 def unit_counts(name: str) -> Units:
-    whole, t, added = whole_tokens(name), tokenizer(name), added_tokens(name)
+    """Tokens of each unit: one for each pre-token proved to be a token, the others' by merging."""
+    t, added = tokenizer(name), added_tokens(name)
+    whole, merged = pretoken_encoder(name)
 
     def count(unit: str) -> int:
         if unit in whole:
             return 1
         if not SAME_CLASSES.fullmatch(unit) or any(a in unit for a in added):
             return len(t.encode(unit, add_special_tokens=False).ids)
-        return sum(1 if p in whole else len(t.encode(p, add_special_tokens=False).ids) for p in PRETOKENS.findall(unit))
+        return sum(1 if p in whole else len(merged(p)) for p in PRETOKENS.findall(unit))
 
     return Units(count, added)
 
