@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.chat import format_conversations, read_back
@@ -13,6 +13,7 @@ from tradeloom.llm.minhash import near_duplicates
 from tradeloom.llm.packing import pack_documents
 from tradeloom.llm.runtime import table
 from tradeloom.llm.token_counts import count_tokens
+from tradeloom.llm import toxicity
 from tradeloom.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,19 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(written, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def held_out() -> Column:
+    """The fold that no model learns from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
+    lexicon = toxicity.learn(toxicity.labelled_sample(docs, labels))
+    return toxicity.score(docs, lexicon).select("doc_id", held_out().alias("held_out"), "score", "predicted", "matched")
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
