@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.llm import langid, toxicity
 from tradeloom.llm.chat import format_conversations, read_back
 from tradeloom.llm.decontam import contamination
 from tradeloom.llm.minhash import near_duplicates
 from tradeloom.llm.packing import pack_documents
 from tradeloom.llm.runtime import table
 from tradeloom.llm.token_counts import count_tokens
-from tradeloom.llm import toxicity
 from tradeloom.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    languages = langid.learn(docs.where(~held_out()).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), languages).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
