@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import langid, toxicity
+from tradeloom.llm import langid, pii, toxicity
 from tradeloom.llm.chat import format_conversations, read_back
 from tradeloom.llm.decontam import contamination
 from tradeloom.llm.minhash import near_duplicates
@@ -82,6 +82,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), languages).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.detect(docs, pii.learn(docs))
+
+
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
