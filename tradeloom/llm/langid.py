@@ -172,6 +172,20 @@ def identify(docs: DataFrame, languages: Languages, id_col: str = "doc_id", text
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, languages: Languages, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is identified as one of the languages."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared, key, place = spark.sparkContext.broadcast(languages), uuid.uuid4().hex, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parses = _parses(key, shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([bool(parses.total(t.as_py() or "")[-1]) for t in batch.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _made: dict[str, Parses] = {}
 
 

@@ -301,6 +301,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     return every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of one document of each group of near duplicates: that with the smallest id.
+
+    Of rows that share that id, one stays. Rows without an id are kept.
+    """
+    kept = near_duplicates(docs, size, percent, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
+    one = docs.join(kept, F.col(id_col).cast("long") == F.col("__kept")).drop("__kept").dropDuplicates([id_col])
+    return one.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _united(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -11,6 +11,7 @@ from tradeloom.llm import langid, pii, toxicity
 from tradeloom.llm.chat import format_conversations, read_back
 from tradeloom.llm.decontam import contamination
 from tradeloom.llm.minhash import near_duplicates
+from tradeloom.llm.neighbours import nearest
 from tradeloom.llm.packing import pack_documents
 from tradeloom.llm.runtime import table
 from tradeloom.llm.token_counts import count_tokens
@@ -35,6 +36,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
