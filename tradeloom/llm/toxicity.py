@@ -21,7 +21,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.runtime import ship, stored
@@ -118,10 +118,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     return tuple(float(v) for v in w)
 
 
-def _weight(positive, negative, positives: int, negatives: int):
-    """Log odds of a term given the label, two standard errors down; works on columns and numbers."""
-    odds = F.log((positive + 0.5) / (positives + 1)) - F.log((negative + 0.5) / (negatives + 1))
-    return odds - 2 * F.sqrt(1 / (positive + 0.5) + 1 / (negative + 0.5))
+def _odds(positive: Column, negative: Column, positives: int, negatives: int) -> Column:
+    """Log odds of a term given one label and the other."""
+    return F.log((positive + 0.5) / (positives + 1)) - F.log((negative + 0.5) / (negatives + 1))
+
+
+def _weight(positive: Column, negative: Column, positives: int, negatives: int) -> Column:
+    """Log odds, two standard errors down."""
+    return _odds(positive, negative, positives, negatives) - 2 * F.sqrt(1 / (positive + 0.5) + 1 / (negative + 0.5))
 
 
 def _distinct_entries(found: dict[str, tuple[int, float]]) -> dict[str, float]:
@@ -153,8 +157,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = 30_000) ->
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), least: float = 1.5, entries: int = 20_000) -> Lexicon:
     """A lexicon from rows (text, toxic 0/1). Null texts are empty; null labels are left out.
 
-    Keeps at most ``entries`` entries, the heaviest. Two-word phrases with an entry that speak against the label, by
-    the same measure, become exceptions. The rows' three features come to the driver, so the caller bounds the rows.
+    Keeps at most ``entries`` entries, the heaviest. Two-word phrases with an entry, in five clean texts at least, whose
+    log odds are for a clean text become exceptions. The rows' three features come to the driver, so the caller bounds the rows.
     Without both labels the lexicon is empty and every score is the share of label 1 (0 without rows).
     """
     spark = labelled.sparkSession
@@ -173,7 +177,7 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), least: float =
                 words = set(folded(text))
                 seen[label].update({f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in PREFIXES if len(w) >= n})
             for label, found in enumerate(seen):
-                yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([v * (label == 1) for v in found.values()], pa.int64()), pa.array([v * (label == 0) for v in found.values()], pa.int64())], names=["term", "p", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([v * (label == 1) for v in found.values()], pa.int64()), pa.array([v * (label == 0) for v in found.values()], pa.int64())], names=["term", "p", "n"])
 
     weighed = rows.mapInArrow(terms, "term string, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     weighed = weighed.where("p > 2").withColumn("w", _weight(F.col("p"), F.col("n"), positives, negatives)).where(F.col("w") > least)
@@ -193,7 +197,7 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), least: float =
                 yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array([v * (label == 1) for v in got.values()], pa.int64()), pa.array([v * (label == 0) for v in got.values()], pa.int64())], names=["term", "p", "n"])
 
     told = rows.mapInArrow(phrases, "term string, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    told = told.where("n > 2").withColumn("w", _weight(F.col("n"), F.col("p"), negatives, positives)).where(F.col("w") > 0)
+    told = told.where("n >= 5").withColumn("w", _odds(F.col("n"), F.col("p"), negatives, positives)).where(F.col("w") > 1)
     learned = [r.term for r in told.orderBy(F.desc("w"), "term").limit(entries).select("term").collect()]
     second = Lexicon(weights, (*exceptions, *learned))
 

@@ -131,7 +131,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: in
         def flush() -> None:
             data, name = archive(held), f"part-{uuid.uuid4().hex}.warc.zst"
             store.create_dir(top, recursive=True)
-            with store.open_output_stream(f"{top}/{name}") as out:
+            with store.open_output_stream(f"{top}/{name}", compression=None) as out:
                 out.write(data)
             made.append((f"{folder}/{name}", len(held), len(data)))
 
@@ -167,7 +167,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
             for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found, size, n = [], 0, 0
                 store, name = _filesystem(path)
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     for header, block in parse(stream):
                         http, _, payload = block.partition(b"\r\n\r\n")
                         length = int(re.search(rb"Content-Length: (\d+)", http)[1])
