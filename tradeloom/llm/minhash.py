@@ -18,14 +18,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
-from tradeloom.llm.runtime import ship, stored, utf8
+from tradeloom.llm.runtime import ship, slices, stored, utf8
 
 BANDS, BAND_ROWS = 32, 5
 MINIMA = BANDS * BAND_ROWS
@@ -33,7 +32,9 @@ _draw = np.random.default_rng(20)
 # x -> (a x + b mod 2^64) / 2^32, a odd: a universal family.
 MULTIPLIERS = _draw.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADDENDS = _draw.integers(0, 2**63, MINIMA, dtype=np.uint64)
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
+#: Bytes of text whose sets a worker holds at a time.
+SLICE_BYTES = 4 << 20
 #: Members of a bucket, and shingles of these, that one task compares with as many others.
 BLOCK, BLOCK_SHINGLES = 2_000, 4_000_000
 #: Members that are verified against one copy of their hub's set.
@@ -110,7 +111,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     """Per row: id, set size, digest of the set, band keys, and a byte of each minimum. Empty sets have no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", SLICE_BYTES):
             sets = [shingle_set(t.as_py(), size) for t in batch.column(1)]
             full = [i for i, s in enumerate(sets) if len(s)]
             signatures = minima([sets[i] for i in full])
@@ -130,19 +131,32 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", utf8(F.col("text")).alias("text")).mapInArrow(run, FINGERPRINT)
 
 
-def _alike(left: str, right: str):
-    """Share of equal signature bytes, as a column."""
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, MINIMA)
+
+
+def _alike(pairs: DataFrame, least: float) -> DataFrame:
+    """Of (u, v, a, b), the pairs whose signatures a and b have at least this share of equal bytes, with the share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            share = (_signatures(batch.column("a")) == _signatures(batch.column("b"))).mean(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(share)], names=["u", "v", "share"]).filter(pa.array(share >= least))
+
+    return pairs.mapInArrow(run, "u long, v long, share double")
 
-    @F.pandas_udf("double")
-    def share(a: pd.Series, b: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, MINIMA) for s in (a, b))
-        return pd.Series((x == y).mean(axis=1))
 
-    return share(F.col(left), F.col(right))
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents with these ids, stored.
 
+    Always a sort-merge join: the ids can be any share of the documents, and the plan is the same at every size.
+    """
+    wanted = ids.distinct().hint("merge")
+    return stored(docs.select(F.col("doc_id").alias("id"), utf8(F.col("text")).alias("text")).join(wanted, "id", "left_semi"), "texts")
 
-def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of pairs (u, v), those whose full sets have 100 intersection >= percent union.
+
+def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of pairs (u, v), those whose full sets have 100 intersection >= percent union. ``texts`` has those of both.
 
     The texts of a pair's u go to its v, in groups of bounded size, each with its own copy of v's text; a group is
     read as a stream that begins with v.
@@ -152,8 +166,7 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     members = pairs.join(sizes, "v").select(F.col("u").alias("id"), F.col("v").alias("hub"), F.pmod(F.xxhash64("u"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("member"))
     hubs = sizes.select(F.col("v").alias("id"), F.col("v").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("member"))
     wanted = stored(members.unionByName(hubs), "wanted")
-    texts = docs.select(F.col("doc_id").alias("id"), utf8(F.col("text")).alias("text")).join(wanted, "id")
-    grouped = texts.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").select("hub", "part", "member", "id", "text")
+    grouped = texts.join(wanted, "id").repartition("hub", "part").sortWithinPartitions("hub", "part", "member").select("hub", "part", "member", "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, hub_sets = None, []
@@ -181,15 +194,15 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     return stored(grouped.mapInArrow(run, "u long, v long").distinct(), "links")
 
 
-def _near(part: pd.DataFrame, least: float) -> Iterator[tuple[int, np.ndarray]]:
+def _near(part: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]]:
     """Within a block pair of one bucket: each member with those of other components whose signatures come near enough.
 
     A pair that shares several buckets is met in that of its first band alone.
     """
-    signed = np.frombuffer(b"".join(part["bytes"]), np.uint8).reshape(-1, MINIMA)
-    bands = np.stack(part["bands"].to_numpy())
+    signed = _signatures(part["bytes"])
+    bands = part["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     rep, comp, mine = (part[c].to_numpy() for c in ("rep", "comp", "mine"))
-    i, j, pos = (part[c].iloc[0] for c in ("i", "j", "pos"))
+    i, j, pos = (part[c][0].as_py() for c in ("i", "j", "pos"))
     left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
     for a in left:
         others = right[(comp[right] != comp[a]) & ((i != j) | (rep[right] < rep[a]))]
@@ -202,11 +215,11 @@ def _near(part: pd.DataFrame, least: float) -> Iterator[tuple[int, np.ndarray]]:
 def _with_partners(least: float):
     """The members that have a near enough partner in this block pair: no more rows than members."""
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        wanted = np.zeros(len(part), bool)
+    def run(part: pa.Table) -> pa.Table:
+        wanted = np.zeros(part.num_rows, bool)
         for a, others in _near(part, least):
             wanted[a] = wanted[others] = True
-        return part[wanted]
+        return part.filter(pa.array(wanted))
 
     return run
 
@@ -214,8 +227,8 @@ def _with_partners(least: float):
 def _links_within(least: float, size: int, percent: int):
     """Links between components within a block pair, on full sets; of links that join the same components, one."""
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        sets = [shingle_set(t, size) for t in part["text"]]
+    def run(part: pa.Table) -> pa.Table:
+        sets = [shingle_set(t.as_py(), size) for t in part["text"]]
         rep, comp = part["rep"].to_numpy(), part["comp"].to_numpy()
         root = {c: c for c in comp.tolist()}
 
@@ -238,7 +251,7 @@ def _links_within(least: float, size: int, percent: int):
                 if linked and find(comp[b]) != find(comp[a]):
                     root[find(comp[b])] = find(comp[a])
                     found.append((max(rep[a], rep[b]), min(rep[a], rep[b])))
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
     return run
 
@@ -266,20 +279,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / MINIMA) ** 0.5
 
     signed = reps.select("rep", "bytes")
-    candidates = in_bucket.where("rep != hub").select("rep", "hub").distinct()
-    candidates = candidates.join(signed, "rep").join(signed.select(F.col("rep").alias("hub"), F.col("bytes").alias("hub_bytes")), "hub")
-    candidates = stored(candidates.withColumn("share", _alike("bytes", "hub_bytes")).where(F.col("share") >= least).select(F.col("rep").alias("u"), F.col("hub").alias("v"), "share"), "candidates")
+    candidates = in_bucket.where("rep != hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
+    candidates = candidates.join(signed.select(F.col("rep").alias("u"), F.col("bytes").alias("a")), "u").join(signed.select(F.col("rep").alias("v"), F.col("bytes").alias("b")), "v")
+    candidates = stored(_alike(candidates.select("u", "v", "a", "b"), least), "candidates")
+    texts = texts_of(docs, candidates.select(F.explode(F.array("u", "v")).alias("id")))
 
     # First each text's most alike hub; then the other hubs that are still apart from it; then the rest of the buckets.
     nearest = candidates.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
-    links = [verify(docs, nearest, size, percent)]
+    links = [verify(texts, nearest, size, percent)]
     found = components(links[0])
     tried = nearest
     apart = _apart(candidates.select("u", "v"), found).join(tried, ["u", "v"], "left_anti")
     apart = stored(apart, "apart")
     if not apart.isEmpty():
-        links.append(verify(docs, apart, size, percent))
-        found = components(links[0].unionByName(links[1]))
+        links.append(verify(texts, apart, size, percent))
+        found = components(_united(links))
 
     named = in_bucket.where("n > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     weight = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")
@@ -289,10 +303,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     placed = placed.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("other").join(reps.select("rep", "bands", "bytes"), "rep")
     schema = "band long, pos int, rep long, comp long, mine int, i int, j int, bands array<long>, bytes binary"
     placed = placed.select(*[f.split()[0] for f in schema.split(", ")])
-    rest = stored(placed.groupBy("band", "i", "j").applyInPandas(_with_partners(least), schema), "rest")
+    rest = stored(placed.groupBy("band", "i", "j").applyInArrow(_with_partners(least), schema), "rest")
     if not rest.isEmpty():
-        texts = docs.select(F.col("doc_id").alias("rep"), utf8(F.col("text")).alias("text")).join(rest.select("rep").distinct(), "rep")
-        links.append(stored(rest.join(texts, "rep").groupBy("band", "i", "j").applyInPandas(_links_within(least, size, percent), "u long, v long"), "links"))
+        texts = texts_of(docs, rest.select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep")
+        links.append(stored(rest.join(texts, "rep").groupBy("band", "i", "j").applyInArrow(_links_within(least, size, percent), "u long, v long"), "links"))
         found = components(_united(links))
 
     linked = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
