@@ -57,6 +57,17 @@ def test_whole_tokens_are_proved(library):
         assert library.encode(text, add_special_tokens=False).ids == [whole[text]] == merged(text)
 
 
+def test_merging_by_rank_equals_the_library(library):
+    _, merged = bytebpe.pretoken_encoder(NAME)
+    draw = random.Random(9)
+    syllables = ["th", "er", "ción", "ß", "ing", "ñ", "x", "q", "heit", "é", "oo", "12", "漢", "zz"]
+    for _ in range(5000):
+        text = " " * draw.randint(0, 1) + "".join(draw.choices(syllables, k=draw.randint(1, 8)))
+        pieces = [text] if text.strip().isalpha() else []
+        for p in pieces:
+            assert merged(p) == library.encode(p, add_special_tokens=False).ids
+
+
 def test_counts(spark, docs, library):
     got = sorted(tuple(r) for r in count_tokens(docs).collect() if r.doc_id is not None)
     every = [(n, t or "") for n, t in enumerate(TEXTS)] + [(3, TEXTS[3])]

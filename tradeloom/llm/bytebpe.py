@@ -99,13 +99,24 @@ def pretoken_encoder(name: str) -> tuple[dict[str, int], Callable[[str], list[in
 
     Proved by encoding every string of the vocabulary, alone. Only strings that are one pre-token count.
     """
+    import tiktoken
+
     t = tokenizer(name)
-    model, letters = t.model, byte_letters()
     texts = {i: t.decode([i], skip_special_tokens=False) for i in t.get_vocab().values()}
     proved = t.encode_batch(list(texts.values()), add_special_tokens=False)
     added = added_tokens(name)
     whole = {s: i for (i, s), e in zip(texts.items(), proved, strict=True) if e.ids == [i] and s not in added and SAME_CLASSES.fullmatch(s) and PRETOKENS.fullmatch(s)}
-    return whole, lambda pretoken: [x.id for x in model.tokenize(pretoken.encode().decode("latin-1").translate(letters))]
+    # The vocabulary's merges stand in the order of their ids, so ids are ranks; a text is one piece here. Building
+    # a list of ids is the larger part of a merge, and this library does it in a third of the time.
+    values = {c: b for b, c in byte_letters().items()}
+    ranks = {bytes(values[c] for c in token): i for token, i in t.get_vocab().items() if token not in added}
+    one_piece = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+
+    def merged(pretoken: str) -> list[int]:
+        # Its time grows with the square of a piece's length, the tokenizer's does not.
+        return one_piece.encode_ordinary(pretoken) if len(pretoken) <= 200 else t.encode(pretoken, add_special_tokens=False).ids
+
+    return whole, merged
 
 
 def unit_encoder(name: str) -> Callable[[str], list[int]]:
@@ -113,11 +124,19 @@ def unit_encoder(name: str) -> Callable[[str], list[int]]:
     t, added = tokenizer(name), added_tokens(name)
     whole, merged = pretoken_encoder(name)
 
+    def of(pretoken: str) -> list[int]:
+        found = whole.get(pretoken)
+        return merged(pretoken) if found is None else [found]
+
     def ids(unit: str) -> list[int]:
         if unit in whole:
             return [whole[unit]]
-        if unit[0] == " " and unit.isascii() and unit[1:].isalpha():
-            return merged(unit)
+        if unit[0] == " " and unit.isascii():
+            # Most units are a word, or a word and one sign; no pattern is needed to cut these.
+            if unit[1:].isalpha():
+                return merged(unit)
+            if unit[-1] in ".,;:!?" and unit[1:-1].isalpha():
+                return of(unit[:-1]) + of(unit[-1])
         if not SAME_CLASSES.fullmatch(unit) or any(a in unit for a in added):
             return t.encode(unit, add_special_tokens=False).ids
         out = []

@@ -54,8 +54,11 @@ def cut(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_name:
                 stop = n % capacity or min(n, capacity)
                 piece = 0
                 while start < n:
-                    for column, value in zip(out, (doc, piece, start, stop - start, zlib.crc32(data[4 * start : 4 * stop])), strict=True):
-                        column.append(value)
+                    out[0].append(doc)
+                    out[1].append(piece)
+                    out[2].append(start)
+                    out[3].append(stop - start)
+                    out[4].append(zlib.crc32(data[4 * start : 4 * stop]))
                     start, stop, piece = stop, stop + capacity, piece + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
