@@ -41,7 +41,7 @@ def test_version_rank(spark):
 
 def test_month_token(spark):
     values = ["1", "12", "13", "0", "abc", None, "3.0", "3.7", " 4 ", "0.9", "1e1", "nan", "inf", "5d", "-1", "12.9"]
-    expected = ["T1", "T12", None, None, None, None, "T3", "T3", "T4", None, "T10", None, None, None, None, "T12"]
+    expected = ["T1", "T12", None, None, None, None, "T3", None, "T4", None, "T10", None, None, None, None, None]
     assert apply(spark, values, X.month_token("c")) == expected
 
 
@@ -55,7 +55,10 @@ def test_mentions_total(spark):
 
 def test_numbers(spark):
     assert apply(spark, ["1.5", " 2 ", "nan", "", None], X.to_num("c")) == [dec("1.5"), dec("2"), None, None, None]
-    assert apply(spark, ["3.5", "3.4", "-2.5", "7"], X.num_to_int("c")) == [4, 3, -3, 7]
+    assert apply(spark, ["3.5", "3.4", "-2.5", "7", "2.123456"], X.num_to_int("c")) == [4, 3, -3, 7, 2]
+    assert apply(spark, ["1.23450", "1.23456", "1e-5"], X.to_num("c", permissive=True)) == [dec("1.2345"), None, None]
+    with pytest.raises(Exception, match="more than four decimals: 1.23456"):
+        apply(spark, ["1.23456"], X.to_num("c"))
     assert apply(spark, [" 5 ", "", None], X.to_int("c")) == [5, None, None]
 
 

@@ -58,9 +58,9 @@ class TestKeys:
 class TestLatestVersion:
     schema = "emp string, month int, label string, rank int, dated date"
 
-    def flag(self, spark, data, salts=256):
+    def flag(self, spark, data):
         df = spark.createDataFrame(data, self.schema)
-        flagged = versions.flag_latest(df, ["emp", "month"], ["rank", "dated"], ["label"], salts=salts)
+        flagged = versions.flag_latest(df, ["emp", "month"], ["rank", "dated"], ["label"])
         return {(r.emp, r.month, r.label): r.is_latest for r in flagged.collect()}
 
     def test_highest_rank_wins_and_all_rows_stay(self, spark):
@@ -73,10 +73,9 @@ class TestLatestVersion:
         got = self.flag(spark, [("e", 1, "a", 2, day("2024-01-01")), ("e", 1, "b", 2, None)])
         assert got[("e", 1, "b")]
 
-    @pytest.mark.parametrize("salts", [1, 3, 256])
-    def test_hot_group_has_one_latest(self, spark, salts):
+    def test_hot_group_has_one_latest(self, spark):
         data = [("hot", 1, f"v{i}", (i * 37) % 101, None) for i in range(101)] + [("e", m, "v1", 1, None) for m in range(50)]
-        got = self.flag(spark, data, salts)
+        got = self.flag(spark, data)
         assert len(got) == 151
         assert [k for k, v in got.items() if v and k[0] == "hot"] == [("hot", 1, next(f"v{i}" for i in range(101) if (i * 37) % 101 == 100))]
         assert sum(v for k, v in got.items() if k[0] == "e") == 50
@@ -106,8 +105,8 @@ class TestEffectiveDates:
         got = {r.effective_from: r.is_current for r in self.scd(spark, [("a", "2022-01-01", None), ("a", None, None)]).collect()}
         assert got == {day("2022-01-01"): True, None: True}
 
-    @pytest.mark.parametrize("direct_rows", [0, 1000])
-    def test_asof_boundaries(self, spark, direct_rows):
+    @pytest.mark.parametrize("months_of", [None, ("2022-01-01", "2026-12-31"), ("2024-03-01", "2024-03-31")])
+    def test_asof_boundaries(self, spark, months_of):
         dim = self.scd(spark, [("a", "2022-01-01", None), ("a", "2024-03-15", "2025-06-30"), ("z", "2024-01-01", "2023-01-01")]).withColumn(
             "key", F.concat("id", F.lit("_"), F.date_format("effective_from", "yyyyMMdd"))
         )
@@ -118,7 +117,7 @@ class TestEffectiveDates:
         ]
         fact = spark.createDataFrame([(i, e, day(d)) for i, (e, d, _) in enumerate(events)], "i int, emp string, d date")
         fact = fact.withColumnRenamed("emp", "id")
-        got = joins.asof_scd(fact, dim, "id", "d", {"key": "key"}, direct_rows)
+        got = joins.asof_scd(fact, dim, "id", "d", {"key": "key"}, months_of)
         assert [r.key for r in got.orderBy("i").collect()] == [k for _, _, k in events]
         assert got.columns == ["i", "id", "d", "key"]
 
@@ -133,14 +132,22 @@ class TestEffectiveDates:
             [(i, f"e{rng.randrange(6)}", origin + timedelta(days=rng.randrange(-50, 1200))) for i in range(400)], "i int, id string, d date"
         )
         direct = joins.asof_scd(fact, dim, "id", "d", {"start": "start"})
-        bucketed = joins.asof_scd(fact, dim, "id", "d", {"start": "start"}, direct_rows=0)
+        bucketed = joins.asof_scd(fact, dim, "id", "d", {"start": "start"}, ("2022-01-01", "2023-06-30"))
         assert rows(direct) == rows(bucketed)
         assert direct.count() == 400
 
     def test_empty_fact(self, spark):
         dim = self.scd(spark, [("a", "2022-01-01", None)])
         fact = spark.createDataFrame([], "id string, d date")
-        assert joins.asof_scd(fact, dim, "id", "d", {"f": "effective_from"}, direct_rows=0).count() == 0
+        assert joins.asof_scd(fact, dim, "id", "d", {"f": "effective_from"}, ("2022-01-01", "2026-12-31")).count() == 0
+
+    def test_far_off_date_does_not_lengthen_the_lists(self, spark):
+        dim = self.scd(spark, [(f"e{n}", "2022-01-01", None) for n in range(50)])
+        fact = spark.createDataFrame([("e1", day("9999-12-30")), ("e2", day("2024-05-05"))], "id string, d date")
+        got = joins.asof_scd(fact, dim, "id", "d", {"f": "effective_from"}, ("2022-01-01", "2026-12-31"))
+        assert rows(got) == [("e1", day("9999-12-30"), day("2022-01-01")), ("e2", day("2024-05-05"), day("2022-01-01"))]
+        far = joins.asof_scd(fact.where("d > '2026-12-31'"), dim, "id", "d", {"f": "effective_from"}, ("2022-01-01", "2026-12-31"))
+        assert rows(far) == [("e1", day("9999-12-30"), day("2022-01-01"))]
 
 
 class TestJoins:
@@ -167,17 +174,15 @@ class TestJoins:
 
 
 class TestNumbering:
-    @pytest.mark.parametrize("one_task", [0, 1000])
-    def test_contiguous_in_order(self, spark, one_task):
+    def test_contiguous_in_order(self, spark):
         df = spark.createDataFrame([(f"m{i:03d}", i % 3) for i in range(200)], "name string, v int").repartition(7)
-        got = numbering.surrogate(df, ["name"], "k", one_task).orderBy("k").collect()
+        got = numbering.surrogate(df, ["name"], "k").orderBy("k").collect()
         assert [r.k for r in got] == list(range(1, 201))
         assert [r.name for r in got] == sorted(r.name for r in got)
 
-    @pytest.mark.parametrize("one_task", [0, 1000])
-    def test_dense(self, spark, one_task):
+    def test_dense(self, spark):
         df = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3), ("c", 4)], "g string, v int")
-        got = numbering.dense_surrogate(df, "g", "k", one_task)
+        got = numbering.dense_surrogate(df, "g", "k")
         assert rows(got) == [(1, "a", 2), (2, "b", 1), (2, "b", 3), (3, "c", 4)]
 
 

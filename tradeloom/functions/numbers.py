@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.text import _col, clean_text, sentinel_to_null
 
 AMOUNT = "decimal(18,4)"  # one row's quantity, price or amount
+EVERY_DIGIT = "decimal(38,18)"
 
 
 def _cast(text: Column, kind: str, permissive: bool) -> Column:
@@ -15,8 +16,16 @@ def _cast(text: Column, kind: str, permissive: bool) -> Column:
 
 
 def to_num(c: Column | str, permissive: bool = False) -> Column:
-    """Text to an exact number. Words such as ``nan`` count as missing."""
-    return _cast(sentinel_to_null(c), AMOUNT, permissive)
+    """Text to an exact number of up to four decimals. Words such as ``nan`` count as missing.
+
+    Text with more decimals than that is malformed: it is an error, or NULL when
+    ``permissive``, and never rounded.
+    """
+    text = sentinel_to_null(c)
+    value = _cast(text, AMOUNT, permissive)
+    lost = text.try_cast(EVERY_DIGIT) != value
+    problem = F.concat(F.lit("more than four decimals: "), text)
+    return F.when(lost, F.lit(None) if permissive else F.raise_error(problem).cast(AMOUNT)).otherwise(value)
 
 
 def to_int(c: Column | str, permissive: bool = False) -> Column:
@@ -26,7 +35,7 @@ def to_int(c: Column | str, permissive: bool = False) -> Column:
 
 def num_to_int(c: Column | str, permissive: bool = False) -> Column:
     """Numeric text to an integer, halves rounded away from zero."""
-    return F.round(to_num(c, permissive), 0).cast("int")
+    return F.round(_cast(sentinel_to_null(c), EVERY_DIGIT, permissive), 0).cast("int")
 
 
 def safe_ratio(num: Column | str, den: Column | str, scale: int = 2, pct: bool = True) -> Column:

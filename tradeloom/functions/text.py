@@ -72,10 +72,10 @@ def version_rank(label: Column | str) -> Column:
 
 
 def month_token(c: Column | str) -> Column:
-    """``T1`` .. ``T12`` from a numeric month cell, fraction cut off; NULL otherwise."""
+    """``T1`` .. ``T12`` from a cell that holds a whole month number, such as ``3`` or ``3.0``; NULL otherwise."""
     text = _col(c).cast("string")
     number = F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("double"))
-    return F.when((number >= 1) & (number < 13), F.concat(F.lit("T"), F.floor(number).cast("string")))
+    return F.when((number >= 1) & (number <= 12) & (number == F.floor(number)), F.concat(F.lit("T"), F.floor(number).cast("string")))
 
 
 def is_month_token(c: Column | str) -> Column:

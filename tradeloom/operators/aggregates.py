@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions import count_where, month_start, safe_ratio
+from tradeloom.functions import month_start, safe_ratio
 
 UNKNOWN = "Unknown"
 
@@ -37,29 +37,54 @@ def target_version_summary(targets_raw: DataFrame) -> DataFrame:
     )
 
 
+def totals_with_distinct(
+    df: DataFrame, by: Mapping[str, Column], counted: tuple[str, str], also: tuple[str, str],
+    sums: Mapping[str, str], counts: Mapping[str, Column],
+) -> DataFrame:
+    """Sums and counts per group, beside exact distinct counts of two columns.
+
+    ``counted`` and ``also`` are (column, new name). Rows are first summed per
+    (group, ``counted`` value), so that one shuffle carries both the sums and the
+    first count; the second column's distinct pairs go through a narrow shuffle of
+    their own. No row is multiplied, and a busy group spreads over many tasks.
+    """
+    named = df.select(*[c.alias(f"_{n}") for n, c in by.items()], *{counted[0], also[0], *sums.values()}, *[c.alias(f"_{n}") for n, c in counts.items()])
+    group = [f"_{n}" for n in by]
+
+    def kind(column: str) -> str:
+        one = df.schema[column].dataType
+        return f"decimal({min(38, one.precision + 10)},{one.scale})"
+
+    first = named.groupBy(*group, counted[0]).agg(
+        *[F.sum(c).alias(f"_{n}_sum") for n, c in sums.items()], *[F.count_if(f"_{n}").alias(f"_{n}_count") for n in counts]
+    )
+    totals = first.groupBy(*group).agg(
+        F.count(counted[0]).alias(counted[1]),
+        *[F.sum(f"_{n}_sum").cast(kind(c)).alias(n) for n, c in sums.items()],
+        *[F.sum(f"_{n}_count").alias(n) for n in counts],
+    )
+    pairs = named.select(*group, also[0]).distinct().groupBy(*[F.col(g).alias(f"{g}_too") for g in group]).agg(F.count(also[0]).alias(also[1]))
+    same = [F.col(g).eqNullSafe(F.col(f"{g}_too")) for g in group]
+    joined = totals.join(pairs, same)
+    return joined.select(*[F.col(f"_{n}").alias(n) for n in by], counted[1], also[1], *sums, *counts)
+
+
 def employee_month_actuals(fact_sales: DataFrame) -> DataFrame:
     """Orders, customers and amounts per employee and month.
 
-    Both distinct counts are exact. Spark first makes (group, order) and
-    (group, customer) pairs distinct, shuffling on the pair, so a busy employee
-    spreads over many tasks. Year and month follow from the month's first day
-    and need not be shuffled.
+    Year and month follow from the month's first day and need not be shuffled.
     """
-    return (
-        fact_sales.groupBy("employee_id", month_start("order_date").alias("sales_month_date"))
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("active_customers"),
-            F.sum("quantity").alias("actual_quantity"),
-            F.sum("gross_amount").alias("actual_gross_amount"),
-            F.sum("discount_amount").alias("actual_discount_amount"),
-            F.sum("net_amount").alias("actual_revenue"),
-            F.sum("total_cost").alias("actual_total_cost"),
-            F.sum("gross_profit").alias("actual_gross_profit"),
-        )
-        .withColumn("sales_year", F.year("sales_month_date"))
-        .withColumn("sales_month", F.month("sales_month_date"))
+    totals = totals_with_distinct(
+        fact_sales,
+        {"employee_id": F.col("employee_id"), "sales_month_date": month_start("order_date")},
+        ("order_id", "total_orders"), ("customer_id", "active_customers"),
+        {
+            "actual_quantity": "quantity", "actual_gross_amount": "gross_amount", "actual_discount_amount": "discount_amount",
+            "actual_revenue": "net_amount", "actual_total_cost": "total_cost", "actual_gross_profit": "gross_profit",
+        },
+        {},
     )
+    return totals.withColumn("sales_year", F.year("sales_month_date")).withColumn("sales_month", F.month("sales_month_date"))
 
 
 def distributor_month(fact_orders: DataFrame, dim_distributors: DataFrame) -> DataFrame:
@@ -69,21 +94,21 @@ def distributor_month(fact_orders: DataFrame, dim_distributors: DataFrame) -> Da
     the finished aggregate instead of being carried through the shuffle.
     """
     on_time = F.col("calculated_on_time_delivery")
-    totals = fact_orders.groupBy(
-        "distributor_id",
-        month_start("order_date").alias("month_date"),
-        F.col("region").alias("order_region"),
-        F.col("channel").alias("order_channel"),
-    ).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("product_id").alias("products_ordered"),
-        F.sum("qty_ordered").alias("total_qty_ordered"),
-        F.sum("qty_delivered").alias("total_qty_delivered"),
-        F.sum("gross_amount").alias("total_gross_amount"),
-        F.sum("delivered_amount").alias("total_delivered_amount"),
-        count_where(on_time).alias("on_time_delivery_count"),
-        count_where(~on_time).alias("late_delivery_count"),
-        count_where(F.col("delivery_status").isNotNull()).alias("delivery_record_count"),
+    totals = totals_with_distinct(
+        fact_orders,
+        {
+            "distributor_id": F.col("distributor_id"), "month_date": month_start("order_date"),
+            "order_region": F.col("region"), "order_channel": F.col("channel"),
+        },
+        ("order_id", "total_orders"), ("product_id", "products_ordered"),
+        {
+            "total_qty_ordered": "qty_ordered", "total_qty_delivered": "qty_delivered",
+            "total_gross_amount": "gross_amount", "total_delivered_amount": "delivered_amount",
+        },
+        {
+            "on_time_delivery_count": on_time, "late_delivery_count": ~on_time,
+            "delivery_record_count": F.col("delivery_status").isNotNull(), "order_record_count": F.lit(True),
+        },
     )
     attributes = dim_distributors.select(
         F.col("distributor_id").alias("_id"),

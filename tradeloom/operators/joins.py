@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from tradeloom.functions import month_start
 from tradeloom.operators.keys import all_of, any_of
 
-# Up to this many versions, an id's versions are compared directly.
-DIRECT_INTERVAL_ROWS = 100_000
-
 
 def lookup(fact: DataFrame, dim: DataFrame, on: str, take: Mapping[str, str], dim_on: str | None = None) -> DataFrame:
     """Left join to a dimension on its natural key, adding ``{new name: dim column}``.
@@ -46,16 +43,17 @@ def asof_scd(
     on: str,
     event_date: str,
     take: Mapping[str, str],
-    direct_rows: int = DIRECT_INTERVAL_ROWS,
+    months_of: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Left join to the version valid on the event date (both ends inclusive).
 
-    A small dimension is compared directly: id equality is the join key, the
-    interval a residual condition. Beyond ``direct_rows`` each interval is listed
-    once per month it covers within the facts' date range and joined on
-    (id, month) plus the interval, so an event meets only the versions of its
-    month, not all versions of a busy id. The date range is one pass over the
-    facts' date column, so join intervals before other dimensions.
+    Id equality is the join key and the interval a residual condition, so an
+    event meets all versions of its id. Where ids have many versions, name the
+    first and last day of a calendar in ``months_of``: intervals are then listed
+    once for each month of that calendar they cover and joined on (id, month), so
+    an event meets the versions of its month only. Events outside the calendar,
+    such as mistyped dates, meet all versions of their id; they do not lengthen
+    the lists. The caller chooses; no data is read to build the plan.
     """
     side = dim.select(
         F.col(on).alias("_id"),
@@ -63,23 +61,19 @@ def asof_scd(
         F.col("effective_to").alias("_to"),
         *[F.col(c).alias(n) for n, c in take.items()],
     ).where(F.col("_from") <= F.col("_to"))
-    valid = (fact[on] == F.col("_id")) & fact[event_date].between(F.col("_from"), F.col("_to"))
-    if direct_rows and dim.count() <= direct_rows:
-        return fact.join(side, valid, "left").drop("_id", "_from", "_to")
-
-    first, last = fact.agg(F.min(event_date), F.max(event_date)).first()
-    if first is None:
-        return fact.join(side, valid, "left").drop("_id", "_from", "_to")
-    low, high = F.lit(first), F.lit(last)
-    months = F.sequence(
-        month_start(F.greatest("_from", low)), month_start(F.least("_to", high)), F.expr("interval 1 month")
-    )
-    side = (
-        side.where((F.col("_from") <= high) & (F.col("_to") >= low))
-        .withColumn("_month", F.explode(months))
-    )
-    fact_month = F.trunc(fact[event_date], "month")
-    return fact.join(side, valid & (fact_month == F.col("_month")), "left").drop("_id", "_from", "_to", "_month")
+
+    def joined(events: DataFrame, versions: DataFrame, *more: Column) -> DataFrame:
+        valid = (events[on] == F.col("_id")) & events[event_date].between(F.col("_from"), F.col("_to"))
+        return events.join(versions, all_of([valid, *more]), "left").select(*fact.columns, *take)
+
+    if not months_of:
+        return joined(fact, side)
+    low, high = (F.lit(d).cast("date") for d in months_of)
+    months = F.sequence(month_start(F.greatest("_from", low)), month_start(F.least("_to", high)), F.expr("interval 1 month"))
+    listed = side.where((F.col("_from") <= high) & (F.col("_to") >= low)).withColumn("_month", F.explode(months))
+    inside = F.coalesce(F.col(event_date).between(low, high), F.lit(False))
+    within = joined(fact.where(inside), listed, F.trunc(F.col(event_date), "month") == F.col("_month"))
+    return within.unionByName(joined(fact.where(~inside), side))
 
 
 def full_outer_coalesce(

@@ -9,28 +9,16 @@ from pyspark.sql import functions as F
 
 from tradeloom.session import ensure_checkpoint_dir
 
-# Up to this many members one task numbers them all.
-ONE_TASK_MEMBERS = 1_000_000
 
-
-def surrogate(df: DataFrame, order: Sequence[str], key: str, one_task: int = ONE_TASK_MEMBERS) -> DataFrame:
+def surrogate(df: DataFrame, order: Sequence[str], key: str) -> DataFrame:
     """Number the rows 1..n by ``order``, which must be unique.
 
-    The members are checkpointed and counted first. A small set is numbered by
-    one window. A larger one is range partitioned, numbered within each
-    partition and shifted by the size of the partitions before it, so no task
-    sees all members.
+    Rows are range partitioned, numbered within each partition and shifted by the
+    size of the partitions before it, so no task sees all members. The checkpoint
+    fixes which partition holds which member for both passes over them.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    members = df.checkpoint()
-    if members.count() <= one_task:
-        number = F.row_number().over(Window.orderBy(*order)).cast("long")
-        return members.select(number.alias(key), *df.columns)
-
-    # The checkpoint fixes which partition holds which member for both passes.
-    parts = (
-        members.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
-    )
+    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
     sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -42,7 +30,7 @@ def surrogate(df: DataFrame, order: Sequence[str], key: str, one_task: int = ONE
     )
 
 
-def dense_surrogate(df: DataFrame, column: str, key: str, one_task: int = ONE_TASK_MEMBERS) -> DataFrame:
+def dense_surrogate(df: DataFrame, column: str, key: str) -> DataFrame:
     """Number the distinct values of one column 1..n and give each row its value's number."""
-    numbered = surrogate(df.select(column).distinct(), [column], key, one_task)
+    numbered = surrogate(df.select(column).distinct(), [column], key)
     return df.join(numbered, column, "left").select(key, *df.columns)

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.operators.keys import newest_first
-
 OPEN_END = "9999-12-31"
 
 
@@ -18,24 +16,21 @@ def flag_latest(
     order: Sequence[str],
     identity: Sequence[str],
     flag: str = "is_latest",
-    salts: int = 8192,
 ) -> DataFrame:
     """Mark the first row of each group, keeping every row.
 
-    All rows must pass through, so a plain window would put a hot group into one
-    task. The group is split by a hash of the row identity instead: the first
-    window finds one candidate per (group, split), the second compares only the
-    candidates of a group, at most ``salts`` rows, and lets the others through
-    still split. ``identity`` must be unique within the group.
+    The newest identity of a group is an aggregate over narrow columns, combined
+    before the shuffle, so a hot group is one row per task. Rows then meet it by
+    (group, identity), which is unique and cannot skew; each full row moves once
+    at most. A missing value counts as newest. ``identity`` must be unique within
+    the group.
     """
-    ranking = newest_first([*order, *identity])
-    split = Window.partitionBy(*group, "_split").orderBy(*ranking)
-    finalists = Window.partitionBy(*group, "_pool").orderBy(*ranking)
-    candidates = df.withColumn("_split", F.pmod(F.xxhash64(*identity), F.lit(salts))).withColumn(
-        "_pool", F.when(F.row_number().over(split) == 1, F.lit(-1)).otherwise(F.col("_split"))
-    )
-    first = (F.col("_pool") == -1) & (F.row_number().over(finalists) == 1)
-    return candidates.withColumn(flag, first).drop("_split", "_pool")
+    keys = [*order, *identity]
+    ranking = F.struct(*[f(c) for c in keys for f in (lambda c: F.col(c).isNull().alias(f"_n_{c}"), lambda c: F.col(c).alias(f"_v_{c}"))])
+    first = df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group]).agg(F.max(ranking).alias("_first"))
+    winner = first.select(*[f"_g_{g}" for g in group], *[F.col(f"_first._v_{c}").alias(f"_i_{c}") for c in identity], F.lit(True).alias("_won"))
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col(c).eqNullSafe(F.col(f"_i_{c}")) for c in identity]
+    return df.join(winner, same, "left").select(*df.columns, F.col("_won").isNotNull().alias(flag))
 
 
 def scd2(

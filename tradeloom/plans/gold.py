@@ -236,7 +236,7 @@ def mart_distributor_performance(src: Tables) -> DataFrame:
         safe_ratio("total_qty_delivered", "total_qty_ordered").alias("fill_rate_pct"),
         "total_gross_amount", "total_delivered_amount",
         safe_ratio("total_delivered_amount", "total_gross_amount").alias("delivered_amount_rate_pct"),
-        "on_time_delivery_count", "late_delivery_count", "delivery_record_count",
+        "on_time_delivery_count", "late_delivery_count", "delivery_record_count", "order_record_count",
         safe_ratio("on_time_delivery_count", "delivery_record_count").alias("on_time_delivery_rate_pct"),
     )
 

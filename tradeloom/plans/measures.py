@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 from tradeloom.functions import month_start, safe_ratio
 from tradeloom.operators.aggregates import share_of_total, top_n
 
-REPORTING_YEAR = 2024
 RANKED_EMPLOYEES = 10
 
 
 def slice_rows(
     df: DataFrame, year: int | None = None, region: str | None = None, channel: str | None = None,
-    year_of: str = "year",
+    province: str | None = None, year_of: str = "year",
 ) -> DataFrame:
     """Dashboard slicers, as filters that reach the scan."""
-    wanted = {year_of: year, "region": region, "channel": channel}
+    wanted = {year_of: year, "region": region, "channel": channel, "province": province}
     for column, value in wanted.items():
         if value is not None:
             df = df.where(F.col(column) == F.lit(value))
@@ -75,7 +74,8 @@ def distributor_overview(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return (
         mart.groupBy(*by)
         .agg(
-            F.sum("total_orders").alias("distributor_orders"),
+            F.sum("order_record_count").alias("distributor_orders"),
+            F.sum("total_orders").alias("distinct_orders"),
             F.sum("total_gross_amount").alias("gross_order_value"),
             F.sum("total_delivered_amount").alias("delivered_revenue"),
             F.sum("total_qty_ordered").alias("qty_ordered"),
@@ -124,19 +124,25 @@ def target_performance(mart: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def employee_detail(mart: DataFrame, year: int = REPORTING_YEAR) -> DataFrame:
-    """One row per employee: revenue, units and profit against target."""
+def employee_detail(mart: DataFrame, year: int | None = None) -> DataFrame:
+    """One row per employee: revenue, units and profit against target, over all years unless one is given.
+
+    Name, region and team are those of one row: the newest month that names the employee.
+    """
     rows = slice_rows(mart, year=year)
-    who = ["employee_id", "employee_name", "region", "team"]
+    who = ["employee_name", "region", "team"]
+    newest = F.format_string("%05d%03d|%s|%s|%s", "year", "month", *[F.coalesce(c, F.lit("")) for c in who])
+    named = F.max_by(F.struct(*who), F.when(F.col("employee_name").isNotNull(), newest)).alias("_who")
     totals = rows.groupBy("employee_id").agg(
-        *[F.max(c).alias(c) for c in who[1:]],
+        named,
         F.sum("actual_revenue").alias("actual_revenue"),
         F.sum("target_revenue").alias("target_revenue"),
         F.sum("actual_quantity").alias("actual_quantity"),
         F.sum("target_quantity").alias("target_quantity"),
         F.sum("actual_gross_profit").alias("actual_gross_profit"),
     )
-    return totals.withColumns(
+    measures = [c for c in totals.columns if c not in ("employee_id", "_who")]
+    return totals.select("employee_id", *[F.col(f"_who.{c}").alias(c) for c in who], *measures).withColumns(
         {
             "revenue_gap": F.col("actual_revenue") - F.col("target_revenue"),
             "revenue_achievement_pct": safe_ratio("actual_revenue", "target_revenue"),
@@ -148,7 +154,7 @@ def employee_detail(mart: DataFrame, year: int = REPORTING_YEAR) -> DataFrame:
 
 def rank_employees(
     mart: DataFrame, by: Column | str = "revenue_achievement_pct", n: int = RANKED_EMPLOYEES, top: bool = True,
-    year: int = REPORTING_YEAR,
+    year: int | None = None,
 ) -> DataFrame:
     """Best or worst employees by a measure of ``employee_detail``."""
     return top_n(employee_detail(mart, year), by, "employee_id", n, top)

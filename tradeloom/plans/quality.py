@@ -224,20 +224,20 @@ def profile_key_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def profile_table(name: str, df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row: size, excess rows of the business key, missing key cells."""
-    missing = [count_where(is_missing_key(k)) for k in spec.profile_keys]
-    size = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.array_join(F.array(*[F.concat(F.lit(f"{k}: "), m) for k, m in zip(spec.profile_keys, missing)]), ", ").alias("key_nulls"),
-    )
-    duplicates = excess_duplicates(df, spec.grain)
-    # two one-row aggregates side by side
-    return size.select(
-        F.lit(name).alias("profile_name"),
-        "row_count",
-        duplicates.scalar().alias("duplicate_count"),
-        F.lit(", ".join(spec.grain)).alias("duplicate_columns"),
-        "key_nulls",
+    """One row: size, excess rows of the business key, missing key cells. One scan: all follow from counts per key."""
+    missing = [count_where(is_missing_key(k)).alias(f"_missing_{k}") for k in spec.profile_keys]
+    per_key = df.groupBy(*spec.grain).agg(F.count(F.lit(1)).alias("_rows"), *missing)
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0))
+
+    cells = [F.concat(F.lit(f"{k}: "), total(F.col(f"_missing_{k}")).cast("string")) for k in spec.profile_keys]
+    return per_key.agg(
+        total(F.col("_rows")).alias("row_count"),
+        total(F.col("_rows") - 1).alias("duplicate_count"),
+        F.array_join(F.array(*cells), ", ").alias("key_nulls"),
+    ).select(
+        F.lit(name).alias("profile_name"), "row_count", "duplicate_count", F.lit(", ".join(spec.grain)).alias("duplicate_columns"), "key_nulls"
     )
 
 

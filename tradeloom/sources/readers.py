@@ -6,25 +6,32 @@ from collections.abc import Iterable, Mapping
 from datetime import date
 from functools import reduce
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradeloom.operators.aggregates import latest
+from tradeloom.operators.columns import all_string, normalize_name
 
 # Sheets of a plan workbook that hold no plan.
 SKIPPED_SHEETS = frozenset({"summary"})
 
 SHEET = "sheet_name"
+CORRUPT = "_corrupt_record"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False) -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False, permissive: bool = False
+) -> DataFrame:
     """Comma-separated text with a header, UTF-8, every cell as text.
 
     Without a schema the header names the columns. Quotes inside a quoted cell
-    are doubled. Cells spanning lines need ``multi_line``, which makes a file
-    one task's work, so it is off unless a source needs it.
+    are doubled. A row with more or fewer cells than the header is an error. With
+    ``permissive`` such rows are kept, with their text in ``_corrupt_record``,
+    which is NULL in good rows. Cells spanning lines need ``multi_line``, which
+    makes a file one task's work, so it is off unless a source needs it.
     """
     reader = (
         spark.read.option("header", True)
@@ -32,51 +39,85 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | None = N
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        # Rows are checked as a whole, also where a query needs only some columns.
+        .option("columnPruning", False)
+        .option("mode", "PERMISSIVE" if permissive else "FAILFAST")
     )
+    if permissive:
+        named = schema or reader.csv(path).schema
+        schema = StructType([*named.fields]).add(CORRUPT, "string")
+        return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
 
-def _sheet_folder(spark: SparkSession, root: str, schema: StructType | None) -> DataFrame:
-    # Sheet names are text even when they look like numbers or dates.
-    reader = spark.read.option("basePath", root)
-    if schema is not None:
-        reader = reader.schema(schema if SHEET in schema.names else StructType(schema.fields).add(SHEET, "string"))
-    return reader.parquet(root).withColumn(SHEET, F.col(SHEET).cast("string"))
-
-
-def sheet_names(sheets: DataFrame) -> list[str]:
-    """Names of the sheets of one source, in order; one per partition folder."""
-    return [r[0] for r in sheets.select(SHEET).distinct().orderBy(SHEET).collect()]
-
+def sheet_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folder of each sheet of a source landed as ``sheet_name=<name>/`` folders, in name order."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    folder = F.regexp_extract("path", rf"/({SHEET}=[^/]*)/[^/]*$", 1).alias("folder")
+    found = [r.folder for r in files.select(folder).distinct().where("folder != ''").collect()]
+    return dict(sorted((unquote(f.split("=", 1)[1]), f"{root.rstrip('/')}/{f}") for f in found))
+
+
+def _sheet(spark: SparkSession, name: str, folder: str) -> DataFrame:
+    """One sheet under its own normalised headers, with its name."""
+    cells = spark.read.parquet(folder)
+    names = [normalize_name(c) for c in cells.columns]
+    alike = sorted({n for n in names if names.count(n) > 1})
+    if alike:
+        raise ValueError(f"sheet {name}: several headers read as {', '.join(alike)}")
+    return cells.toDF(*names).withColumn(SHEET, F.lit(name))
+
+
+def read_sheet(spark: SparkSession, root: str, sheet: str | int = 0) -> DataFrame:
+    """One sheet of a source. A number selects by position in name order, as folders keep no other order."""
+    folders = sheet_folders(spark, root)
+    name = list(folders)[sheet] if isinstance(sheet, int) else sheet
+    if name not in folders:
+        raise ValueError(f"no sheet {name!r} in {root}")
+    return _sheet(spark, name, folders[name])
+
+
+def each_sheet(
+    spark: SparkSession, root: str, skip: Iterable[str] = SKIPPED_SHEETS
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """All sheets of a source but the skipped ones, named in any case; and why others cannot be read."""
+    skipped = {s.lower() for s in skip}
+    good: dict[str, DataFrame] = {}
+    bad: dict[str, str] = {}
+    for name, folder in sheet_folders(spark, root).items():
+        if name.lower() in skipped:
+            continue
+        try:
+            good[name] = _sheet(spark, name, folder)
+        except Exception as problem:  # noqa: BLE001 - one sheet does not keep the others from loading
+            bad[name] = str(problem)
+    return good, bad
 
-def read_sheet(spark: SparkSession, root: str, sheet: str | int = 0, schema: StructType | None = None) -> DataFrame:
-    """One sheet of a source landed as ``sheet_name=<name>/`` folders.
 
-    The name is a partition value, so only that sheet's files are read. A number
-    selects by position in name order, as folders keep no other order.
-    """
-    sheets = _sheet_folder(spark, root, schema)
-    name = sheet_names(sheets)[sheet] if isinstance(sheet, int) else sheet
-    return sheets.where(F.col(SHEET) == name)
+def united(sheets: Iterable[DataFrame]) -> DataFrame:
+    """Rows of all sheets by column name, as text; a column that a sheet lacks is NULL in its rows."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [all_string(s) for s in sheets])
 
 
-def read_sheets(
-    spark: SparkSession, root: str, skip: Iterable[str] = SKIPPED_SHEETS, schema: StructType | None = None
-) -> DataFrame:
-    """All sheets of a source but the skipped ones, named in any case."""
-    sheets = _sheet_folder(spark, root, schema)
-    return sheets.where(~F.lower(SHEET).isin([s.lower() for s in skip]))
+def read_sheets(spark: SparkSession, root: str, skip: Iterable[str] = SKIPPED_SHEETS) -> DataFrame:
+    """All sheets of a source but the skipped ones. Each is read under its own headers before they are united."""
+    good, bad = each_sheet(spark, root, skip)
+    if bad:
+        raise ValueError("; ".join(f"{n}: {p}" for n, p in bad.items()))
+    if not good:
+        raise ValueError(f"no sheet to read in {root}")
+    return united(good.values())
 
 
-def read_source(spark: SparkSession, path: str, sheet: str | int | None = None) -> DataFrame:
+def read_source(spark: SparkSession, path: str, sheet: str | int | None = None, multi_line: bool = False) -> DataFrame:
     """Read by the path's suffix, in any case: ``.csv`` is delimited text,
     ``.sheets`` a folder of landed sheets (one sheet, the first unless named),
     ``.parquet`` columnar files."""
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
     if suffix == ".csv":
-        return read_delimited(spark, path)
+        return read_delimited(spark, path, multi_line=multi_line)
     if suffix == ".sheets":
         return read_sheet(spark, path, 0 if sheet is None else sheet).drop(SHEET)
     if suffix == ".parquet":
@@ -105,9 +146,9 @@ def latest_ingest_log(log: DataFrame, n: int = 10) -> DataFrame:
 
 
 def source_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Try every source under a folder: one row with its size and columns, or the reason it cannot be read.
+    """Try every source under a folder in full: one row with its size and columns, or the reason it cannot be read.
 
-    Only names are listed on the driver; rows are counted by Spark, all sources in one job.
+    Names and one row per source come to the driver; Spark reads and counts the rows.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     below_root = F.regexp_extract("path", rf"\Q{root.rstrip('/')}/\E([^/]+)", 1)
@@ -116,22 +157,10 @@ def source_inventory(spark: SparkSession, root: str) -> DataFrame:
     for entry in entries:
         try:
             df = read_source(spark, f"{root.rstrip('/')}/{entry}")
+            reports.append((entry, "OK", df.count(), ", ".join(df.columns), None))
         except Exception as problem:  # noqa: BLE001 - the report is about failures
-            row = [(entry, "FAILED", None, None, str(problem).splitlines()[0])]
-            reports.append(spark.createDataFrame(row, _INVENTORY))
-            continue
-        reports.append(
-            df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(entry).alias("source_file"),
-                F.lit("OK").alias("status"),
-                "row_count",
-                F.lit(", ".join(df.columns)).alias("columns"),
-                F.lit(None).cast("string").alias("message"),
-            )
-        )
-    if not reports:
-        return spark.createDataFrame([], _INVENTORY)
-    return reduce(DataFrame.unionByName, reports)
+            reports.append((entry, "FAILED", None, None, str(problem).splitlines()[0]))
+    return spark.createDataFrame(reports, _INVENTORY)
 
 
 _INVENTORY = "source_file string, status string, row_count bigint, columns string, message string"

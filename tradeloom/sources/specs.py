@@ -10,7 +10,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType,
 @dataclass(frozen=True)
 class SourceSpec:
     """One logical source. ``profile_keys`` are checked for missing values,
-    ``grain`` for duplicates; ``sheet`` names the sheet of a multi-sheet source."""
+    ``grain`` for duplicates; ``sheet`` names the sheet of a multi-sheet source;
+    ``multi_line`` lets quoted cells of delimited text span lines."""
 
     table: str
     file: str
@@ -18,6 +19,7 @@ class SourceSpec:
     profile_keys: tuple[str, ...]
     grain: tuple[str, ...]
     sheet: str | int | None = None
+    multi_line: bool = False
 
 
 def _spec(table, file, columns, profile_keys, grain, sheet=None) -> SourceSpec:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from tradeloom.operators.columns import all_string, normalize_columns
 from tradeloom.operators.keys import all_of, any_of
-from tradeloom.session import new_folder
 
 # Namespaces of the three layers.
 LAYERS = ("raw", "staging", "dwh")
@@ -58,7 +58,8 @@ class Warehouse:
             return
         writer = self.spark.createDataFrame([], schema).write.format("parquet")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # An overwrite of this table replaces only the partitions that get rows.
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.name(layer, table))
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
@@ -75,22 +76,51 @@ class Warehouse:
     def materialize(self, df: DataFrame, layer: str, table: str, date: str | None = None) -> DataFrame:
         """Replace a table by the rows of ``df``, laid out by ``date`` if given.
 
-        The rows go to a new folder and the table is pointed at it once they are
-        all written, so a failed job leaves the old table as it was and a model
-        may read the table it replaces.
+        The rows go to a new folder below the root and the table is pointed at it
+        once they are all written, so a failed job leaves the old table as it was
+        and a model may read the table it replaces. The replaced version stays for
+        readers that are still at it; versions before that are removed. A table is
+        refreshed by one writer at a time.
         """
-        folder = new_folder(self.spark, f"{self.namespace(layer)}-{table}")
+        home = f"{self.root}/{layer}/{self.prefix}{table}"
+        folder = f"{home}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         (by_month(df, date) if date else df).write.parquet(folder)
         target = self.name(layer, table)
         fresh = self.spark.read.parquet(folder)
-        if self.exists(layer, table) and self.table(layer, table).schema == fresh.schema:
+        replaced = self._version_of(target) if self.exists(layer, table) else None
+        if replaced and self.table(layer, table).schema == fresh.schema:
             self.spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
             self.spark.catalog.refreshTable(target)
+        elif replaced:
+            # The new table exists before the old one goes.
+            coming = self.name(layer, f"{table}_{uuid.uuid4().hex[:8]}")
+            self.spark.catalog.createTable(coming, path=folder, source="parquet")
+            self.spark.sql(f"DROP TABLE {target}")
+            self.spark.sql(f"ALTER TABLE {coming} RENAME TO {target}")
         else:
-            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             self.spark.catalog.createTable(target, path=folder, source="parquet")
+        if replaced:
+            self._remove_before(home, replaced)
         return self.table(layer, table)
 
+    def location(self, layer: str, table: str) -> str:
+        """Folder of a table's files."""
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self.name(layer, table)}").where("col_name = 'Location'")
+        return described.first()["data_type"]
+
+    def _version_of(self, target: str) -> str:
+        described = self.spark.sql(f"DESCRIBE EXTENDED {target}").where("col_name = 'Location'")
+        return described.first()["data_type"].rstrip("/").rsplit("/", 1)[-1]
+
+    def _remove_before(self, home: str, version: str) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(home)
+        files = folder.getFileSystem(conf)
+        for status in files.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith("v-") and name < version:
+                files.delete(status.getPath(), True)
+
     def replace_slice(
         self, df: DataFrame, layer: str, table: str, slice_columns: Sequence[str], slices: Sequence[Mapping[str, str]]
     ) -> list[int]:
@@ -98,20 +128,27 @@ class Warehouse:
 
         A dynamic overwrite replaces each partition that has new rows. It leaves
         a partition without new rows alone, so slices that came back empty are
-        dropped by name. Running it again changes nothing. Returns the rows per
+        dropped by name. Running it again changes nothing. Rows outside the named
+        slices are an error, found before anything is written. Returns the rows per
         slice, as counted by the write.
         """
+        if not slices:
+            if not df.isEmpty():
+                raise ValueError("rows, but no slice to replace")
+            return []
+        stray = df.where(~F.coalesce(any_slice(slices), F.lit(False))).select(*slice_columns).head(1)
+        if stray:
+            raise ValueError(f"a row outside the slices: {stray[0].asDict()}")
         target = self.name(layer, table)
         seen = Observation()
         per_slice = [F.count_if(in_slice(s)).alias(f"slice{i}") for i, s in enumerate(slices)]
         if not self.exists(layer, table):
             self.ensure_table(layer, table, slices_last(df.schema, slice_columns), slice_columns)
         # A slice's rows are brought together so that it gets few files; a large slice is split.
-        grouped = df.where(any_slice(slices)).hint("rebalance", *slice_columns)
-        with dynamic_overwrite(self.spark):
-            # Counted after the exchange: adaptive execution cuts off what precedes an empty one.
-            counted = grouped.select(*self.table(layer, table).columns).observe(seen, *per_slice)
-            counted.write.mode("overwrite").insertInto(target)
+        grouped = df.hint("rebalance", *slice_columns)
+        # Counted after the exchange: adaptive execution cuts off what precedes an empty one.
+        counted = grouped.select(*self.table(layer, table).columns).observe(seen, *per_slice)
+        counted.write.mode("overwrite").insertInto(target)
         counts = [seen.get[f"slice{i}"] for i in range(len(slices))]
         for s, rows in zip(slices, counts):
             if rows == 0:
@@ -121,18 +158,6 @@ class Warehouse:
         return counts
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession):
-    """Overwrite only the partitions that get rows; the session's setting is put back."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def slices_last(schema: StructType, slice_columns: Sequence[str]) -> StructType:
     """The schema with its partition columns at the end, in the given order."""
     own = [f for f in schema.fields if f.name not in slice_columns]

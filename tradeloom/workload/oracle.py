@@ -12,7 +12,11 @@ from tradeloom.operators.columns import PLAN_COLUMNS
 from tradeloom.plans.silver import SPECS
 from tradeloom.sources.specs import PROFILED, SOURCES
 
+# Words that mean "no key" and "no date".
 WORDS = "('nan', 'none', 'null', '')"
+# Cell texts that mean a missing value in delimited sources.
+MISSING = """('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
+    '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"""
 DATE_WORDS = "('', 'nan', 'none', 'null', 'nat')"
 
 
@@ -237,7 +241,7 @@ def plan_table(source: str, file_name: str) -> str:
     SELECT regexp_extract(lower(sheet_name), 'v[0-9]+') AS version_label, 'T' || token AS month_col, {', '.join(own)},
         '{file_name}' AS _source_file, 'tables' AS _source_platform, TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at,
         'batch-1' AS _batch_id
-    FROM (SELECT *, CAST(floor(TRY_CAST(month AS DOUBLE)) AS INTEGER) AS token FROM {source})
+    FROM (SELECT *, CASE WHEN TRY_CAST(month AS DOUBLE) = floor(TRY_CAST(month AS DOUBLE)) THEN CAST(TRY_CAST(month AS DOUBLE) AS INTEGER) END AS token FROM {source})
     WHERE token BETWEEN 1 AND 12 AND NOT coalesce(regexp_matches(lower(employee_id), 'tổng|total'), false)
         AND NOT coalesce(regexp_matches(lower(employee_name), 'tổng|total'), false)"""
 
@@ -380,7 +384,7 @@ CTE["distributor_months"] = """
         sum(f.gross_amount) AS total_gross_amount, sum(f.delivered_amount) AS total_delivered_amount,
         count(*) FILTER (WHERE f.calculated_on_time_delivery) AS on_time_delivery_count,
         count(*) FILTER (WHERE NOT f.calculated_on_time_delivery) AS late_delivery_count,
-        count(f.delivery_status) AS delivery_record_count
+        count(f.delivery_status) AS delivery_record_count, count(*) AS order_record_count
     FROM fact_distributor_orders AS f LEFT JOIN dim_distributors AS d ON d.distributor_id = f.distributor_id GROUP BY ALL"""
 CTE["mart_distributor_performance"] = f"""
     SELECT *, CAST(year(month_date) AS INTEGER) AS year, CAST(month(month_date) AS INTEGER) AS month,
@@ -428,10 +432,23 @@ SQL["source_inventory"] = f"""
 SQL["bronze_load_sales"] = f"""
     SELECT {_sales}, 'SRC01_sales_transactions.csv' AS _source_file, 'local' AS _source_platform
     FROM (SELECT * REPLACE (NULLIF(employee_id, '') AS employee_id) FROM raw_sales_transactions)"""
+
+
+def cells(table: str) -> str:
+    texts = ", ".join(f"CASE WHEN {c} IN {MISSING} THEN '<null>' ELSE coalesce({c}, '<null>') END" for c in SOURCES[table].columns)
+    source = SOURCES[table]
+    suffix = ".csv" if source.sheet is None else ".sheets"
+    return f"SELECT '{table}' AS table_name, '{source.file}{suffix}' AS _source_file, concat_ws('|', {texts}) AS cells FROM raw_{table}"
+
+
+SQL["bronze_load_all"] = f"SELECT *, count(*) AS n FROM ({' UNION ALL '.join(cells(t) for t in SOURCES)}) GROUP BY ALL"
+SQL["target_sheets_aligned"] = """
+    SELECT sheet_name, version_label, employee_id, month_col, target_revenue, CASE WHEN version_label = 'v2' THEN target_quantity END AS target_quantity
+    FROM raw_sales_targets_raw WHERE version_label IN ('v1', 'v2')"""
 SQL["bronze_append_twice"] = """
     SELECT 'bronze' AS table_name, 2 * count(*) AS row_count FROM raw_product_master
     UNION ALL SELECT 'newest', count(*) FROM part UNION ALL SELECT 'second batch', count(*) FROM part"""
-SQL["materialize_overwrite"] = "SELECT product_id, category, CAST(unit_price AS DOUBLE) AS unit_price, status FROM stg_products WHERE status = 'Active'"
+SQL["materialize_overwrite"] = "SELECT product_id, category, CAST(unit_price * 2 AS DOUBLE) AS unit_price, status FROM stg_products"
 CTE["normalised_plan"] = plan_table("(SELECT * REPLACE (replace(sheet_name, 'summary', 'Plan_v3_summary') AS sheet_name) FROM plan_sheets)", "SRC02")
 SQL["replace_slice"] = """
     SELECT sheet_name, CASE WHEN version_label = 'v1' THEN 'batch-2' ELSE 'batch-1' END AS _batch_id, employee_id, month_col, target_revenue
@@ -470,7 +487,7 @@ SQL["brz_version_label"] = "SELECT 'v' || l_linenumber AS label, count(*) AS n F
 SQL["brz_month_token"] = """
     SELECT month, CASE WHEN whole BETWEEN 1 AND 12 THEN 'T' || whole END AS token, count(*) AS n FROM (
         SELECT CASE WHEN l_partkey % 17 = 0 THEN 'abc' WHEN l_partkey % 19 <> 0 THEN (l_partkey % 15) || CASE WHEN l_orderkey % 2 = 0 THEN '.7' ELSE '' END END AS month,
-            CASE WHEN l_partkey % 17 <> 0 AND l_partkey % 19 <> 0 THEN l_partkey % 15 END AS whole FROM lineitem)
+            CASE WHEN l_partkey % 17 <> 0 AND l_partkey % 19 <> 0 AND l_orderkey % 2 <> 0 THEN l_partkey % 15 END AS whole FROM lineitem)
     GROUP BY 1, 2"""
 SQL["target_load_report"] = """
     SELECT 'rows per version' AS item, version_label AS member, count(*) AS value FROM raw_sales_targets_raw GROUP BY version_label
@@ -594,8 +611,15 @@ SQL["surrogate_dense_rank"] = "SELECT DISTINCT dense_rank() OVER (ORDER BY provi
 SQL["surrogate_range_partitioned"] = """SELECT row_number() OVER (ORDER BY p_name, CAST(p_partkey AS VARCHAR)) AS product_number,
     p_name AS product_name, CAST(p_partkey AS VARCHAR) AS product_id FROM part"""
 
+
+
+def newest_named(column: str) -> str:
+    order = "printf('%05d%03d|%s|%s|%s', year, month, employee_name, coalesce(region, ''), coalesce(team, ''))"
+    return f"arg_max(coalesce({column}, ''), CASE WHEN employee_name IS NOT NULL THEN {order} END) AS {column}"
+
+
 CTE["employee_totals"] = f"""
-    SELECT employee_id, max(employee_name) AS employee_name, max(region) AS region, max(team) AS team,
+    SELECT employee_id, {newest_named('employee_name')}, {newest_named('region')}, {newest_named('team')},
         CAST(sum(actual_revenue) AS DOUBLE) AS actual_revenue, CAST(sum(target_revenue) AS DOUBLE) AS target_revenue,
         CAST(sum(actual_quantity) AS DOUBLE) AS actual_quantity, CAST(sum(target_quantity) AS DOUBLE) AS target_quantity,
         CAST(sum(actual_gross_profit) AS DOUBLE) AS actual_gross_profit,
@@ -603,7 +627,7 @@ CTE["employee_totals"] = f"""
         {ratio('sum(actual_revenue)', 'sum(target_revenue)')} AS revenue_achievement_pct,
         {ratio('sum(actual_quantity)', 'sum(target_quantity)')} AS units_achievement_pct,
         {ratio('sum(actual_gross_profit)', 'sum(actual_revenue)')} AS gross_profit_margin_pct
-    FROM mart_sales_vs_target WHERE year = 2024 GROUP BY employee_id"""
+    FROM mart_sales_vs_target GROUP BY employee_id"""
 SQL["employee_detail"] = "SELECT * FROM employee_totals"
 SQL["top_employees"] = "SELECT * FROM employee_totals WHERE employee_id IS NOT NULL ORDER BY actual_revenue DESC, employee_id LIMIT 10"
 SQL["bottom_employees"] = """SELECT * FROM employee_totals WHERE employee_id IS NOT NULL AND revenue_achievement_pct IS NOT NULL
@@ -716,9 +740,39 @@ SQL["dq_dim_not_null"] = nulls("gold", _DIM_KEYS)
 SQL["dq_dim_unique"] = repeated("gold", _DIM_KEYS, {})
 SQL["dq_fact_grain"] = repeated("gold", _GRAINS, _KEY_NAMES)
 SQL["dq_missing_keys"] = nulls("gold", _FOREIGN, "missing dimension keys")
+
+
+def dirty(sql: str, keys) -> str:
+    """The same checks over tables with a second row of keys that end in 3, and for those in 5 one without key columns."""
+    for t, ks in keys.items():
+        ks = (ks,) if isinstance(ks, str) else ks
+        last = f"right(CAST({ks[0]} AS VARCHAR), 1)"
+        none = ", ".join(f"NULL AS {k}" for k in ks)
+        rows = f"(SELECT * FROM {t} UNION ALL SELECT * FROM {t} WHERE {last} = '3' UNION ALL SELECT * REPLACE ({none}) FROM {t} WHERE {last} = '5')"
+        sql = re.sub(rf"FROM {t}(?![A-Za-z0-9_])", f"FROM {rows}", sql)
+    return sql
+
+
+SQL["dq_silver_not_null_dirty"] = dirty(SQL["dq_silver_not_null"], _SILVER_REQUIRED)
+SQL["dq_silver_unique_dirty"] = dirty(SQL["dq_silver_unique"], _SILVER_KEYS)
+SQL["dq_one_latest_dirty"] = dirty(SQL["dq_one_latest"], {_TARGETS: _GRAINS["fact_targets"]})
+SQL["dq_dim_not_null_dirty"] = dirty(SQL["dq_dim_not_null"], _DIM_KEYS)
+SQL["dq_dim_unique_dirty"] = dirty(SQL["dq_dim_unique"], _DIM_KEYS)
+SQL["dq_fact_grain_dirty"] = dirty(SQL["dq_fact_grain"], _GRAINS)
+SQL["dq_rules_dirty"] = " UNION ALL ".join(
+    check("gold", name, "failures", f"count(*) FILTER (WHERE {failing})", f"FROM {table}")
+    for name, table, failing in (
+        ("fact_targets latest flag check", "fact_targets", "employee_id LIKE '%3' OR is_latest IS DISTINCT FROM true"),
+        ("mart_sales_vs_target negative target revenue", "mart_sales_vs_target", "employee_id LIKE '%3' OR target_revenue < 0"),
+        ("mart_distributor_performance invalid fill rate", "mart_distributor_performance", "distributor_id LIKE '%3' OR NOT (fill_rate_pct BETWEEN 0 AND 100)"),
+    )
+)
 SQL["dq_fiscal_year"] = check(
     "gold", "dim_date fiscal year check", "failures", "count(*)",
-    "FROM stg_sales_transactions JOIN dim_date ON date_day = order_date WHERE order_date IN (DATE '2023-10-01', DATE '2024-01-01') AND fiscal_year <> 2023",
+    "FROM dim_date WHERE date_day IN (DATE '2023-10-01', DATE '2024-01-01') AND fiscal_year <> 2023",
+) + " UNION ALL " + check(
+    "gold", "sales fiscal year check", "failures", "count(*)",
+    "FROM stg_sales_transactions LEFT JOIN dim_date ON date_day = order_date WHERE fiscal_year IS DISTINCT FROM year(order_date) - CASE WHEN month(order_date) < 9 THEN 1 ELSE 0 END",
 )
 SQL["dq_latest_flag"] = check("gold", "fact_targets latest flag check", "failures", "count(*)", "FROM fact_targets WHERE is_latest IS DISTINCT FROM true")
 SQL["dq_negative_target"] = check(
@@ -741,12 +795,12 @@ SQL["kpi_sales_overview"] = overview(("year", "region")).format(
     more=f""", CAST(sum(actual_gross_profit) AS DOUBLE) AS gross_profit, {ratio('sum(actual_gross_profit)', 'sum(actual_revenue)')} AS gross_profit_margin_pct"""
 )
 SQL["target_by_month"] = overview(("year", "month")).format(more="")
-SQL["target_by_region"] = overview(("region",), "WHERE year = 2024").format(more="")
+SQL["target_by_region"] = overview(("region",)).format(more="")
 SQL["kpi_units"] = f"""SELECT year, region, CAST(sum(actual_quantity) AS DOUBLE) AS total_units_sold, CAST(sum(target_quantity) AS DOUBLE) AS target_units,
     CAST(sum(actual_quantity) - sum(target_quantity) AS DOUBLE) AS units_gap, {ratio('sum(actual_quantity)', 'sum(target_quantity)')} AS units_achievement_pct
     FROM mart_sales_vs_target GROUP BY year, region"""
 SQL["kpi_active_customers"] = "SELECT order_year, region, count(DISTINCT customer_id) AS active_customers FROM stg_sales_transactions GROUP BY order_year, region"
-SQL["kpi_distributor"] = f"""SELECT year, CAST(sum(total_orders) AS BIGINT) AS distributor_orders, CAST(sum(total_gross_amount) AS DOUBLE) AS gross_order_value,
+SQL["kpi_distributor"] = f"""SELECT year, CAST(sum(order_record_count) AS BIGINT) AS distributor_orders, CAST(sum(total_orders) AS BIGINT) AS distinct_orders, CAST(sum(total_gross_amount) AS DOUBLE) AS gross_order_value,
     CAST(sum(total_delivered_amount) AS DOUBLE) AS delivered_revenue, CAST(sum(total_qty_ordered) AS DOUBLE) AS qty_ordered,
     CAST(sum(total_qty_delivered) AS DOUBLE) AS qty_delivered, CAST(sum(on_time_delivery_count) AS BIGINT) AS on_time_deliveries,
     CAST(sum(late_delivery_count) AS BIGINT) AS late_deliveries, CAST(sum(delivery_record_count) AS BIGINT) AS delivery_records,
@@ -775,6 +829,8 @@ SQL["revenue_by_region"] = revenue("region")
 SQL["revenue_by_channel"] = revenue("channel")
 SQL["revenue_by_province"] = revenue("region, province")
 SQL["revenue_margin_trend"] = revenue("1", "CAST(date_trunc('month', order_date) AS DATE) AS month_date")
+SQL["slice_channel"] = revenue("region, order_year", where="WHERE channel = 'BUILDING'")
+SQL["slice_province"] = revenue("channel, order_year", where="WHERE province = 'CHINA'")
 SQL["slice_year"] = revenue("channel, order_quarter", where="WHERE year(order_date) = 2024 AND region = 'ASIA'")
 
 

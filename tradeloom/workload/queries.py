@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -209,7 +209,8 @@ def materialize_overwrite(cat):
     """Build a table twice, the second time from itself."""
     warehouse = new_warehouse(cat)
     first = warehouse.materialize(cat["stg_products"], "staging", "stg_products")
-    second = warehouse.materialize(first.where("status = 'Active'"), "staging", "stg_products")
+    raised = first.withColumn("unit_price", (F.col("unit_price") * 2).cast(first.schema["unit_price"].dataType))
+    second = warehouse.materialize(raised, "staging", "stg_products")
     return second.select("product_id", "category", "unit_price", "status")
 
 
@@ -247,6 +248,42 @@ def _loaded_targets(cat) -> dict[str, DataFrame]:
     return ingest.load_target_versions(warehouse, path)
 
 
+@query
+def target_sheets_aligned(cat):
+    """Plan sheets of different columns: one lacks quantities, one spells its headers as a person would."""
+    sheets = cat.bindings.plan_sheets()
+    first = sheets.where("sheet_name = 'Plan_v1_Original'").drop("sheet_name", "target_quantity")
+    second = sheets.where("sheet_name = 'Plan_v2_Adjustment_H2'").drop("sheet_name")
+    second = second.toDF(*[c.replace("_", " ").title() for c in second.columns])
+    path = f"{new_folder(cat.spark, 'landing')}/{PLAN_FILE}"
+    first.write.parquet(f"{path}/sheet_name=Plan_v1_Original")
+    second.write.parquet(f"{path}/sheet_name=Plan_v2_Adjustment_H2")
+    loaded = ingest.load_target_versions(new_warehouse(cat), path)["targets"]
+    return loaded.select("sheet_name", "version_label", "employee_id", "month_col", "target_revenue", "target_quantity")
+
+
+def cells_of(df: DataFrame, table: str) -> DataFrame:
+    """A table's rows as one text each, cells in the source's order."""
+    cells = [F.coalesce(F.col(c), F.lit("<null>")) for c in SOURCES[table].columns]
+    return df.select(F.lit(table).alias("table_name"), "_source_file", F.concat_ws("|", *cells).alias("cells"))
+
+
+@query
+def bronze_load_all(cat):
+    """All ten sources loaded, every stored cell."""
+    warehouse, folder = new_warehouse(cat), new_folder(cat.spark, "landing")
+    paths = {}
+    for table, spec in SOURCES.items():
+        paths[table] = f"{folder}/{spec.file}" + (".csv" if spec.sheet is None else ".sheets")
+        if spec.sheet is None:
+            write_csv(source_columns(cat, table), paths[table])
+        else:
+            write_sheets(cat.bindings.plan_sheets(), paths[table])
+    ingest.ingest_all(warehouse, paths)
+    stored = [cells_of(warehouse.table("raw", t), t) for t in SOURCES]
+    return quality.union_all(stored).groupBy("table_name", "_source_file", "cells").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def target_file_log(cat):
     return _loaded_targets(cat)["files"].select(
@@ -481,12 +518,12 @@ def scd2_intervals(cat):
 
 @query
 def join_scd_asof_bucketed(cat):
-    """Events with the version of their user valid a day earlier, by month buckets."""
+    """Events with the version of their user valid a day earlier, by months of the calendar."""
     events = cat.bindings.table("events").select(
         "event_id", "user_id", F.date_sub(F.col("ts").cast("date"), 1).alias("day_before")
     )
     return joins.asof_scd(
-        events, _event_versions(cat), "user_id", "day_before", {"previous_type": "event_type"}, direct_rows=0
+        events, _event_versions(cat), "user_id", "day_before", {"previous_type": "event_type"}, (gold.FIRST_DAY, gold.LAST_DAY)
     )
 
 
@@ -593,7 +630,7 @@ def surrogate_dense_rank(cat):
 def surrogate_range_partitioned(cat):
     """Products numbered in name order across partitions."""
     products = cat["stg_products"].select("product_name", "product_id")
-    return numbering.surrogate(products, ["product_name", "product_id"], "product_number", one_task=0)
+    return numbering.surrogate(products, ["product_name", "product_id"], "product_number")
 
 
 @query
@@ -684,11 +721,15 @@ def profile_duplicates(cat):
 
 @query
 def dq_fiscal_year(cat):
-    """The calendar check, over the days of all sales."""
-    days = joins.date_lookup(cat["stg_sales_transactions"], cat["dim_date"], "order_date", "date_key")
-    calendar = F.broadcast(cat["dim_date"].select(F.col("date_key").alias("_key"), "date_day", "fiscal_year"))
-    sold = days.join(calendar, days["date_key"] == calendar["_key"])
-    return quality.fiscal_year_check({"dim_date": sold})
+    """The calendar check, and the same over the days of all sales, those outside the calendar included."""
+    sales = cat["stg_sales_transactions"].select("order_date")
+    calendar = F.broadcast(cat["dim_date"].select("date_day", "fiscal_year"))
+    sold = sales.join(calendar, sales["order_date"] == calendar["date_day"], "left")
+    own = quality.fiscal_year_check(cat)
+    over_sales = quality.rule_check(
+        "gold", "sales fiscal year check", sold, ~F.col("fiscal_year").eqNullSafe(X.fiscal_year(F.col("order_date")))
+    )
+    return own.unionByName(over_sales)
 
 
 for _name, _check in {
@@ -708,6 +749,62 @@ for _name, _check in {
     QUERIES[_name] = _check
 
 
+class DirtyTables(Mapping):
+    """The same tables with rows that break the rules: of keys that end in 3 a second row, of those in 5 one without
+    key columns."""
+
+    def __init__(self, cat: Catalog, keys_of: Mapping[str, tuple[str, ...]]):
+        self._cat, self._keys = cat, keys_of
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df, own = self._cat[name], self._keys.get(name)
+        if not own:
+            return df
+        last = F.right(F.col(own[0]).cast("string"), F.lit(1))
+        without = df.where(last == "5").withColumns({k: F.lit(None).cast(df.schema[k].dataType) for k in own})
+        return df.unionByName(df.where(last == "3")).unionByName(without)
+
+    def __iter__(self):
+        return iter(self._cat)
+
+    def __len__(self) -> int:
+        return len(self._cat)
+
+
+def _dirty(check, keys_of: Mapping[str, Sequence[str]]) -> Query:
+    own = {t: (k,) if isinstance(k, str) else tuple(k) for t, k in keys_of.items()}
+    return lambda cat: check(DirtyTables(cat, own))
+
+
+_LATEST = {"stg_sales_targets_versioned": quality.PLAN_GROUP}
+for _name, _check, _keys in (
+    ("dq_silver_not_null", quality.silver_not_null, quality.SILVER_REQUIRED),
+    ("dq_silver_unique", quality.silver_unique, quality.SILVER_KEYS),
+    ("dq_one_latest", quality.one_latest, _LATEST),
+    ("dq_dim_not_null", quality.dimension_not_null, quality.DIMENSION_KEYS),
+    ("dq_dim_unique", quality.dimension_unique, quality.DIMENSION_KEYS),
+    ("dq_fact_grain", quality.fact_grain, quality.FACT_GRAINS),
+):
+    QUERIES[f"{_name}_dirty"] = _dirty(_check, _keys)
+
+
+@query
+def dq_rules_dirty(cat):
+    """The row rules over tables in which rows of employees and distributors ending in 3 break them."""
+    def broken(name: str, who: str, column: str, value) -> dict[str, DataFrame]:
+        df = cat[name]
+        bad = F.when(F.col(who).endswith("3"), F.lit(value).cast(df.schema[column].dataType)).otherwise(F.col(column))
+        return {name: df.withColumn(column, bad)}
+
+    return quality.union_all(
+        [
+            quality.latest_flag_check(broken("fact_targets", "employee_id", "is_latest", False)),
+            quality.negative_target_check(broken("mart_sales_vs_target", "employee_id", "target_revenue", -1)),
+            quality.fill_rate_check(broken("mart_distributor_performance", "distributor_id", "fill_rate_pct", 150)),
+        ]
+    )
+
+
 # --- measures and views ----------------------------------------------------------
 
 
@@ -763,8 +860,7 @@ def target_by_month(cat):
 
 @query
 def target_by_region(cat):
-    mart = measures.slice_rows(cat["mart_sales_vs_target"], year=measures.REPORTING_YEAR)
-    return measures.target_performance(mart, ["region"])
+    return measures.target_performance(cat["mart_sales_vs_target"], ["region"])
 
 
 @query
@@ -789,5 +885,17 @@ def distributor_action_priority(cat):
 
 @query
 def slice_year(cat):
-    lines = measures.year_of_sales(cat["fact_sales"], measures.REPORTING_YEAR)
+    lines = measures.year_of_sales(cat["fact_sales"], 2024)
     return measures.revenue_by(measures.slice_rows(lines, region="ASIA"), ["channel", "order_quarter"])
+
+
+@query
+def slice_channel(cat):
+    lines = measures.slice_rows(cat["fact_sales"], channel="BUILDING")
+    return measures.revenue_by(lines, ["region", "order_year"])
+
+
+@query
+def slice_province(cat):
+    lines = measures.slice_rows(cat["fact_sales"], province="CHINA")
+    return measures.revenue_by(lines, ["channel", "order_year"])
