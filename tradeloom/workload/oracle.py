@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tradeloom.operators.columns import PLAN_COLUMNS
-from tradeloom.plans.silver import SPECS
-from tradeloom.sources.specs import PROFILED, SOURCES
+from tradeloom.workload.shapes import PLAN_COLUMNS, RAW, SOURCES, TYPED
 
 # Words that mean "no key" and "no date".
 WORDS = "('nan', 'none', 'null', '')"
@@ -250,16 +248,16 @@ CTE["raw_sales_targets_raw"] = plan_table("(SELECT * FROM plan_sheets WHERE shee
 
 
 def _silver(table: str) -> None:
-    spec = SPECS[table]
+    spec = TYPED[table]
     kinds = {"text": clean, "num": number, "date": lambda x: f"CAST({clean(x)} AS DATE)", "int": lambda x: f"CAST({clean(x)} AS INTEGER)"}
     picked = ", ".join(f"{kinds[k]('r.' + spec.renamed.get(c, c))} AS {c}" for c, k in spec.columns.items())
-    source = spec.source.replace("raw.", "raw_")
+    source = spec.source
     valid = " AND ".join(usable(f"r.{k}") for k in spec.required)
     typed = f"(SELECT {picked}, {', '.join(LINEAGE)} FROM {source} AS r WHERE {valid})"
     CTE[table] = newest(typed, spec.key, [*spec.columns, *LINEAGE])
 
 
-for _table in SPECS:
+for _table in TYPED:
     _silver(_table)
 
 _TARGET_COLUMNS = (
@@ -437,7 +435,7 @@ SQL["bronze_load_sales"] = f"""
 def cells(table: str) -> str:
     texts = ", ".join(f"CASE WHEN {c} IN {MISSING} THEN '<null>' ELSE coalesce({c}, '<null>') END" for c in SOURCES[table].columns)
     source = SOURCES[table]
-    suffix = ".csv" if source.sheet is None else ".sheets"
+    suffix = ".sheets" if source.sheets else ".csv"
     return f"SELECT '{table}' AS table_name, '{source.file}{suffix}' AS _source_file, concat_ws('|', {texts}) AS cells FROM raw_{table}"
 
 
@@ -518,7 +516,7 @@ SQL["slv_month_regex"] = """
     FROM (SELECT month(day) + CASE WHEN l_orderkey % 4 = 0 THEN 1 ELSE 0 END AS token FROM lines WHERE l_orderkey % 9 <> 0)
     WHERE token <= 12 GROUP BY token"""
 
-for _table, _spec in SPECS.items():
+for _table, _spec in TYPED.items():
     SQL[_table] = doubles(_table, *[c for c, k in _spec.columns.items() if k == "num"])
 SQL["stg_targets_versioned"] = doubles("stg_sales_targets_versioned", "target_revenue", "target_quantity", "target_new_customers")
 
@@ -665,21 +663,21 @@ def excess(table: str, grain) -> str:
 SQL["profile_tables"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS profile_name, count(*) AS row_count, {excess('raw_' + t, s.grain)} AS duplicate_count,
     '{', '.join(s.grain)}' AS duplicate_columns, {" || ', ' || ".join(f"'{k}: ' || {bad_cells(k)}" for k in s.profile_keys)} AS key_nulls FROM raw_{t}"""
-    for t, s in PROFILED.items()
+    for t, s in RAW.items()
 )
 SQL["profile_key_nulls"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS profile_name, '{k}' AS column_name, {bad_cells(k)} AS null_count, count(*) AS row_count,
     round({bad_cells(k)} * 100 / count(*), 2) AS null_pct FROM raw_{t}"""
-    for t, s in PROFILED.items()
+    for t, s in RAW.items()
     for k in s.profile_keys
 )
 SQL["profile_duplicates"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS profile_name, {excess('raw_' + t, s.grain)} AS duplicate_count" for t, s in PROFILED.items()
+    f"SELECT '{t}' AS profile_name, {excess('raw_' + t, s.grain)} AS duplicate_count" for t, s in RAW.items()
 )
 
 _TARGETS = "stg_sales_targets_versioned"
-_SILVER_KEYS = {**{t: s.key for t, s in SPECS.items()}, _TARGETS: ("version_label", "employee_id", "target_year", "month_col")}
-_SILVER_REQUIRED = {**{t: s.required for t, s in SPECS.items()}, _TARGETS: ("version_label", "employee_id", "month_col")}
+_SILVER_KEYS = {**{t: s.key for t, s in TYPED.items()}, _TARGETS: ("version_label", "employee_id", "target_year", "month_col")}
+_SILVER_REQUIRED = {**{t: s.required for t, s in TYPED.items()}, _TARGETS: ("version_label", "employee_id", "month_col")}
 _DIM_KEYS = {
     "dim_date": ("date_key",), "dim_customers": ("customer_key",), "dim_products": ("product_key",),
     "dim_employees": ("employee_key",), "dim_distributors": ("distributor_key",),

@@ -38,6 +38,7 @@ class BoundCatalog(Catalog):
         self.bindings = Bindings(spark, folder)
         self.landing = new_folder(spark, "landing")
         self._landed: set[str] = set()
+        self.ingested: Warehouse | None = None
         super().__init__(spark, self.bindings.sources(), new_folder(spark, "tables"))
 
     def landed(self, name: str) -> str:
@@ -145,8 +146,10 @@ def bronze_row_counts(cat):
 
 
 def _ingested(cat) -> Warehouse:
-    """Sales and customers loaded; the product file is missing."""
-    warehouse = new_warehouse(cat)
+    """Sales and customers loaded once for all queries of them; the product file is missing."""
+    if cat.ingested is not None:
+        return cat.ingested
+    warehouse = cat.ingested = new_warehouse(cat)
     paths = {
         "sales_transactions": cat.landed(SALES_FILE),
         "customer_master": cat.landed(CUSTOMER_FILE),
