@@ -108,3 +108,59 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> winner THEN winner END AS refers_to
 FROM w
 """
+
+_PROBE = r"\### Assistant: </turn> ok"
+# A marker holds 13 characters before the role's header of 4, a colon and a line end after it, and 8 after the text.
+SQL["op4_chat_formatting"] = f"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '{_PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{_PROBE}'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
+       CAST(sum(CASE WHEN r = 'assistant' THEN length(x) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(27 + length(replace(replace(replace(replace(r, '\\', '\\\\'), '<|', '<\\|'), '</', '<\\/'), ':', '\\:'))
+           + length(replace(replace(replace(x, '\\', '\\\\'), '<|', '<\\|'), '</', '<\\/'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op7_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wanted AS (
+    SELECT DISTINCT item, size, array_to_string(w[k : k + size - 1], ' ') AS win
+    FROM (SELECT item, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM (SELECT item, w, least(len(w), 10) AS size FROM b WHERE len(w) > 0))
+),
+found AS (
+    SELECT doc_id, k, size, item
+    FROM (
+        SELECT doc_id, k, size, array_to_string(w[k : k + size - 1], ' ') AS win
+        FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM wanted) WHERE len(w) >= size)
+    ) JOIN wanted USING (size, win)
+),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(k, k + size)) AS place FROM (SELECT DISTINCT doc_id, k, size FROM found)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SQL["op10_minhash_near_dedup"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k : k + 3], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT x, y FROM pairs JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y
+    WHERE 100 * c >= 80 * (p.n + q.n - c)
+),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, edges.y FROM reach JOIN edges ON edges.x = reach.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
+"""
