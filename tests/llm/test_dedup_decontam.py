@@ -176,7 +176,9 @@ def test_contamination(leaks, monkeypatch, block_words):
         assert sum(s.stop - s.start for s in r.spans) == r.n_hit
 
 
-def test_cut_texts_hold_no_window(leaks):
+@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 100])
+def test_cut_texts_hold_no_window(leaks, monkeypatch, block_words):
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", block_words)
     frame, bench, docs, items = leaks
     cut = decontam.decontaminate(frame, bench)
     assert cut.columns == frame.columns

@@ -12,7 +12,6 @@ and their words are merged to removal spans.
 from __future__ import annotations
 
 import functools
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +19,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ from tradeloom.llm.runtime import ship, slices, stored, utf8
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _KEPT = bytes(c if WORD.fullmatch(bytes([c])) else 0x20 for c in range(256)).lower()
 #: Bytes of text in a shard, and words of the benchmark held at once.
-SHARD_BYTES, BLOCK_WORDS = 4 << 20, 2_000_000
+SHARD_BYTES, BLOCK_WORDS = 4 << 20, 500_000
 SAMPLE = 8
 ANSWER = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,stop:int>>"
 
@@ -203,21 +203,20 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> list[Windows]:
-    """The benchmark's windows in parts of at most about BLOCK_WORDS words, so that each has a known size."""
+def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> tuple[int, Iterator[Windows]]:
+    """The benchmark's windows in parts of at most about BLOCK_WORDS words, one at a time on the driver."""
     items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), utf8(F.col(text_col)).alias("text")).where("item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, ceil(total / (4 * BLOCK_WORDS)))
-    out = []
-    for k in range(parts):
+
+    def part(k: int) -> Windows:
         mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).collect()
-        out.append(windows([(r.item_id, bytes(r.text)) for r in mine], size))
-    return out
+        return windows([(r.item_id, bytes(r.text)) for r in mine], size)
 
+    return parts, (part(k) for k in range(parts))
 
-def _search(docs: DataFrame, want: Windows) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(want)
 
+def _search(docs: DataFrame, shared: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in slices(batches, "text", SHARD_BYTES):
             texts = [words(t.as_py()) for t in shard.column("text")]
@@ -246,13 +245,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col:
     """
     spark = docs.sparkSession
     ship(spark)
-    blocks = _blocks(benchmark, size, item_col, item_text_col)
+    n, blocks = _blocks(benchmark, size, item_col, item_text_col)
+    share = spark.sparkContext.broadcast
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
-    if len(blocks) == 1:
-        return _search(docs, blocks[0])
+    if n == 1:
+        return _search(docs, share(next(blocks)))
     # Rows are numbered in a stored copy; the number travels as the id.
     numbered = stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    parts = [_search(numbered.select(F.col("row").alias("doc_id"), "text"), b) for b in blocks]
+    parts = []
+    for block in blocks:
+        shared = share(block)
+        parts.append(stored(_search(numbered.select(F.col("row").alias("doc_id"), "text"), shared), "answers"))
+        shared.destroy()
     every = functools.reduce(DataFrame.unionByName, parts).withColumnRenamed("doc_id", "row")
     merged = every.groupBy("row").agg(
         F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all")
@@ -294,7 +298,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_co
     """
     spark = docs.sparkSession
     ship(spark)
-    for want in _blocks(benchmark, size, item_col, item_text_col):
+    n, blocks = _blocks(benchmark, size, item_col, item_text_col)
+    for want in blocks:
         shared = spark.sparkContext.broadcast(want)
         place = docs.columns.index(text_col)
 
@@ -311,8 +316,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_co
                 yield shard
 
         docs = docs.mapInArrow(run, docs.schema)
+        if n > 1:
+            docs = stored(docs, "cut")
+            shared.destroy()
     return docs
-
-
-def digest(item_ids: list[str]) -> str:
-    return hashlib.sha256(",".join(item_ids).encode()).hexdigest()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship
+from tradeloom.llm.runtime import ship, thinned
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -121,13 +121,14 @@ class Parses(dict):
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", texts: int = 200, text_bytes: int = 1 << 16, reference_chars: int = 60_000) -> Languages:
     """References from rows with a language. Null texts and languages are left out.
 
-    For each language the ``texts`` least by a hash, none over ``text_bytes``, go to the driver; the reference is
+    For each language the ``texts`` different ones least by a hash, none over ``text_bytes``, go to the driver; the reference is
     their distinct words, the most frequent first, up to ``reference_chars``. So the driver holds a bounded sample.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.octet_length("text").between(1, text_bytes))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    few = thinned(rows, F.col("text"), texts, "lang").groupBy("lang", F.xxhash64("text").alias("draw")).agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     counts: dict[str, Counter] = {}
-    for r in rows.withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= texts).select("lang", "text").collect():
+    for r in few.withColumn("place", place).where(F.col("place") <= texts).select("lang", "text").collect():
         counts.setdefault(r.lang, Counter()).update(w for w in WORD.findall(r.text.lower()) if len(w) <= LONG_WORD)
     references = {}
     for lang, found in counts.items():

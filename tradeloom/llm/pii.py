@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship
+from tradeloom.llm.runtime import ship, thinned
 
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "secret")
@@ -272,13 +272,14 @@ def train(texts: list[str], rounds: int = 12, rate: float = 0.5, decay: float =
 
 
 def learn(docs: DataFrame, texts: int = 1_500, text_bytes: int = 1 << 14, text_col: str = "text") -> Field:
-    """A field from the ``texts`` least by a hash among those with a digit or @ and at most ``text_bytes``.
+    """A field from the ``texts`` different ones least by a hash among those with a digit or @ and at most ``text_bytes``.
 
     So the driver holds a bounded sample. Without such a text the field is empty and adds nothing.
     """
     text = F.col(text_col)
-    drawn = docs.select(text.alias("text")).where((F.octet_length("text") <= text_bytes) & F.col("text").rlike("[0-9]{5}|@|[0-9][.][0-9]|[+][0-9]"))
-    return train([r.text for r in drawn.orderBy(F.xxhash64("text"), "text").limit(texts).collect()])
+    rows = docs.select(text.alias("text")).where((F.octet_length("text") <= text_bytes) & F.col("text").rlike("[0-9]{5}|@|[0-9][.][0-9]|[+][0-9]"))
+    drawn = thinned(rows, F.col("text"), texts).groupBy(F.xxhash64("text").alias("draw")).agg(F.min("text").alias("text"))
+    return train([r.text for r in drawn.orderBy("draw").limit(texts).collect()])
 
 
 def find(text: str, model: Field) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

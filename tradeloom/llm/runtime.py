@@ -52,6 +52,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def thinned(rows: DataFrame, key: Column, n: int, within: str | None = None) -> DataFrame:
+    """About 2 n rows (of each value of ``within``), those with the least hashes of a key; all where there are fewer.
+
+    What a sample of n is then taken from is small before it is sorted or sent anywhere, at any number of tasks. Equal
+    keys share a hash, so whoever draws by text makes equal texts one row afterwards. The values of ``within`` are
+    broadcast with their counts: they are a model's classes, which every worker holds anyway.
+    """
+    draw = F.pmod(F.xxhash64(key), F.lit(1 << 32))
+    if within is None:
+        share = min(1.0, 2 * n / max(1, rows.count()))
+        return rows.where(draw < share * 2**32)
+    counts = rows.groupBy(within).agg(F.count(F.lit(1)).alias("__n"))
+    return rows.join(F.broadcast(counts), within).where(draw < F.least(F.lit(1.0), 2 * n / F.col("__n")) * 2**32).drop("__n")
+
+
 def utf8(text: Column) -> Column:
     """A text's bytes, none for null: Python workers then need not decode what they only cut."""
     return F.coalesce(text.cast("binary"), F.lit(b""))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship, stored
+from tradeloom.llm.runtime import ship, stored, thinned
 
 # Cyrillic and Greek letters that look like Latin ones, and signs used for letters.
 HOMOGLYPHS = {
@@ -150,7 +150,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = 30_000) ->
     document, and null labels or ids, are left out.
     """
     drawn = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
-    drawn = drawn.withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id", "toxic").limit(sample).drop("draw")
+    drawn = thinned(drawn, F.col("doc_id"), sample).withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id", "toxic").limit(sample).drop("draw")
     return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic")
 
 
