@@ -106,6 +106,17 @@ def test_no_documents(frame):
     assert minhash.near_duplicates(frame[0].where("text is null")).collect()[0].component_id == 1000
 
 
+def test_stored_steps_can_be_deleted(spark, tmp_path):
+    from tradeloom.llm import runtime
+
+    before = runtime._steps.pop(spark.sparkContext.applicationId, [])
+    kept = runtime.stored(spark.range(3), "step")
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    runtime.forget_steps(spark)
+    assert not __import__("os").path.exists(folder)
+    runtime._steps[spark.sparkContext.applicationId] = before
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (500, 499), (500, 499)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tradeloom.session import new_folder
 
 _shipped: set[str] = set()
+_steps: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -49,9 +50,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a step to the shared folder and read it back: later steps neither repeat it nor depend on its executors."""
     path = new_folder(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    _steps.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget_steps(spark: SparkSession) -> None:
+    """Delete the steps that this application has stored, once the results that read them are written."""
+    for path in _steps.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def thinned(rows: DataFrame, key: Column, n: int, within: str | None = None) -> DataFrame:
     """About 2 n rows (of each value of ``within``), those with the least hashes of a key; all where there are fewer.
 
