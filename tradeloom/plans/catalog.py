@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS
 from tradeloom.plans.silver import SILVER_MODELS
+from tradeloom.sources.ingest import expected_bronze
+from tradeloom.sources.specs import SOURCES
 from tradeloom.sources.warehouse import Warehouse, by_month
 
 MODELS = {**SILVER_MODELS, **GOLD_MODELS}
@@ -54,7 +56,10 @@ class Catalog(Mapping[str, DataFrame]):
 
 
 class StoredTables(Mapping[str, DataFrame]):
-    """The tables of a warehouse under the names the models use."""
+    """The tables of a warehouse under the names the models use.
+
+    A Bronze table has every column its model reads; one that no load brought yet is NULL.
+    """
 
     def __init__(self, warehouse: Warehouse):
         self._warehouse = warehouse
@@ -66,7 +71,9 @@ class StoredTables(Mapping[str, DataFrame]):
         return ("staging" if name in SILVER_MODELS else "dwh"), name
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._warehouse.table(*self._place(name))
+        stored = self._warehouse.table(*self._place(name))
+        table = name.removeprefix("raw.")
+        return expected_bronze(stored, SOURCES[table]) if name != table and table in SOURCES else stored
 
     def __iter__(self) -> Iterator[str]:
         return iter(MODELS)

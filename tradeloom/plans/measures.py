@@ -170,7 +170,7 @@ def fulfilment_by(mart: DataFrame, by: Sequence[str]) -> DataFrame:
 def distributor_priority(mart: DataFrame) -> DataFrame:
     """Distributors to act on first: at least an average share of revenue, punctuality below the overall rate.
 
-    Both yardsticks come from one row of totals, read as a scalar subquery.
+    Both yardsticks come from one row of totals over the distributors' own sums, read as a scalar subquery.
     """
     per_distributor = mart.groupBy("distributor_id", "distributor_name").agg(
         F.sum("total_delivered_amount").alias("delivered_revenue"),
@@ -179,11 +179,11 @@ def distributor_priority(mart: DataFrame) -> DataFrame:
         F.sum("on_time_delivery_count").alias("on_time_deliveries"),
         F.sum("delivery_record_count").alias("delivery_records"),
     )
-    overall = mart.agg(
+    overall = per_distributor.agg(
         F.struct(
-            F.sum("total_delivered_amount").alias("revenue"),
+            F.sum("delivered_revenue").alias("revenue"),
             F.count_distinct("distributor_id").alias("members"),
-            safe_ratio(F.sum("on_time_delivery_count"), F.sum("delivery_record_count")).alias("on_time"),
+            safe_ratio(F.sum("on_time_deliveries"), F.sum("delivery_records")).alias("on_time"),
         )
     ).scalar()
     measured = per_distributor.withColumn("_overall", overall).withColumns(
