@@ -162,7 +162,7 @@ def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
     read as a stream that begins with v.
     """
     pairs = stored(pairs, "pairs")
-    sizes = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / F.lit(HUB_MEMBERS)).cast("int").alias("groups"))
+    sizes = stored(pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / F.lit(HUB_MEMBERS)).cast("int").alias("groups")), "hubs")
     members = pairs.join(sizes, "v").select(F.col("u").alias("id"), F.col("v").alias("hub"), F.pmod(F.xxhash64("u"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("member"))
     hubs = sizes.select(F.col("v").alias("id"), F.col("v").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("member"))
     wanted = stored(members.unionByName(hubs), "wanted")
@@ -268,7 +268,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = stored(fingerprints(docs, size), "fingerprints")
     part = prints.where("n_shingles > 0 and doc_id is not null")
-    classes = part.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    # Stored aggregates join as plain exchanges, of which adaptive execution splits a hot key's partition.
+    classes = stored(part.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     members = stored(part.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").select("doc_id", "n_shingles", "rep"), "members")
     heads = members.where("doc_id = rep").select("rep").distinct()
     reps = stored(part.select("doc_id", "n_shingles", "bands", "bytes").join(heads, F.col("doc_id") == F.col("rep")).drop("doc_id").dropDuplicates(["rep", "bands"]), "representatives")

@@ -121,6 +121,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: in
     html = utf8(F.col(html_col))
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("payload"), F.sha1(html).alias("digest"), F.octet_length(html).cast("long").alias("n"))
     first = named.where(F.col("n") >= revisit_from).groupBy("digest").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("copies")).where("copies > 1 and winner is not null").drop("copies")
+    # Stored, it joins as a plain exchange, so that adaptive execution can split the pages of a payload with many copies.
+    first = stored(first, "winners")
     decided = named.join(first, "digest", "left").withColumn("refers_to", F.when(~F.col("winner").eqNullSafe(F.col("page_id")), F.col("winner")))
     decided = decided.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"), "n", "digest", "refers_to")
 
