@@ -38,6 +38,16 @@ def test_units_equal_the_library_on_odd_texts(library):
         expected = library.encode(text, add_special_tokens=False).ids
         assert sum(units.parts(text)) == len(expected), repr(text)
         assert [i for part in encode.parts(text) for i in part] == expected, repr(text)
+        assert np.frombuffer(bytebpe.text_encoder(NAME)(text), "<u4").tolist() == expected, repr(text)
+
+
+def test_whole_texts_equal_the_library(library, spark):
+    encode = bytebpe.text_encoder(NAME)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["x" * 3000 + " y", " " * 3000 + "y", "\n \n" * 300, "a " * 500 + "<|endoftext|>", "".join(map(chr, range(1, 0x250)))]
+    texts += [f"a{chr(c)}1{chr(c)} {chr(c)}!{chr(c)}{chr(c)}" for c in range(1, 0x250)]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_character_classes_agree_where_pretokens_are_cut_here(library):

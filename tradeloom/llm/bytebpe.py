@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 from collections.abc import Callable
 from typing import Any
 
@@ -24,6 +25,9 @@ SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 MEMO_UNITS = 500_000
 # Fixed value: the pattern by which the tokenizer cuts a text into pre-tokens.
 PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# The same, with possessive repeats, which need no way back.
+PLAIN_PRETOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+SHORT_RUNS = re.compile(r"\s{0,199}(?:\S{1,199}(?:\s{1,199}|$))*+")
 # Up to here both regex libraries hold the same characters for letters, digits and white space (tests compare them).
 SAME_CLASSES = regex.compile("[\x00-ɏ]*")
 
@@ -93,6 +97,35 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def ranks(name: str) -> dict[bytes, int]:
+    """The vocabulary by bytes. Its merges stand in the order of their ids, so an id is a merge's rank."""
+    values = {c: b for b, c in byte_letters().items()}
+    added = added_tokens(name)
+    return {bytes(values[c] for c in token): i for token, i in tokenizer(name).get_vocab().items() if token not in added}
+
+
+@functools.lru_cache(maxsize=2)
+def text_encoder(name: str) -> Callable[[str], bytes]:
+    """The ids of a whole text, as little-endian 32-bit numbers.
+
+    Plain texts are encoded by rank in one call. Those with added tokens, with characters that the libraries may class
+    apart, or with a run of which one pre-token would be long, go by units.
+    """
+    import tiktoken
+
+    added = added_tokens(name)
+    units = Units(lambda unit: struct.pack(f"<{len(ids := by_unit(unit))}I", *ids), added)
+    by_unit = unit_encoder(name)
+    plain = tiktoken.Encoding("texts", pat_str=PLAIN_PRETOKENS, mergeable_ranks=ranks(name), special_tokens={})
+
+    def encode(text: str) -> bytes:
+        if not (text.isascii() or SAME_CLASSES.fullmatch(text)) or not SHORT_RUNS.fullmatch(text) or any(a in text for a in added):
+            return b"".join(units.parts(text))
+        return plain.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+
+    return encode
+
+
 @functools.lru_cache(maxsize=2)
 def pretoken_encoder(name: str) -> tuple[dict[str, int], Callable[[str], list[int]]]:
     """The strings proved to encode alone as one token, with its id; and the ids of any one pre-token by merging.
@@ -106,11 +139,9 @@ def pretoken_encoder(name: str) -> tuple[dict[str, int], Callable[[str], list[in
     proved = t.encode_batch(list(texts.values()), add_special_tokens=False)
     added = added_tokens(name)
     whole = {s: i for (i, s), e in zip(texts.items(), proved, strict=True) if e.ids == [i] and s not in added and SAME_CLASSES.fullmatch(s) and PRETOKENS.fullmatch(s)}
-    # The vocabulary's merges stand in the order of their ids, so ids are ranks; a text is one piece here. Building
-    # a list of ids is the larger part of a merge, and this library does it in a third of the time.
-    values = {c: b for b, c in byte_letters().items()}
-    ranks = {bytes(values[c] for c in token): i for token, i in t.get_vocab().items() if token not in added}
-    one_piece = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    # A text is one piece here. Building a list of ids is the larger part of a merge, and this library does it in a
+    # third of the time.
+    one_piece = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks(name), special_tokens={})
 
     def merged(pretoken: str) -> list[int]:
         # Its time grows with the square of a piece's length, the tokenizer's does not.

@@ -10,8 +10,6 @@ their unfilled bins to a common pool that is dealt and packed again.
 
 from __future__ import annotations
 
-import functools
-import struct
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -22,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.bytebpe import Units, added_tokens, unit_encoder
+from tradeloom.llm.bytebpe import text_encoder
 from tradeloom.llm.runtime import ship, stored
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,12 +28,6 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, certified boolean"
 
 
-@functools.lru_cache(maxsize=2)
-def unit_ids(name: str) -> Units:
-    encode = unit_encoder(name)
-    return Units(lambda unit: struct.pack(f"<{len(ids := encode(unit))}I", *ids), added_tokens(name))
-
-
 def cut(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_name: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32. A document is its ids and then ``end_id``.
 
@@ -44,11 +36,11 @@ def cut(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_name:
     ship(docs.sparkSession)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, end = unit_ids(tokenizer_name), np.asarray([end_id], "<u4").tobytes()
+        encode, end = text_encoder(tokenizer_name), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), ([], [], [], [], [])
             for doc, text in zip(ids, batch.column(1), strict=True):
-                data = b"".join(units.parts(text.as_py() or "")) + end
+                data = encode(text.as_py() or "") + end
                 n = len(data) // 4
                 start = 0
                 stop = n % capacity or min(n, capacity)
