@@ -24,7 +24,7 @@ from tradeloom.llm.runtime import ship, thinned
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
-MEMO_WORDS, LONG_WORD = 400_000, 64
+MEMO_WORDS, LONG_WORD = 150_000, 64
 
 
 class SuffixAutomaton:
