@@ -92,6 +92,23 @@ def test_languages_of_odd_rows(spark):
     assert langid.learn(spark.createDataFrame([(None, "en"), ("x", None), ("", "de")], "text string, lang string")).references == {}
 
 
+def test_copies_do_not_thin_a_language(spark):
+    few = {f"zor{k}{c}" for k in range(3) for c in "abcd"}
+    rows = [(f"zor{k}{c}", "zz") for k in range(3) for c in "abcd" for _ in range(1500)] + [(f"the word{k} of", "en") for k in range(900)]
+    learned = langid.learn(spark.createDataFrame(rows, "text string, lang string")).references
+    # Digits are no letters: the texts' words are zor and one letter each.
+    assert set(learned) == {"en", "zz"} and set(learned["zz"].split()) == {w for t in few for w in langid.WORD.findall(t)}
+
+
+def test_copies_do_not_thin_the_sample_for_personal_data(spark, monkeypatch):
+    monkeypatch.setattr(pii, "train", lambda texts: texts)
+    rows = [("a copy 12345",)] * 6000 + [(f"call +1 555 0100{k}",) for k in range(120)]
+    docs = spark.createDataFrame(rows, "text string")
+    drawn = pii.learn(docs, texts=50)
+    assert len(drawn) == len(set(drawn)) == 50
+    assert sorted(pii.learn(docs, texts=121)) == sorted({t for t, in rows})
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 

@@ -62,17 +62,20 @@ def forget_steps(spark: SparkSession) -> None:
 
 
 def thinned(rows: DataFrame, key: Column, n: int, within: str | None = None) -> DataFrame:
-    """About 2 n rows (of each value of ``within``), those with the least hashes of a key; all where there are fewer.
+    """All rows of about 2 n different keys (of each value of ``within``), the least by a hash; of all keys where there are fewer.
 
-    What a sample of n is then taken from is small before it is sorted or sent anywhere, at any number of tasks. Equal
-    keys share a hash, so whoever draws by text makes equal texts one row afterwards. The values of ``within`` are
-    broadcast with their counts: they are a model's classes, which every worker holds anyway.
+    What a sample of n is then taken from is small before it is sorted or sent anywhere, at any number of tasks. The
+    share is set by the different keys, counted by their hashes and combined before the shuffle: copies of a key
+    neither lower it nor meet in one task. Equal keys share a hash, so whoever draws by text makes equal texts one row
+    afterwards. The values of ``within`` are broadcast with their counts: they are a model's classes, which every
+    worker holds anyway.
     """
     draw = F.pmod(F.xxhash64(key), F.lit(1 << 32))
+    keys = rows.select(*([within] if within else []), F.xxhash64(key).alias("__key")).distinct()
     if within is None:
-        share = min(1.0, 2 * n / max(1, rows.count()))
+        share = min(1.0, 2 * n / max(1, keys.count()))
         return rows.where(draw < share * 2**32)
-    counts = rows.groupBy(within).agg(F.count(F.lit(1)).alias("__n"))
+    counts = keys.groupBy(within).agg(F.count(F.lit(1)).alias("__n"))
     return rows.join(F.broadcast(counts), within).where(draw < F.least(F.lit(1.0), 2 * n / F.col("__n")) * 2**32).drop("__n")
 
 
