@@ -199,6 +199,40 @@ def test_cut_texts_hold_no_window(leaks, monkeypatch, block_words):
         assert n or rows[k] == docs[k]
 
 
+def plain_cut(text, items, size=10):
+    """All items' windows found, then cut, until none is left."""
+    found = {}
+    for _, t in items:
+        w = WORD.findall(low(t))
+        for k in range(max(1, len(w) - size + 1) if w else 0):
+            found[tuple(w[k : k + size])] = True
+    while True:
+        at = list(WORD.finditer(text))
+        w = [low(m[0]) for m in at]
+        hit = {p for n in {len(x) for x in found} for k in range(len(w) - n + 1) if tuple(w[k : k + n]) in found for p in range(k, k + n)}
+        if not hit:
+            return text
+        runs = [(a, next(b for b in range(a, len(w) + 1) if b not in hit)) for a in sorted(hit) if a - 1 not in hit]
+        for a, b in reversed(runs):
+            text = text[: at[a].start()] + text[at[b - 1].end() :]
+
+
+@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 40])
+def test_parts_cut_what_one_part_cuts(spark, monkeypatch, block_words):
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", block_words)
+    w = [f"w{k}" for k in range(1, 41)]
+    # Windows that overlap, and one that a cut brings together, in both orders of the items' parts.
+    items = [(k, " ".join(w[5 * k : 5 * k + 10])) for k in range(7)] + [(100 + k, " ".join(f"{p}{k}" for p in "abcdefghij")) for k in range(12)]
+    docs = [" ".join(["x,", *w[:15], "; y"]), " ".join(w[:35]), " ".join(w), " ".join(w[12:31]) + "."]
+    for k in range(12):
+        for j in range(12):
+            docs.append(" ".join([*(f"{p}{k}" for p in "abcde"), *(f"{p}{j}" for p in "abcdefghij"), *(f"{p}{k}" for p in "fghij"), "end"]))
+    frame = spark.createDataFrame([(k, t, "r", 1) for k, t in enumerate([*docs, None])], "doc_id long, text string, row string, round int")
+    cut = decontam.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert cut.columns == frame.columns
+    assert {r.doc_id: r.text for r in cut.collect()} == {**{k: plain_cut(t, items) for k, t in enumerate(docs)}, len(docs): None}
+
+
 def test_nothing_to_search(leaks):
     frame, bench, docs, _ = leaks
     assert decontam.contamination(frame.limit(0), bench).count() == 0

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil
 
@@ -203,8 +203,8 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> tuple[int, Iterator[Windows]]:
-    """The benchmark's windows in parts of at most about BLOCK_WORDS words, one at a time on the driver."""
+def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> tuple[int, Callable[[int], Windows]]:
+    """The benchmark's windows in parts of at most about BLOCK_WORDS words, each made on the driver when asked for."""
     items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), utf8(F.col(text_col)).alias("text")).where("item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, ceil(total / (4 * BLOCK_WORDS)))
@@ -213,7 +213,7 @@ def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> tupl
         mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).collect()
         return windows([(r.item_id, bytes(r.text)) for r in mine], size)
 
-    return parts, (part(k) for k in range(parts))
+    return parts, part
 
 
 def _search(docs: DataFrame, shared: Broadcast) -> DataFrame:
@@ -236,6 +236,29 @@ def _search(docs: DataFrame, shared: Broadcast) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, ANSWER)
 
 
+def _united(docs: DataFrame, parts: int, block: Callable[[int], Windows], hits_only: bool = False) -> DataFrame:
+    """The answers of all parts to the same texts, united by doc_id, which is a row's own number here."""
+    context, found = docs.sparkSession.sparkContext, []
+    for k in range(parts):
+        shared = context.broadcast(block(k))
+        answers = _search(docs, shared)
+        found.append(stored(answers.where("n_hit > 0") if hits_only else answers, "answers"))
+        shared.destroy()
+    every = functools.reduce(DataFrame.unionByName, found)
+    merged = every.groupBy("doc_id").agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all")
+    )
+    start = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"))
+    folded = F.aggregate(
+        "all",
+        F.array(start),
+        lambda acc, x: F.when(x["start"] <= F.element_at(acc, -1)["stop"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["stop"], x["stop"]).alias("stop"))))).otherwise(F.concat(acc, F.array(x))),
+    )
+    merged = merged.withColumn("spans", F.filter(folded, lambda x: x["start"] >= 0))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["stop"] - x["start"])
+    return merged.withColumn("n_hit", n_hit).select("doc_id", "n_words", "n_hit", "item_ids", "spans")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_hit, item_ids (sorted as strings), spans of hit words [start, stop).
 
@@ -245,48 +268,68 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col:
     """
     spark = docs.sparkSession
     ship(spark)
-    n, blocks = _blocks(benchmark, size, item_col, item_text_col)
-    share = spark.sparkContext.broadcast
+    n, block = _blocks(benchmark, size, item_col, item_text_col)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
     if n == 1:
-        return _search(docs, share(next(blocks)))
+        return _search(docs, spark.sparkContext.broadcast(block(0)))
     # Rows are numbered in a stored copy; the number travels as the id.
     numbered = stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    parts = []
-    for block in blocks:
-        shared = share(block)
-        parts.append(stored(_search(numbered.select(F.col("row").alias("doc_id"), "text"), shared), "answers"))
-        shared.destroy()
-    every = functools.reduce(DataFrame.unionByName, parts).withColumnRenamed("doc_id", "row")
-    merged = every.groupBy("row").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all")
-    )
-    start = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"))
-    folded = F.aggregate(
-        "all",
-        F.array(start),
-        lambda acc, x: F.when(x["start"] <= F.element_at(acc, -1)["stop"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["stop"], x["stop"]).alias("stop"))))).otherwise(F.concat(acc, F.array(x))),
-    )
-    merged = merged.withColumn("spans", F.filter(folded, lambda x: x["start"] >= 0))
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["stop"] - x["start"])
-    return numbered.select("row", "doc_id").join(merged.withColumn("n_hit", n_hit), "row").select("doc_id", "n_words", "n_hit", "item_ids", "spans")
+    merged = _united(numbered.select(F.col("row").alias("doc_id"), "text"), n, block).withColumnRenamed("doc_id", "row")
+    return numbered.select("row", "doc_id").join(merged, "row").select("doc_id", "n_words", "n_hit", "item_ids", "spans")
+
+
+def cut_spans(text: bytes, runs: list[tuple[int, int]]) -> bytes:
+    """A text without these runs of its words, each cut from its first word's start to its last word's end."""
+    found = list(WORD.finditer(text))
+    kept, last = [], 0
+    for a, b in runs:
+        kept.append(text[last : found[a].start()])
+        last = found[b - 1].end()
+    return b"".join([*kept, text[last:]])
 
 
 def cut_out(text: bytes, want: Windows) -> tuple[bytes, int]:
     """A text without its removal spans, searched again until a cut leaves none; and the words removed."""
     removed = 0
     while True:
-        found = list(WORD.finditer(text))
         _, hit, _ = occurrences([words(text)], want)
         runs = spans(hit)
         if not runs:
             return text, removed
-        kept, last = [], 0
-        for a, b in runs:
-            kept.append(text[last : found[a].start()])
-            last = found[b - 1].end()
-            removed += b - a
-        text = b"".join([*kept, text[last:]])
+        removed += sum(b - a for a, b in runs)
+        text = cut_spans(text, runs)
+
+
+def _cut_by_all(docs: DataFrame, parts: int, block: Callable[[int], Windows], text_col: str) -> DataFrame:
+    """What cut_out does with all parts' windows at once: every round cuts the united spans of all parts.
+
+    Only texts that were cut are searched in the next round, until no part hits. Rows are numbered in a stored copy.
+    """
+    row, of, new = "row", "row_cut", "row_text"
+    while {row, of, new} & set(map(str.lower, docs.columns)):
+        row, of, new = f"_{row}", f"_{of}", f"_{new}"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    todo = numbered.select(F.col(row).alias("doc_id"), utf8(F.col(text_col)).alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [cut_spans(t.as_py(), [(s["start"], s["stop"]) for s in r.as_py()]) for t, r in zip(batch.column("text"), batch.column("spans"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+
+    rounds: list[DataFrame] = []
+    while True:
+        found = _united(todo, parts, block, hits_only=True).select("doc_id", "spans")
+        todo = stored(todo.join(found, "doc_id").select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, text binary"), "cut")
+        if todo.isEmpty():
+            break
+        rounds.append(todo.withColumn("round", F.lit(len(rounds))))
+    if not rounds:
+        return numbered.drop(row)
+    last = functools.reduce(DataFrame.unionByName, rounds).groupBy("doc_id").agg(F.max(F.struct("round", "text")).alias("last"))
+    last = last.select(F.col("doc_id").alias(of), F.col("last.text").cast("string").alias(new))
+    # A text that was cut to nothing is empty, not null.
+    joined = numbered.join(last, F.col(row) == F.col(of), "left")
+    return joined.select(*(F.coalesce(new, F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -294,29 +337,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_co
 
     Where a cut brings words together that make a window, they are cut too. Null texts stay null, a text that is
     nothing but windows becomes what stood around them, and untouched texts keep every byte. A large benchmark's
-    parts are cut out one after another.
+    parts are all searched before each cut, so the number of parts does not change the result.
     """
     spark = docs.sparkSession
     ship(spark)
-    n, blocks = _blocks(benchmark, size, item_col, item_text_col)
-    for want in blocks:
-        shared = spark.sparkContext.broadcast(want)
-        place = docs.columns.index(text_col)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, place=place) -> Iterator[pa.RecordBatch]:
-            for shard in slices(batches, text_col, SHARD_BYTES):
-                texts = [(t.as_py() or "").encode() for t in shard.column(place)]
-                begin, hit, _ = occurrences([words(t) for t in texts], shared.value)
-                if hit.any():
-                    for k, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
-                        if hit[a:b].any():
-                            texts[k] = cut_out(texts[k], shared.value)[0]
-                    values = [None if old is None else t.decode() for old, t in zip(shard.column(place).to_pylist(), texts, strict=True)]
-                    shard = shard.set_column(place, shard.schema.field(place), pa.array(values, shard.schema.field(place).type))
-                yield shard
-
-        docs = docs.mapInArrow(run, docs.schema)
-        if n > 1:
-            docs = stored(docs, "cut")
-            shared.destroy()
-    return docs
+    n, block = _blocks(benchmark, size, item_col, item_text_col)
+    if n > 1:
+        return _cut_by_all(docs, n, block, text_col)
+    shared, place = spark.sparkContext.broadcast(block(0)), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in slices(batches, text_col, SHARD_BYTES):
+            texts = [(t.as_py() or "").encode() for t in shard.column(place)]
+            begin, hit, _ = occurrences([words(t) for t in texts], shared.value)
+            if hit.any():
+                for k, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
+                    if hit[a:b].any():
+                        texts[k] = cut_out(texts[k], shared.value)[0]
+                values = [None if old is None else t.decode() for old, t in zip(shard.column(place).to_pylist(), texts, strict=True)]
+                shard = shard.set_column(place, shard.schema.field(place), pa.array(values, shard.schema.field(place).type))
+            yield shard
+
+    return docs.mapInArrow(run, docs.schema)
