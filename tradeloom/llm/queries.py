@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import langid, pii, toxicity
+from tradeloom.llm import langid, pii, simhash, toxicity
+from tradeloom.llm.centroids import cluster
 from tradeloom.llm.chat import format_conversations, read_back
+from tradeloom.llm.codes import compress
 from tradeloom.llm.decontam import contamination
 from tradeloom.llm.minhash import near_duplicates
 from tradeloom.llm.neighbours import nearest
@@ -99,6 +101,21 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
 
 
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 SQL["op5_warc"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
 d AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS digest FROM p),
@@ -164,3 +181,99 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
 """
+
+
+def _usable(more: str = "") -> str:
+    """A vector that is there and holds finite components alone, as DuckDB has it."""
+    return f"embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0{more}"
+
+
+#: floor(s / n) of integers, n above 0.
+_FLOOR_MEAN = "CAST((s - ((s % n) + n) % n) // n AS DOUBLE)"
+
+
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds one after another; a vector's nearest centroid is the least of distance * k + number."""
+    parts = [
+        f"""v AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS y
+    FROM embeddings WHERE {_usable(" AND len(embedding) = 64")}
+)""",
+        f"""c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), vec_id, y) - 1 AS g, y AS c FROM v
+    WHERE vec_id IS NOT NULL QUALIFY g < {k}
+)""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+    SELECT row, min(CAST(list_dot_product(y, y) - 2 * list_dot_product(y, c) + list_dot_product(c, c) AS BIGINT) * {k} + g) AS m
+    FROM v, c{r} GROUP BY row
+)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (
+    SELECT g, coalesce(mean, c) AS c FROM c{r} LEFT JOIN (
+        SELECT g, list({_FLOOR_MEAN} ORDER BY place) AS mean
+        FROM (
+            SELECT m % {k} AS g, place, sum(CAST(y[place] AS BIGINT)) AS s, count(*) AS n
+            FROM a{r} JOIN v USING (row), range(1, 65) AS p(place) GROUP BY 1, 2
+        ) GROUP BY g
+    ) USING (g)
+)"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(g AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY g) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string([CAST(x AS BIGINT) for x in c], ',')) AS centroid_sha256
+FROM (SELECT vec_id, m % {k} AS g, m // {k} AS distance FROM a{rounds} JOIN v USING (row)) JOIN c{rounds} USING (g)
+"""
+
+
+SQL["op11_centroid_clustering"] = _clustering_sql()
+
+
+def _codes_sql(entries: int = 256, rounds: int = 4, parts: int = 4) -> str:
+    """The rounds one after another; a part's nearest entry is the least of distance * entries + index."""
+    chain = [
+        f"""v AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, label, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS y
+    FROM embeddings WHERE {_usable()}
+)""",
+        f"""p AS MATERIALIZED (
+    SELECT row, part, y[part * (len(y) // {parts}) + 1 : (part + 1) * (len(y) // {parts})] AS y FROM v, range({parts}) AS t(part)
+)""",
+        f"""b0 AS MATERIALIZED (
+    SELECT part, e, p.y AS c FROM (SELECT row, row_number() OVER (ORDER BY vec_id, y) - 1 AS e FROM v WHERE vec_id IS NOT NULL QUALIFY e < {entries}) JOIN p USING (row)
+)""",
+    ]
+    for r in range(rounds + 1):
+        chain.append(
+            f"""a{r} AS MATERIALIZED (
+    SELECT row, part, min(CAST(list_dot_product(y, y) - 2 * list_dot_product(y, c) + list_dot_product(c, c) AS BIGINT) * {entries} + e) AS m
+    FROM p JOIN b{r} USING (part) GROUP BY row, part
+)"""
+        )
+        if r < rounds:
+            chain.append(
+                f"""b{r + 1} AS MATERIALIZED (
+    SELECT part, e, coalesce(mean, c) AS c FROM b{r} LEFT JOIN (
+        SELECT part, e, list({_FLOOR_MEAN} ORDER BY place) AS mean
+        FROM (
+            SELECT part, m % {entries} AS e, place, sum(CAST(y[place] AS BIGINT)) AS s, count(*) AS n
+            FROM (SELECT part, m, y, unnest(range(1, len(y) + 1)) AS place FROM a{r} JOIN p USING (row, part)) GROUP BY 1, 2, 3
+        ) GROUP BY 1, 2
+    ) USING (part, e)
+)"""
+            )
+    return f"""WITH {", ".join(chain)},
+coded AS (
+    SELECT row, string_agg(printf('%02x', m % {entries}), '' ORDER BY part) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY row
+),
+books AS (SELECT sha256(string_agg(array_to_string([CAST(x AS BIGINT) for x in c], ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN coded USING (row), books
+"""
+
+
+SQL["op12_vector_codes"] = _codes_sql()

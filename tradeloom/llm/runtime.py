@@ -103,3 +103,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             held += n or 0
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+class Rewritten:
+    """A step that is written anew in every turn of a loop; the turn before is deleted once the next is whole.
+
+    The disk then holds two turns at most, and a lost executor costs a part of one.
+    """
+
+    def __init__(self, name: str):
+        self.name = name
+        self.path: str | None = None
+
+    def write(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        now = stored(df, self.name)
+        steps = _steps[spark.sparkContext.applicationId]
+        if self.path:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            steps.remove(self.path)
+        self.path = steps[-1]
+        return now
