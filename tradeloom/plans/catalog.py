@@ -7,8 +7,10 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS
-from tradeloom.plans.silver import SILVER_MODELS
+from tradeloom.plans.silver import SILVER_MODELS, SPECS, silver
+from tradeloom.sources.batches import commits, committed
 from tradeloom.sources.ingest import expected_bronze
+from tradeloom.sources.newest import NewestState
 from tradeloom.sources.specs import SOURCES
 from tradeloom.sources.warehouse import Warehouse, by_month
 
@@ -58,11 +60,14 @@ class Catalog(Mapping[str, DataFrame]):
 class StoredTables(Mapping[str, DataFrame]):
     """The tables of a warehouse under the names the models use.
 
-    A Bronze table has every column its model reads; one that no load brought yet is NULL.
+    A Bronze table has every column its model reads; one that no load brought yet is NULL. Batches that never got
+    their audit row are not read. With ``states``, Silver models of one row per key are read from the states that
+    ``refresh_silver`` keeps.
     """
 
-    def __init__(self, warehouse: Warehouse):
+    def __init__(self, warehouse: Warehouse, states: bool = False):
         self._warehouse = warehouse
+        self._states = states
 
     @staticmethod
     def _place(name: str) -> tuple[str, str]:
@@ -71,9 +76,12 @@ class StoredTables(Mapping[str, DataFrame]):
         return ("staging" if name in SILVER_MODELS else "dwh"), name
 
     def __getitem__(self, name: str) -> DataFrame:
-        stored = self._warehouse.table(*self._place(name))
         table = name.removeprefix("raw.")
-        return expected_bronze(stored, SOURCES[table]) if name != table and table in SOURCES else stored
+        if name != table and table in SOURCES:
+            return expected_bronze(committed(self._warehouse, table), SOURCES[table])
+        if self._states and name in SPECS:
+            return silver_state(self._warehouse, name).rows()
+        return self._warehouse.table(*self._place(name))
 
     def __iter__(self) -> Iterator[str]:
         return iter(MODELS)
@@ -82,10 +90,40 @@ class StoredTables(Mapping[str, DataFrame]):
         return len(MODELS)
 
 
-def build(warehouse: Warehouse, models: list[str] | None = None) -> StoredTables:
-    """Rebuild models from a warehouse's Bronze tables, in dependency order."""
-    tables = StoredTables(warehouse)
+def silver_state(warehouse: Warehouse, model: str, parts: int = 64) -> NewestState:
+    return NewestState(warehouse, model, SPECS[model].key, parts=parts)
+
+
+def refresh_silver(warehouse: Warehouse, model: str, parts: int = 64) -> list[int]:
+    """Merge the batches that came since the last refresh into a Silver model's state; returns the parts rewritten.
+
+    Only these batches are read, cleaned and typed. The state then equals the model built from all batches.
+    """
+    source = SPECS[model].source.removeprefix("raw.")
+    state = silver_state(warehouse, model, parts)
+    had = state.merged()
+    new = sorted(r.batch_id for r in commits(warehouse, source).collect() if r.batch_id not in had)  # one name a load
+    if not new and state.exists():
+        return []
+    return state.merge(new_rows(warehouse, model, new), new)
+
+
+def new_rows(warehouse: Warehouse, model: str, batches: list[str]) -> DataFrame:
+    """A Silver model over some batches alone."""
+    source = SPECS[model].source.removeprefix("raw.")
+    return silver(SPECS[model], expected_bronze(committed(warehouse, source, batches), SOURCES[source]))
+
+
+def build(warehouse: Warehouse, models: list[str] | None = None, incremental: bool = False) -> StoredTables:
+    """Rebuild models from a warehouse's Bronze tables, in dependency order.
+
+    When ``incremental``, Silver models of one row per key take in new batches only.
+    """
+    tables = StoredTables(warehouse, incremental)
     for name in models or MODELS:
+        if incremental and name in SPECS:
+            refresh_silver(warehouse, name)
+            continue
         layer, table = StoredTables._place(name)
         warehouse.materialize(MODELS[name](tables), layer, table, FACT_DATES.get(name))
     return tables

@@ -440,6 +440,10 @@ def cells(table: str) -> str:
 
 
 SQL["bronze_load_all"] = f"SELECT *, count(*) AS n FROM ({' UNION ALL '.join(cells(t) for t in SOURCES)}) GROUP BY ALL"
+SQL["bronze_retry_once"] = f"SELECT table_name, 'load-1' AS _batch_id, cells, count(*) AS n FROM ({cells('customer_master')}) GROUP BY ALL"
+SQL["silver_incremental"] = doubles(
+    """(SELECT * FROM stg_customers UNION ALL SELECT * REPLACE ('L' || customer_id AS customer_id,
+        TIMESTAMP '2023-12-31 00:00:00' AS _ingested_at, 'batch-0' AS _batch_id) FROM stg_customers WHERE _batch_id = 'batch-2')""", "credit_limit")
 SQL["target_sheets_aligned"] = """
     SELECT sheet_name, version_label, employee_id, month_col, target_revenue, CASE WHEN version_label = 'v2' THEN target_quantity END AS target_quantity
     FROM raw_sales_targets_raw WHERE version_label IN ('v1', 'v2')"""
