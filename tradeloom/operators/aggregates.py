@@ -41,32 +41,21 @@ def totals_with_distinct(
     df: DataFrame, by: Mapping[str, Column], counted: tuple[str, str], also: tuple[str, str],
     sums: Mapping[str, str], counts: Mapping[str, Column],
 ) -> DataFrame:
-    """Sums and counts per group, beside exact distinct counts of two columns.
+    """Sums and counts per group, beside exact distinct counts of two columns, from one scan.
 
-    ``counted`` and ``also`` are (column, new name). Rows are first summed per
-    (group, ``counted`` value), so that one shuffle carries both the sums and the
-    first count; the second column's distinct pairs go through a narrow shuffle of
-    their own. No row is multiplied, and a busy group spreads over many tasks.
+    ``counted`` and ``also`` are (column, new name). Spark expands each row once for
+    either column and once for the sums, within the scan's stage; what is shuffled
+    is combined before: the distinct pairs of (group, value), and one row of sums
+    for each group and task. A busy group's pairs spread over many tasks.
     """
-    named = df.select(*[c.alias(f"_{n}") for n, c in by.items()], *{counted[0], also[0], *sums.values()}, *[c.alias(f"_{n}") for n, c in counts.items()])
-    group = [f"_{n}" for n in by]
-
-    def kind(column: str) -> str:
-        one = df.schema[column].dataType
-        return f"decimal({min(38, one.precision + 10)},{one.scale})"
-
-    first = named.groupBy(*group, counted[0]).agg(
-        *[F.sum(c).alias(f"_{n}_sum") for n, c in sums.items()], *[F.count_if(f"_{n}").alias(f"_{n}_count") for n in counts]
+    named = df.select(
+        *[c.alias(n) for n, c in by.items()], F.col(counted[0]).alias("_counted"), F.col(also[0]).alias("_also"),
+        *[F.col(c).alias(f"_{n}") for n, c in sums.items()], *[c.alias(f"_{n}") for n, c in counts.items()],
     )
-    totals = first.groupBy(*group).agg(
-        F.count(counted[0]).alias(counted[1]),
-        *[F.sum(f"_{n}_sum").cast(kind(c)).alias(n) for n, c in sums.items()],
-        *[F.sum(f"_{n}_count").alias(n) for n in counts],
+    return named.groupBy(*by).agg(
+        F.count_distinct("_counted").alias(counted[1]), F.count_distinct("_also").alias(also[1]),
+        *[F.sum(f"_{n}").alias(n) for n in sums], *[F.count_if(f"_{n}").alias(n) for n in counts],
     )
-    pairs = named.select(*group, also[0]).distinct().groupBy(*[F.col(g).alias(f"{g}_too") for g in group]).agg(F.count(also[0]).alias(also[1]))
-    same = [F.col(g).eqNullSafe(F.col(f"{g}_too")) for g in group]
-    joined = totals.join(pairs, same)
-    return joined.select(*[F.col(f"_{n}").alias(n) for n in by], counted[1], also[1], *sums, *counts)
 
 
 def employee_month_actuals(fact_sales: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS
 from tradeloom.plans.silver import SILVER_MODELS, SPECS, silver
 from tradeloom.sources.batches import commits, committed
 from tradeloom.sources.ingest import expected_bronze
+from tradeloom.sources.keymap import KeyMaps
 from tradeloom.sources.newest import NewestState
 from tradeloom.sources.specs import SOURCES
 from tradeloom.sources.warehouse import Warehouse, by_month
@@ -68,6 +69,8 @@ class StoredTables(Mapping[str, DataFrame]):
     def __init__(self, warehouse: Warehouse, states: bool = False):
         self._warehouse = warehouse
         self._states = states
+        #: Surrogate keys are stored beside the tables, so that a rebuild moves none.
+        self.key_maps = KeyMaps(warehouse)
 
     @staticmethod
     def _place(name: str) -> tuple[str, str]:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions import date_key, fiscal_quarter, fiscal_year, iso_weekday, safe_ratio, tier
+from tradeloom.functions import date_key, fiscal_quarter, fiscal_year, iso_weekday, month_start, safe_ratio, tier
 from tradeloom.operators.aggregates import distinct_members, distributor_month, employee_month_actuals
+from tradeloom.operators.bitmaps import activity
 from tradeloom.operators.columns import LINEAGE
 from tradeloom.operators.joins import asof_scd, date_lookup, full_outer_coalesce, lookup
 from tradeloom.operators.keys import assert_pk
-from tradeloom.operators.numbering import dense_surrogate, surrogate
+from tradeloom.operators.numbering import surrogate
 from tradeloom.operators.versions import scd2
 from tradeloom.sources.readers import date_spine
 
@@ -85,22 +86,54 @@ def dim_employees(src: Tables) -> DataFrame:
     )
 
 
+def numbered(src: Tables, name: str, members: DataFrame, order: Sequence[str], key: str) -> DataFrame:
+    """Members with their surrogate keys: from the tables' stored maps where they have such, else 1..n by ``order``."""
+    maps = getattr(src, "key_maps", None)
+    return maps.extend(name, members, order, key) if maps else surrogate(members, order, key)
+
+
 def dim_regions(src: Tables) -> DataFrame:
-    return assert_pk(surrogate(distinct_members(src["dim_customers"], ["region"]), ["region"], "region_key"), ["region_key"])
+    members = distinct_members(src["dim_customers"], ["region"])
+    return assert_pk(numbered(src, "regions", members, ["region"], "region_key"), ["region_key"])
 
 
 def dim_geography(src: Tables) -> DataFrame:
-    """Region and province pairs; ``region_key`` is the region's number in name order."""
+    """Region and province pairs; ``region_key`` is that of the region dimension, which has the same members."""
     members = distinct_members(src["dim_customers"], ["region", "province"])
-    keyed = dense_surrogate(
-        surrogate(members, ["region", "province"], "geography_key"), "region", "region_key"
-    )
+    keyed = numbered(src, "geography", members, ["region", "province"], "geography_key")
+    keyed = keyed.join(src["dim_regions"], "region", "left")
     return assert_pk(keyed.select("geography_key", "region_key", "region", "province"), ["geography_key"])
 
 
 def dim_channels(src: Tables) -> DataFrame:
     """Channels that occur in sales, so it is built after the sales fact."""
-    return assert_pk(surrogate(distinct_members(src["fact_sales"], ["channel"]), ["channel"], "channel_key"), ["channel_key"])
+    members = distinct_members(src["fact_sales"], ["channel"])
+    return assert_pk(numbered(src, "channels", members, ["channel"], "channel_key"), ["channel_key"])
+
+
+PLACE = ("region", "province", "channel")
+
+
+def key_customers(src: Tables) -> DataFrame:
+    """Numbers of the customers that occur in sales, those of one place together."""
+    buyers = src["fact_sales"].where("customer_id is not null").groupBy("customer_id")
+    members = buyers.agg(*[F.min(c).alias(c) for c in PLACE])
+    return _numbers(src, "customers", members, PLACE, "customer_id", "customer_no")
+
+
+def key_orders(src: Tables) -> DataFrame:
+    """Numbers of the orders that occur in sales, those of one month and place together."""
+    orders = src["fact_sales"].where("order_id is not null").groupBy("order_id")
+    members = orders.agg(F.min(month_start("order_date")).alias("month_date"), *[F.min(c).alias(c) for c in PLACE])
+    return _numbers(src, "orders", members, ("month_date", *PLACE), "order_id", "order_no")
+
+
+def _numbers(src: Tables, name: str, members: DataFrame, near: Sequence[str], column: str, key: str) -> DataFrame:
+    """A number for each member. Where it was seen first decides its place among new ones, but does not identify it."""
+    maps = getattr(src, "key_maps", None)
+    if not maps:
+        return surrogate(members, [*near, column], key).select(column, key)
+    return maps.extend_by(name, members, column, near, key)
 
 
 def fact_sales(src: Tables) -> DataFrame:
@@ -241,6 +274,19 @@ def mart_distributor_performance(src: Tables) -> DataFrame:
     )
 
 
+def mart_sales_activity(src: Tables) -> DataFrame:
+    """Buying customers and orders as bitmaps of their numbers, with sales, per month and place.
+
+    Any grouping of these columns has its distinct counts from here, without the fact: ``roll_up``.
+    """
+    lines = src["fact_sales"]
+    lines = lookup(lines, src["key_customers"], "customer_id", {"customer_no": "customer_no"})
+    lines = lookup(lines, src["key_orders"], "order_id", {"order_no": "order_no"})
+    by = {"month_date": month_start("order_date"), **{c: F.col(c) for c in PLACE}}
+    sums = {"revenue": "net_amount", "gross_profit": "gross_profit", "units_sold": "quantity"}
+    return activity(lines, by, {"customers": "customer_no", "orders": "order_no"}, sums)
+
+
 # The date each order-line fact is read by.
 FACT_DATES = {"fact_sales": "order_date", "fact_returns": "return_date", "fact_distributor_orders": "order_date"}
 
@@ -258,6 +304,9 @@ GOLD_MODELS = {
     "fact_targets": fact_targets,
     "fact_distributor_orders": fact_distributor_orders,
     "dim_channels": dim_channels,
+    "key_customers": key_customers,
+    "key_orders": key_orders,
+    "mart_sales_activity": mart_sales_activity,
     "mart_sales_vs_target": mart_sales_vs_target,
     "mart_distributor_performance": mart_distributor_performance,
 }

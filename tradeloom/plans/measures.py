@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions import month_start, safe_ratio
 from tradeloom.operators.aggregates import share_of_total, top_n
+from tradeloom.operators.bitmaps import roll_up
 
 RANKED_EMPLOYEES = 10
 
@@ -65,10 +66,16 @@ def units_overview(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def active_customers(fact_sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct buying customers. Counted on the fact, as distinct counts do not add up."""
+    """Distinct buying customers, counted on the fact for groupings that no mart has."""
     return fact_sales.groupBy(*by).agg(F.count_distinct("customer_id").alias("active_customers"))
 
 
+def sales_activity(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct buying customers and orders beside sales, for any slicer, from the activity mart alone."""
+    counted = {"customers": "active_customers", "orders": "total_orders"}
+    return roll_up(mart, by, counted, ("revenue", "gross_profit", "units_sold"))
+
+
 def distributor_overview(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Order value, fulfilment and punctuality of distributors."""
     return (

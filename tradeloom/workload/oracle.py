@@ -802,6 +802,23 @@ SQL["kpi_units"] = f"""SELECT year, region, CAST(sum(actual_quantity) AS DOUBLE)
     CAST(sum(actual_quantity) - sum(target_quantity) AS DOUBLE) AS units_gap, {ratio('sum(actual_quantity)', 'sum(target_quantity)')} AS units_achievement_pct
     FROM mart_sales_vs_target GROUP BY year, region"""
 SQL["kpi_active_customers"] = "SELECT order_year, region, count(DISTINCT customer_id) AS active_customers FROM stg_sales_transactions GROUP BY order_year, region"
+def activity(slicer: str, by: str, where: str = "") -> str:
+    parts = [p for p in by.split(", ") if p]
+    member = " || '|' || ".join(f"coalesce(CAST({p} AS VARCHAR), '-')" for p in parts) or "''"
+    return f"""SELECT '{slicer}' AS slicer, {member} AS member, count(DISTINCT customer_id) AS active_customers, count(DISTINCT order_id) AS total_orders,
+        CAST(sum(net_amount) AS DOUBLE) AS revenue, CAST(sum(quantity) AS DOUBLE) AS units_sold
+        FROM (SELECT *, year(order_date) AS year, CASE WHEN month(order_date) >= 9 THEN year(order_date) ELSE year(order_date) - 1 END AS fiscal_year,
+            CAST(date_trunc('month', order_date) AS DATE) AS month_date FROM stg_sales_transactions) {where} {'GROUP BY ' + by if by else ''}"""
+
+
+SQL["activity_by_slicer"] = " UNION ALL ".join(
+    [activity(by.replace(" ", "") or "all", by) for by in ("", "year", "fiscal_year", "region", "channel", "region, province", "year, region, channel", "month_date")]
+    + [activity("channel of ASIA in 2024", "channel", "WHERE year = 2024 AND region = 'ASIA'")]
+)
+SQL["stable_member_keys"] = """
+    SELECT CASE WHEN channel > 'BUILDING' THEN n ELSE n + (SELECT count(DISTINCT (province, channel)) FROM members WHERE channel > 'BUILDING') END AS place_key, province, channel
+    FROM (SELECT *, row_number() OVER (PARTITION BY channel > 'BUILDING' ORDER BY province, channel) AS n
+          FROM (SELECT DISTINCT province, channel FROM members))"""
 SQL["kpi_distributor"] = f"""SELECT year, CAST(sum(order_record_count) AS BIGINT) AS distributor_orders, CAST(sum(total_orders) AS BIGINT) AS distinct_orders, CAST(sum(total_gross_amount) AS DOUBLE) AS gross_order_value,
     CAST(sum(total_delivered_amount) AS DOUBLE) AS delivered_revenue, CAST(sum(total_qty_ordered) AS DOUBLE) AS qty_ordered,
     CAST(sum(total_qty_delivered) AS DOUBLE) AS qty_delivered, CAST(sum(on_time_delivery_count) AS BIGINT) AS on_time_deliveries,

@@ -16,6 +16,7 @@ from tradeloom.plans import gold, measures, quality, silver
 from tradeloom.plans.catalog import Catalog, refresh_silver, silver_state
 from tradeloom.session import new_folder
 from tradeloom.sources import batches, ingest, readers
+from tradeloom.sources.keymap import KeyMaps
 from tradeloom.sources.specs import SOURCES
 from tradeloom.sources.warehouse import Warehouse
 from tradeloom.workload.bindings import Bindings
@@ -869,6 +870,30 @@ def kpi_active_customers(cat):
     return measures.active_customers(cat["fact_sales"], ["order_year", "region"])
 
 
+@query
+def activity_by_slicer(cat):
+    """Active customers and orders for each slicer of the dashboard, from the activity mart alone."""
+    mart = cat["mart_sales_activity"].withColumns({"year": F.year("month_date"), "fiscal_year": X.fiscal_year(F.col("month_date"))})
+
+    def one(name: str, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        member = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in by])
+        found = measures.sales_activity(rows, by)
+        return found.select(F.lit(name).alias("slicer"), member.alias("member"), "active_customers", "total_orders", "revenue", "units_sold")
+
+    slicers = [[], ["year"], ["fiscal_year"], ["region"], ["channel"], ["region", "province"], ["year", "region", "channel"], ["month_date"]]
+    asia = mart.where("year = 2024 and region = 'ASIA'")
+    return quality.union_all([one(",".join(by) or "all", mart, by) for by in slicers] + [one("channel of ASIA in 2024", asia, ["channel"])])
+
+
+@query
+def stable_member_keys(cat):
+    """Keys of places after two builds, the second with members that come first in name order; old ones keep their keys."""
+    maps = KeyMaps(new_warehouse(cat))
+    members = aggregates.distinct_members(cat["raw.customer_master"], ["province", "channel"])
+    maps.extend("places", members.where("channel > 'BUILDING'"), ["province", "channel"], "place_key")
+    return maps.extend("places", members, ["province", "channel"], "place_key")
+
+
 @query
 def kpi_distributor(cat):
     return measures.distributor_overview(cat["mart_distributor_performance"], ["year"])
