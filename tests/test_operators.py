@@ -150,6 +150,44 @@ class TestEffectiveDates:
         assert rows(far) == [("e1", day("9999-12-30"), day("2022-01-01"))]
 
 
+class TestAsofMerge:
+    def test_equals_the_join_by_months(self, spark):
+        starts = [f"2022-{m:02d}-{d:02d}" for m in range(1, 13) for d in (1, 9)]
+        dim = spark.createDataFrame([(f"e{i % 5}", day(s)) for i, s in enumerate(starts)] + [("e9", day("2022-03-01"))], "id string, start date")
+        dim = versions.scd2(dim, "id", "start").where("not (id = 'e3' and is_current)")
+        dates = [day(f"{y}-{m:02d}-{d:02d}") for y in (1022, 2021, 2022, 2023, 3022) for m in range(1, 13) for d in (1, 8, 9, 28)]
+        fact = spark.createDataFrame([(n, f"e{i}", d) for n, (i, d) in enumerate((i, d) for i in range(7) for d in dates)] + [(-1, None, dates[0]), (-2, "e1", None)], "n int, id string, d date")
+        got = joins.asof_merge(fact, dim, "id", "d", {"start": "start", "now": "is_current"})
+        want = joins.asof_scd(fact, dim, "id", "d", {"start": "start", "now": "is_current"}, ("2022-01-01", "2022-12-31"))
+        assert got.columns == want.columns == ["n", "id", "d", "start", "now"]
+        assert rows(got) == rows(want) and got.count() == fact.count()
+
+    def test_boundaries_and_ends(self, spark):
+        dim = spark.createDataFrame(
+            [("a", day("2022-01-01"), day("2022-01-05"), "k1"), ("a", day("2022-01-06"), day("2022-01-10"), "k2"), ("a", day("2022-02-01"), day("2022-01-01"), "never")],
+            "id string, effective_from date, effective_to date, key string",
+        )
+        dates = ["2021-12-31", "2022-01-01", "2022-01-05", "2022-01-06", "2022-01-10", "2022-01-11", "2022-02-02"]
+        fact = spark.createDataFrame([("a", day(d)) for d in dates] * 2 + [("b", day(dates[1]))], "id string, d date")
+        got = joins.asof_merge(fact, dim, "id", "d", {"k": "key"})
+        keys = [None, "k1", "k1", "k2", "k2", None, None]
+        assert rows(got) == sorted([("a", day(d), k) for d, k in zip(dates, keys)] * 2 + [("b", day(dates[1]), None)], key=repr)
+        assert rows(joins.asof_merge(fact.limit(0), dim, "id", "d", {"k": "key"})) == []
+        assert {r.k for r in joins.asof_merge(fact, dim.limit(0), "id", "d", {"k": "key"}).collect()} == {None}
+
+    def test_100_000_versions_of_one_id(self, spark):
+        first = F.lit("1800-01-01").cast("date")
+        dim = spark.range(100_000).select(
+            F.lit("hot").alias("id"), F.date_add(first, F.col("id").cast("int")).alias("effective_from"),
+            F.date_add(first, F.col("id").cast("int")).alias("effective_to"), F.col("id").alias("n"),
+        )
+        fact = spark.range(300_000).select(F.lit("hot").alias("id"), F.date_add(first, (F.col("id") % 150_000 - 20_000).cast("int")).alias("d"))
+        got = joins.asof_merge(fact, dim, "id", "d", {"n": "n"}).groupBy(F.col("n").isNull().alias("none")).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.datediff("d", first) == F.col("n")).alias("right")
+        )
+        assert {r.none: (r.rows, r.right) for r in got.collect()} == {False: (200_000, 200_000), True: (100_000, 0)}
+
+
 class TestJoins:
     def test_lookup_keeps_every_fact_row(self, spark):
         fact = spark.createDataFrame([(1, "a"), (2, "x"), (3, None)], "i int, id string")

@@ -165,3 +165,17 @@ def test_asof_buckets_need_no_cross_join(tables):
 
 def test_calendar_is_small(spark):
     assert gold.calendar(spark).count() < 2000
+
+
+def test_merged_asof_of_a_hot_id(spark, no_broadcast):
+    """The window sees an id's different dates, not its events; the events are dealt by (id, date)."""
+    events = spark.range(200_000).select(F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.concat(F.lit("e"), F.col("id"))).alias("who"),
+                                         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("d"))
+    dim = spark.createDataFrame([("hot", "2024-02-01", "2024-03-01", 1), ("hot", "2024-03-02", "9999-12-31", 2)], "who string, f string, t string, n int")
+    dim = dim.select("who", F.col("f").cast("date").alias("effective_from"), F.col("t").cast("date").alias("effective_to"), "n")
+    joined = joins.asof_merge(events, dim, "who", "d", {"n": "n"})
+    text = final_plan(joined)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert re.search(r"hashpartitioning\(who#\d+, d#\d+", text) and re.search(r"hashpartitioning\(_id#\d+, 3\)", text)
+    seen = {r.n: r["count"] for r in joined.where("who = 'hot'").groupBy("n").count().collect()}
+    assert sum(seen.values()) == 180_000 and set(seen) == {None, 1, 2}

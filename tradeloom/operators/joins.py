@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions import month_start
@@ -76,6 +76,35 @@ def asof_scd(
     return within.unionByName(joined(fact.where(~inside), side))
 
 
+def asof_merge(fact: DataFrame, dim: DataFrame, on: str, event_date: str, take: Mapping[str, str]) -> DataFrame:
+    """Left join to the version valid on the event date, by merging dates with version starts.
+
+    The intervals of an id do not overlap, as ``scd2`` makes them; of versions that
+    start on one day the greatest counts. Each (id, date) that occurs in the events
+    is merged once with the id's starts in date order and takes the last start
+    before it, if that version has not ended. The work is linear in events and
+    versions, whatever the dates and however many versions an id has.
+
+    However many events an id has, it comes to the window with its different dates
+    alone, combined before the shuffle: at most one row a day and version. The
+    events then meet their date's version by (id, date), which is unique on that
+    side, so adaptive execution may split a hot id's events further.
+    """
+    version = F.struct(F.col("effective_to").alias("_to"), *[F.col(c).alias(n) for n, c in take.items()])
+    starts = dim.where(F.col("effective_from") <= F.col("effective_to")).select(
+        F.col(on).alias("_id"), F.col("effective_from").alias("_at"), F.lit(False).alias("_event"), version.alias("_version")
+    )
+    kind = starts.schema["_version"].dataType
+    dates = fact.select(F.col(on).alias("_id"), F.col(event_date).alias("_at")).where("_id is not null and _at is not null").distinct()
+    merged = starts.unionByName(dates.select("_id", "_at", F.lit(True).alias("_event"), F.lit(None).cast(kind).alias("_version")))
+    # A start comes before the events of its day.
+    until_now = Window.partitionBy("_id").orderBy("_at", "_event", "_version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = merged.withColumn("_last", F.last("_version", ignorenulls=True).over(until_now))
+    valid = last.where(F.col("_event") & (F.col("_at") <= F.col("_last._to"))).select("_id", "_at", *[F.col(f"_last.{n}").alias(n) for n in take])
+    same = (fact[on] == valid["_id"]) & (fact[event_date] == valid["_at"])
+    return fact.join(valid, same, "left").select(*[fact[c] for c in fact.columns], *[valid[n] for n in take])
+
+
 def full_outer_coalesce(
     left: DataFrame, right: DataFrame, on: Mapping[str, str], spread: int = 8192
 ) -> DataFrame:

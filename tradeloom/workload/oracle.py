@@ -569,6 +569,10 @@ SQL["scd2_intervals"] = "SELECT * FROM event_versions"
 SQL["join_scd_asof_bucketed"] = """
     SELECT event_id, e.user_id, CAST(ts AS DATE) - 1 AS day_before, v.event_type AS previous_type
     FROM events AS e ASOF LEFT JOIN event_versions AS v ON v.user_id = e.user_id AND CAST(e.ts AS DATE) - 1 >= v.effective_from"""
+SQL["join_scd_asof_merge"] = """
+    SELECT event_id, e.user_id, day_before, v.event_type AS previous_type
+    FROM (SELECT event_id, user_id, CAST(CAST(ts AS DATE) - 1 + CASE WHEN event_id % 9 = 0 THEN INTERVAL 1000 YEARS ELSE INTERVAL 0 DAYS END AS DATE) AS day_before
+          FROM events) AS e ASOF LEFT JOIN event_versions AS v ON v.user_id = e.user_id AND day_before >= v.effective_from"""
 SQL["join_full_outer"] = """
     SELECT coalesce(t.employee_id, s.employee_id) AS employee_id, coalesce(t.month_date, s.month_date) AS month_date,
         CAST(target AS DOUBLE) AS target, CAST(sold AS DOUBLE) AS sold

@@ -574,6 +574,15 @@ def join_scd_asof_bucketed(cat):
     )
 
 
+@query
+def join_scd_asof_merge(cat):
+    """The same by merging dates with version starts; every ninth event has a mistyped year."""
+    day_before = F.date_sub(F.col("ts").cast("date"), 1)
+    mistyped = F.when(F.col("event_id") % 9 == 0, F.add_months(day_before, 12_000)).otherwise(day_before)
+    events = cat.bindings.table("events").select("event_id", "user_id", mistyped.alias("day_before"))
+    return joins.asof_merge(events, _event_versions(cat), "user_id", "day_before", {"previous_type": "event_type"})
+
+
 @query
 def join_full_outer(cat):
     """Sold and targeted revenue per employee and month, unmatched sides kept."""
