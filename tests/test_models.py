@@ -174,7 +174,12 @@ def test_build_in_a_warehouse(spark, warehouse, tables):
     for name in tables:
         if name.startswith("raw."):
             warehouse.materialize(tables[name], "raw", name.removeprefix("raw."))
-    stored = build(warehouse)
+    report = []
+    stored = build(warehouse, report=report)
+    # What the writes have counted is what a scan counts.
+    rules = [r for t in MODELS for r in quality.row_rules(t)]
+    seen = quality.report_of(warehouse.spark, report)
+    assert sorted(map(tuple, seen.collect())) == sorted(map(tuple, quality.rule_report(stored, rules).collect())) and len(report) == len(rules)
     assert isinstance(stored, StoredTables) and len(stored) == len(MODELS)
     for name in ("mart_sales_vs_target", "mart_distributor_performance", "fact_returns"):
         ours, theirs = stored[name], tables[name]

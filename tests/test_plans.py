@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeloom.operators import aggregates, joins, keys, versions
-from tradeloom.plans import gold, measures
+from tradeloom.plans import gold, measures, quality
 from tradeloom.workload.queries import QUERIES
 
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
@@ -179,3 +179,11 @@ def test_merged_asof_of_a_hot_id(spark, no_broadcast):
     assert re.search(r"hashpartitioning\(who#\d+, d#\d+", text) and re.search(r"hashpartitioning\(_id#\d+, 3\)", text)
     seen = {r.n: r["count"] for r in joined.where("who = 'hot'").groupBy("n").count().collect()}
     assert sum(seen.values()) == 180_000 and set(seen) == {None, 1, 2}
+
+
+def test_row_rules_of_a_table_share_a_scan(tables):
+    """Of all checks of both layers, each table is scanned once for its row rules."""
+    rules = [r for check in (*quality.SILVER_CHECKS, *quality.GOLD_CHECKS) if isinstance(check, quality.RowChecks) for r in check.rules]
+    names = {r.table for r in rules}
+    assert len(rules) > 1.5 * len(names)
+    assert plan(quality.rule_report({t: tables[t] for t in names}, rules)).count("FileScan") == len(names)

@@ -181,6 +181,30 @@ class TestWarehouse:
         assert load([], "it's") == [0]
         assert stored() == [(2, "f", "b")]
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+        # Replaced versions go when asked for; what is left of the table stays.
+        assert warehouse.remove_unreferenced("raw", "t") > 0 and warehouse.remove_unreferenced("raw", "t") == 0
+        assert stored() == [(2, "f", "b")]
+        assert load([(6, "f", "a=1/2 %"), (7, "f", "b")], "a=1/2 %", "b") == [1, 1]
+        assert stored() == [(6, "f", "a=1/2 %"), (7, "f", "b")]
+
+    def test_slices_compute_their_input_once_and_publish_it_whole(self, spark, warehouse):
+        tasks = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            tasks.add(1)
+            yield from batches
+
+        first = spark.createDataFrame([(1, "a"), (2, "b")], "v int, sheet string").coalesce(1)
+        slices = [{"sheet": "a"}, {"sheet": "b"}]
+        warehouse.replace_slice(first, "raw", "once", ["sheet"], slices)
+        again = spark.createDataFrame([(3, "a")], "v int, sheet string").coalesce(1).mapInArrow(counted, "v int, sheet string")
+        assert warehouse.replace_slice(again, "raw", "once", ["sheet"], slices) == [1, 0]
+        assert tasks.value == 1
+        # A failing write leaves all slices as they were.
+        broken = first.withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+        with pytest.raises(Exception, match="lost"):
+            warehouse.replace_slice(broken, "raw", "once", ["sheet"], slices)
+        assert rows(warehouse.table("raw", "once")) == [(3, "a")]
 
 
 class TestIngest:

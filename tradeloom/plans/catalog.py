@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS
+from tradeloom.plans.quality import observed, row_rules
 from tradeloom.plans.silver import SILVER_MODELS, SPECS, silver
 from tradeloom.sources.batches import commits, committed
 from tradeloom.sources.ingest import expected_bronze
@@ -117,16 +118,34 @@ def new_rows(warehouse: Warehouse, model: str, batches: list[str]) -> DataFrame:
     return silver(SPECS[model], expected_bronze(committed(warehouse, source, batches), SOURCES[source]))
 
 
-def build(warehouse: Warehouse, models: list[str] | None = None, incremental: bool = False) -> StoredTables:
+def build(
+    warehouse: Warehouse, models: list[str] | None = None, incremental: bool = False, report: list[tuple] | None = None,
+) -> StoredTables:
     """Rebuild models from a warehouse's Bronze tables, in dependency order.
 
-    When ``incremental``, Silver models of one row per key take in new batches only.
+    When ``incremental``, Silver models of one row per key take in new batches only. A list given as ``report`` gets
+    the rows of the row rules, counted by the writes themselves; ``quality.report_of`` makes a table of them.
     """
     tables = StoredTables(warehouse, incremental)
     for name in models or MODELS:
         if incremental and name in SPECS:
             refresh_silver(warehouse, name)
             continue
-        layer, table = StoredTables._place(name)
-        warehouse.materialize(MODELS[name](tables), layer, table, FACT_DATES.get(name))
+        rows = write_checked(warehouse, name, MODELS[name](tables), report is not None)
+        if report is not None:
+            report += rows
     return tables
+
+
+def write_checked(warehouse: Warehouse, name: str, df: DataFrame, checked: bool = True) -> list[tuple]:
+    """Replace a model's table; the report rows of its row rules, as the write counted them."""
+    rows: list[Callable[[], list[tuple]]] = []
+
+    def watch(written: DataFrame) -> DataFrame:
+        watched, found = observed(written, row_rules(name) if checked else [])
+        rows.append(found)
+        return watched
+
+    layer, table = StoredTables._place(name)
+    warehouse.materialize(df, layer, table, FACT_DATES.get(name), watch)
+    return rows[0]()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions import count_where, is_missing_key
@@ -72,26 +73,91 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+@dataclass(frozen=True)
+class RowRule:
+    """A check that is one aggregate over a table's rows, so that any number of them share a scan or a write."""
+
+    table: str
+    layer: str
+    test_name: str
+    kind: str
+    value: Callable[[], Column]
+
+
+class RowChecks:
+    """Row rules as a check of their own: one row each."""
+
+    def __init__(self, rules: Sequence[RowRule]):
+        self.rules = tuple(rules)
+
+    def __call__(self, src: Tables) -> DataFrame:
+        return rule_report(src, self.rules)
+
+
+def rule_report(src: Tables, rules: Sequence[RowRule]) -> DataFrame:
+    """One row per rule. Each table is scanned once for all of its rules, and only for the columns they need."""
+    by_table: dict[str, list[RowRule]] = {}
+    for rule in rules:
+        by_table.setdefault(rule.table, []).append(rule)
+    return union_all([_rows_of(src[table], own) for table, own in by_table.items()])
+
+
+def _rows_of(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    one = [
+        F.struct(
+            F.lit(r.layer).alias("layer"), F.lit(r.test_name).alias("test_name"), F.lit(r.kind).alias("kind"),
+            r.value().cast("long").alias("value"),
+        )
+        for r in rules
+    ]
+    return df.agg(F.array(*one).alias("rules")).select(F.inline("rules"))
+
+
+def observed(df: DataFrame, rules: Sequence[RowRule]) -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """The rows, whose rules are counted while they are written; and the report's rows, once they are.
+
+    Nothing is scanned for the report: the counts come with the action that writes the table.
+    """
+    if not rules:
+        return df, lambda: []
+    seen = Observation()
+    watched = df.observe(seen, *[r.value().cast("long").alias(f"rule{i}") for i, r in enumerate(rules)])
+    return watched, lambda: [(r.layer, r.test_name, r.kind, seen.get[f"rule{i}"]) for i, r in enumerate(rules)]
+
+
+REPORT = "layer string, test_name string, kind string, value bigint"
+
+
+def report_of(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """Report rows that writes have observed: one a rule."""
+    return spark.createDataFrame(list(rows), REPORT)
+
+
+def broken(failing: Callable[[], Column]) -> Callable[[], Column]:
+    """Rows for which a rule is broken."""
+    return lambda: count_where(failing())
+
+
 def rule_check(layer: str, test_name: str, df: DataFrame, failing: Column) -> DataFrame:
     """Rows for which the rule is broken."""
     return _check(df.agg(count_where(failing).alias("value")), layer, test_name, FAILURES)
 
 
-def row_count_checks(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    return union_all(
-        [_check(df.agg(F.count(F.lit(1)).alias("value")), layer, f"{t} row count", RESULT) for t, df in tables.items()]
-    )
+def row_count_rules(layer: str, tables: Sequence[str]) -> list[RowRule]:
+    return [RowRule(t, layer, f"{t} row count", RESULT, lambda: F.count(F.lit(1))) for t in tables]
 
 
-def not_null_checks(layer: str, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    return union_all(
-        [
-            rule_check(
-                layer, f"{t} {keys[t][0] if len(keys[t]) == 1 else 'key'} nulls", df, any_of([F.col(k).isNull() for k in keys[t]])
-            )
-            for t, df in tables.items()
-        ]
-    )
+def _any_null(columns: Sequence[str]) -> Callable[[], Column]:
+    return broken(lambda: any_of([F.col(c).isNull() for c in columns]))
+
+
+def not_null_rules(layer: str, keys: Mapping[str, Sequence[str]]) -> list[RowRule]:
+    return [RowRule(t, layer, f"{t} {k[0] if len(k) == 1 else 'key'} nulls", FAILURES, _any_null(k)) for t, k in keys.items()]
+
+
+def missing_key_rules(layer: str, keys: Mapping[str, Sequence[str]]) -> list[RowRule]:
+    """Fact rows that found no member in some dimension."""
+    return [RowRule(t, layer, f"{t} missing dimension keys", FAILURES, _any_null(k)) for t, k in keys.items()]
 
 
 def unique_checks(
@@ -109,26 +175,12 @@ def unique_checks(
     )
 
 
-def missing_key_checks(layer: str, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Fact rows that found no member in some dimension."""
-    return union_all(
-        [
-            rule_check(layer, f"{t} missing dimension keys", df, any_of([F.col(k).isNull() for k in keys[t]]))
-            for t, df in tables.items()
-        ]
-    )
-
-
 def _pick(src: Tables, names) -> dict[str, DataFrame]:
     return {n: src[n] for n in names}
 
 
-def silver_row_counts(src: Tables) -> DataFrame:
-    return row_count_checks("silver", _pick(src, SILVER_KEYS))
-
-
-def silver_not_null(src: Tables) -> DataFrame:
-    return not_null_checks("silver", _pick(src, SILVER_REQUIRED), SILVER_REQUIRED)
+silver_row_counts = RowChecks(row_count_rules("silver", list(SILVER_KEYS)))
+silver_not_null = RowChecks(not_null_rules("silver", SILVER_REQUIRED))
 
 
 def silver_unique(src: Tables) -> DataFrame:
@@ -140,12 +192,8 @@ def one_latest(src: Tables) -> DataFrame:
     return unique_checks("silver", {name: src[name].where("is_latest")}, {name: PLAN_GROUP}, "latest target")
 
 
-def gold_row_counts(src: Tables) -> DataFrame:
-    return row_count_checks("gold", _pick(src, GOLD_COUNTED))
-
-
-def dimension_not_null(src: Tables) -> DataFrame:
-    return not_null_checks("gold", _pick(src, DIMENSION_KEYS), {t: [k] for t, k in DIMENSION_KEYS.items()})
+gold_row_counts = RowChecks(row_count_rules("gold", GOLD_COUNTED))
+dimension_not_null = RowChecks(not_null_rules("gold", {t: [k] for t, k in DIMENSION_KEYS.items()}))
 
 
 def dimension_unique(src: Tables) -> DataFrame:
@@ -156,35 +204,32 @@ def fact_grain(src: Tables) -> DataFrame:
     return unique_checks("gold", _pick(src, FACT_GRAINS), FACT_GRAINS)
 
 
-def missing_keys(src: Tables) -> DataFrame:
-    return missing_key_checks("gold", _pick(src, FACT_FOREIGN_KEYS), FACT_FOREIGN_KEYS)
+missing_keys = RowChecks(missing_key_rules("gold", FACT_FOREIGN_KEYS))
 
 
 # Days whose fiscal year is known.
 FISCAL_EXAMPLES = {"2023-10-01": 2023, "2024-01-01": 2023}
 
 
-def fiscal_year_check(src: Tables) -> DataFrame:
-    wrong = [
-        (F.col("date_day") == F.lit(day).cast("date")) & (F.col("fiscal_year") != year)
-        for day, year in FISCAL_EXAMPLES.items()
-    ]
-    return rule_check("gold", "dim_date fiscal year check", src["dim_date"], any_of(wrong))
-
-
-def latest_flag_check(src: Tables) -> DataFrame:
-    return rule_check("gold", "fact_targets latest flag check", src["fact_targets"], ~F.col("is_latest").eqNullSafe(True))
+def _wrong_fiscal_year() -> Column:
+    return any_of(
+        [
+            (F.col("date_day") == F.lit(day).cast("date")) & (F.col("fiscal_year") != year)
+            for day, year in FISCAL_EXAMPLES.items()
+        ]
+    )
 
 
-def negative_target_check(src: Tables) -> DataFrame:
-    return rule_check("gold", "mart_sales_vs_target negative target revenue", src["mart_sales_vs_target"], F.col("target_revenue") < 0)
+def _rule(table: str, what: str, failing: Callable[[], Column]) -> RowChecks:
+    return RowChecks([RowRule(table, "gold", f"{table} {what}", FAILURES, broken(failing))])
 
 
-def fill_rate_check(src: Tables) -> DataFrame:
-    rate = F.col("fill_rate_pct")
-    return rule_check(
-        "gold", "mart_distributor_performance invalid fill rate", src["mart_distributor_performance"], (rate < 0) | (rate > 100)
-    )
+fiscal_year_check = _rule("dim_date", "fiscal year check", _wrong_fiscal_year)
+latest_flag_check = _rule("fact_targets", "latest flag check", lambda: ~F.col("is_latest").eqNullSafe(True))
+negative_target_check = _rule("mart_sales_vs_target", "negative target revenue", lambda: F.col("target_revenue") < 0)
+fill_rate_check = _rule(
+    "mart_distributor_performance", "invalid fill rate", lambda: (F.col("fill_rate_pct") < 0) | (F.col("fill_rate_pct") > 100)
+)
 
 
 SILVER_CHECKS = (silver_row_counts, silver_not_null, silver_unique, one_latest)
@@ -195,8 +240,13 @@ GOLD_CHECKS = (
 
 
 def run_checks(src: Tables, checks=(*SILVER_CHECKS, *GOLD_CHECKS), strict: bool = False) -> DataFrame:
-    """All checks as one DataFrame; in strict mode any failing check is an error."""
-    report = union_all([check(src) for check in checks])
+    """All checks as one DataFrame; in strict mode any failing check is an error.
+
+    The row rules of all checks are put together, so that a table is scanned once for them; keys are counted apart.
+    """
+    rules = [r for check in checks if isinstance(check, RowChecks) for r in check.rules]
+    frames = [rule_report(src, rules)] if rules else []
+    report = union_all(frames + [check(src) for check in checks if not isinstance(check, RowChecks)])
     if strict:
         broken = report.where((F.col("kind") == FAILURES) & (F.col("value") > 0)).collect()  # at most one row per check
         if broken:
@@ -204,6 +254,11 @@ def run_checks(src: Tables, checks=(*SILVER_CHECKS, *GOLD_CHECKS), strict: bool
     return report
 
 
+def row_rules(table: str, checks=(*SILVER_CHECKS, *GOLD_CHECKS)) -> list[RowRule]:
+    """The row rules of one table, for its write."""
+    return [r for check in checks if isinstance(check, RowChecks) for r in check.rules if r.table == table]
+
+
 def profile_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -73,8 +74,10 @@ class Warehouse:
         """Append to Bronze: normalised names, text cells, one timestamp."""
         return self.append(all_string(normalize_columns(df)), "raw", table)
 
-    def materialize(self, df: DataFrame, layer: str, table: str, date: str | None = None) -> DataFrame:
-        """Replace a table by the rows of ``df``, laid out by ``date`` if given.
+    def materialize(
+        self, df: DataFrame, layer: str, table: str, date: str | None = None, watch: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
+        """Replace a table by the rows of ``df``, laid out by ``date`` if given. ``watch`` may observe what is written.
 
         The rows go to a new folder below the root and the table is pointed at it
         once they are all written, so a failed job leaves the old table as it was
@@ -84,7 +87,9 @@ class Warehouse:
         """
         home = f"{self.root}/{layer}/{self.prefix}{table}"
         folder = f"{home}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        (by_month(df, date) if date else df).write.parquet(folder)
+        laid_out = by_month(df, date) if date else df
+        # Observed after the layout: adaptive execution cuts off what precedes an empty exchange.
+        (watch(laid_out) if watch else laid_out).write.parquet(folder)
         target = self.name(layer, table)
         fresh = self.spark.read.parquet(folder)
         replaced = self._version_of(target) if self.exists(layer, table) else None
@@ -126,37 +131,88 @@ class Warehouse:
     ) -> list[int]:
         """Replace the named slices of a partitioned table; other slices are untouched.
 
-        A dynamic overwrite replaces each partition that has new rows. It leaves
-        a partition without new rows alone, so slices that came back empty are
-        dropped by name. Running it again changes nothing. Rows outside the named
-        slices are an error, found before anything is written. Returns the rows per
-        slice, as counted by the write.
+        The rows are written once, to a new folder, and counted by that write. If
+        some are outside the named slices, that is an error and nothing is
+        published. Each slice is then replaced by one change of the catalog: its
+        partition is pointed at the new files, or dropped if it came back empty, so
+        no reader meets a slice half replaced. Running it again changes nothing.
+        Returns the rows per slice. Files that are replaced stay for readers that
+        are still at them, until ``remove_unreferenced``.
         """
         if not slices:
             if not df.isEmpty():
                 raise ValueError("rows, but no slice to replace")
             return []
-        stray = df.where(~F.coalesce(any_slice(slices), F.lit(False))).select(*slice_columns).head(1)
-        if stray:
-            raise ValueError(f"a row outside the slices: {stray[0].asDict()}")
         target = self.name(layer, table)
-        seen = Observation()
-        per_slice = [F.count_if(in_slice(s)).alias(f"slice{i}") for i, s in enumerate(slices)]
         if not self.exists(layer, table):
             self.ensure_table(layer, table, slices_last(df.schema, slice_columns), slice_columns)
+        folder = f"{self._slices_home(layer, table)}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        seen = Observation()
+        stray = F.count_if(~F.coalesce(any_slice(slices), F.lit(False))).alias("stray")
+        example = F.first(F.when(~F.coalesce(any_slice(slices), F.lit(False)), F.to_json(F.struct(*slice_columns))), ignorenulls=True).alias("example")
+        per_slice = [F.count_if(in_slice(s)).alias(f"slice{i}") for i, s in enumerate(slices)]
         # A slice's rows are brought together so that it gets few files; a large slice is split.
         grouped = df.hint("rebalance", *slice_columns)
         # Counted after the exchange: adaptive execution cuts off what precedes an empty one.
-        counted = grouped.select(*self.table(layer, table).columns).observe(seen, *per_slice)
-        counted.write.mode("overwrite").insertInto(target)
+        counted = grouped.select(*self.table(layer, table).columns).observe(seen, stray, example, *per_slice)
+        counted.write.partitionBy(*slice_columns).parquet(folder)
+        if seen.get["stray"]:
+            self._delete(folder)
+            raise ValueError(f"a row outside the slices: {seen.get['example']}")
         counts = [seen.get[f"slice{i}"] for i in range(len(slices))]
+        written = self._partition_folders(folder, len(slice_columns))
         for s, rows in zip(slices, counts):
-            if rows == 0:
-                values = ", ".join(f"{c} = '{_quoted(s[c])}'" for c in slice_columns)
+            values = ", ".join(f"{c} = '{_quoted(s[c])}'" for c in slice_columns)
+            if rows:
+                place = written[tuple(s[c] for c in slice_columns)]
+                self._point(target, values, place)
+            else:
                 self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({values})")
         self.spark.catalog.refreshTable(target)
         return counts
 
+    def remove_unreferenced(self, layer: str, table: str) -> int:
+        """Delete slice versions that no partition of the table points into any more; returns how many."""
+        target, home = self.name(layer, table), self._slices_home(layer, table)
+        used = set()
+        for r in self.spark.sql(f"SHOW PARTITIONS {target}").collect():  # one row a slice
+            parts = [p.split("=", 1) for p in r[0].split("/")]
+            values = ", ".join(f"{c} = '{_quoted(unquote(v))}'" for c, v in parts)
+            described = self.spark.sql(f"DESCRIBE EXTENDED {target} PARTITION ({values})").where("col_name = 'Location'")
+            used.add(described.first()["data_type"].rstrip("/").split("/")[-1 - len(parts)])
+        folder, files = self._files(home)
+        old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() not in used]
+        for path in old:
+            files.delete(path, True)
+        return len(old)
+
+    def _slices_home(self, layer: str, table: str) -> str:
+        return f"{self.root}/{layer}/{self.prefix}{table}.slices"
+
+    def _files(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _delete(self, path: str) -> None:
+        folder, files = self._files(path)
+        files.delete(folder, True)
+
+    def _partition_folders(self, root: str, levels: int) -> dict[tuple[str, ...], str]:
+        """Folders of a partitioned write by their values: one a slice."""
+        folder, files = self._files(root + "/*=*" * levels)
+        found = {}
+        for status in files.globStatus(folder) or []:
+            place = status.getPath().toString()
+            found[tuple(unquote(p.split("=", 1)[1]) for p in place.split("/")[-levels:])] = place
+        return found
+
+    def _point(self, target: str, values: str, place: str) -> None:
+        """Let a partition be the files of a folder, in one change of the catalog."""
+        if self.spark.sql(f"SHOW PARTITIONS {target} PARTITION ({values})").isEmpty():
+            self.spark.sql(f"ALTER TABLE {target} ADD PARTITION ({values}) LOCATION '{_quoted(place)}'")
+        else:
+            self.spark.sql(f"ALTER TABLE {target} PARTITION ({values}) SET LOCATION '{_quoted(place)}'")
+
 
 def slices_last(schema: StructType, slice_columns: Sequence[str]) -> StructType:
     """The schema with its partition columns at the end, in the given order."""

@@ -790,6 +790,18 @@ SQL["dq_fill_rate_bounds"] = check(
 )
 
 
+_CHECKS = (
+    "dq_silver_row_counts", "dq_silver_not_null", "dq_silver_unique", "dq_one_latest", "dq_gold_row_counts", "dq_dim_not_null",
+    "dq_dim_unique", "dq_fact_grain", "dq_missing_keys", "dq_latest_flag", "dq_negative_target", "dq_fill_rate_bounds",
+)
+_CALENDAR = check("gold", "dim_date fiscal year check", "failures", "count(*)",
+                  "FROM dim_date WHERE (date_day = DATE '2023-10-01' OR date_day = DATE '2024-01-01') AND fiscal_year <> 2023")
+SQL["dq_all"] = " UNION ALL ".join([*(SQL[c] for c in _CHECKS), _CALENDAR])
+_WRITTEN = ("stg_customers", "dim_date", "fact_targets", "fact_distributor_orders", "mart_sales_vs_target")
+_ROW_RULES = [SQL[c] for c in _CHECKS if c not in ("dq_silver_unique", "dq_one_latest", "dq_dim_unique", "dq_fact_grain")]
+SQL["dq_on_write"] = f"SELECT * FROM ({' UNION ALL '.join([*_ROW_RULES, _CALENDAR])}) WHERE split_part(test_name, ' ', 1) IN {_WRITTEN}"
+
+
 def overview(by, where: str = "") -> str:
     return f"""SELECT {', '.join(by)}, CAST(sum(actual_revenue) AS DOUBLE) AS total_actual_revenue,
         CAST(sum(target_revenue) AS DOUBLE) AS total_target_revenue, CAST(sum(actual_revenue) - sum(target_revenue) AS DOUBLE) AS revenue_gap,

@@ -13,7 +13,7 @@ from pyspark.sql.types import DecimalType
 from tradeloom import functions as X
 from tradeloom.operators import aggregates, columns, joins, keys, numbering, versions
 from tradeloom.plans import gold, measures, quality, silver
-from tradeloom.plans.catalog import Catalog, refresh_silver, silver_state
+from tradeloom.plans.catalog import Catalog, refresh_silver, silver_state, write_checked
 from tradeloom.session import new_folder
 from tradeloom.sources import batches, ingest, readers
 from tradeloom.sources.keymap import KeyMaps
@@ -805,6 +805,21 @@ for _name, _check in {
     QUERIES[_name] = _check
 
 
+@query
+def dq_all(cat):
+    """Every check of both layers as one report: a scan a table for its row rules, one more for each key."""
+    return quality.run_checks(cat)
+
+
+@query
+def dq_on_write(cat):
+    """The row rules of some models, counted while these are written."""
+    warehouse, report = new_warehouse(cat), []
+    for name in ("stg_customers", "dim_date", "fact_targets", "fact_distributor_orders", "mart_sales_vs_target"):
+        report += write_checked(warehouse, name, cat.plan(name))
+    return quality.report_of(cat.spark, report)
+
+
 class DirtyTables(Mapping):
     """The same tables with rows that break the rules: of keys that end in 3 a second row, of those in 5 one without
     key columns."""
