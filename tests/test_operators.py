@@ -150,6 +150,31 @@ class TestEffectiveDates:
         assert rows(far) == [("e1", day("9999-12-30"), day("2022-01-01"))]
 
 
+class TestGroupingSets:
+    PLAN = "version_label string, month_col string, employee_id string, employee_name string"
+
+    def test_load_report_tells_null_members_from_totals(self, spark):
+        df = spark.createDataFrame([("v1", "T1", "E1", "a"), ("v1", None, "E2", "Tổng"), (None, "T1", None, None), ("v2", "Total", "E1", "a")], self.PLAN)
+        want = [("rows per month", "T1", 2), ("rows per month", "Total", 1), ("rows per month", None, 1), ("rows per version", "v1", 2),
+                ("rows per version", "v2", 1), ("rows per version", None, 1), ("total rows", None, 2)]
+        assert rows(columns.target_load_report(df)) == sorted(want, key=repr)
+        assert rows(columns.target_load_report(df.limit(0))) == [("total rows", None, 0)]
+        assert rows(columns.target_load_report(df.where("version_label = 'v1'").limit(1)))[-1] == ("total rows", None, 0)
+
+    def test_drill_down_levels(self, spark):
+        from tradeloom.plans.measures import revenue_by, revenue_levels
+
+        data = [("N", "a", 10, 1), ("N", None, 20, 2), (None, "a", 30, 3), (None, None, 40, 4)]
+        fact = spark.createDataFrame(data, "region string, province string, net_amount int, quantity int")
+        fact = fact.select("region", "province", *[F.col(c).cast("decimal(18,4)").alias(c) for c in ("net_amount", "quantity")], F.lit(1).cast("decimal(18,4)").alias("gross_profit"))
+        got = revenue_levels(fact)
+        for level, by in enumerate([[], ["region"], ["region", "province"]]):
+            own = got.where(F.col("level") == level)
+            measures = ["revenue", "gross_profit", "units_sold", "gross_profit_margin_pct"]
+            assert rows(own.select(*by, *measures)) == rows(revenue_by(fact, by).select(*by, *measures))
+        assert got.count() == 4 + 2 + 1
+
+
 class TestAsofMerge:
     def test_equals_the_join_by_months(self, spark):
         starts = [f"2022-{m:02d}-{d:02d}" for m in range(1, 13) for d in (1, 9)]

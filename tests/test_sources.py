@@ -44,6 +44,16 @@ class TestReaders:
         assert rows(readers.read_sheets(spark, root).select("v")) == [("1",), ("2",), ("4",)]
         assert rows(readers.read_source(spark, root, "Summary")) == [(3,)]
 
+    def test_sheets_by_recorded_position(self, spark, tmp_path):
+        root = str(tmp_path / "book.sheets")
+        spark.createDataFrame([("A notes", 0), ("Plan", 1), ("Plan b", 2), ("Extra", 3)], "sheet_name string, v int").write.partitionBy("sheet_name").parquet(root)
+        assert list(readers.sheet_folders(spark, root)) == ["A notes", "Extra", "Plan", "Plan b"]
+        readers.record_order(spark, root, ["Plan b", "gone", "Plan"])
+        # Those that the record does not name follow in name order.
+        assert list(readers.sheet_folders(spark, root)) == ["Plan b", "Plan", "A notes", "Extra"]
+        assert rows(readers.read_source(spark, root)) == [(2,)] and rows(readers.read_sheet(spark, root, 1).select("v")) == [(1,)]
+        assert rows(readers.read_sheets(spark, root).select("v")) == [("0",), ("1",), ("2",), ("3",)]
+
     def test_sheet_choice_prunes_folders(self, spark, tmp_path):
         root = str(tmp_path / "book.sheets")
         spark.createDataFrame([("a", 1), ("b", 2)], "sheet_name string, v int").write.partitionBy("sheet_name").parquet(root)

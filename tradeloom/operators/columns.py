@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions import mentions_total, missing_to_null, month_token, version_label
@@ -74,21 +74,18 @@ def drop_total_rows(df: DataFrame, columns: Sequence[str] = ("employee_id", "emp
     return df.where(all_of([~mentions_total(c) for c in columns]))
 
 
+# Words of a normalised plan's columns that a leftover total row has.
+TOTAL_WORDS = (("employee_id", "tổng"), ("employee_name", "tổng"), ("month_col", "tổng"), ("month_col", "total"))
+
+
+def total_word() -> Column:
+    """Whether a row of a normalised plan still looks like a total (none are expected)."""
+    return any_of([F.coalesce(F.lower(F.col(c)).contains(word), F.lit(False)) for c, word in TOTAL_WORDS])
+
+
 def has_total_word(df: DataFrame) -> DataFrame:
-    """Rows of a normalised plan that still look like totals (none are expected)."""
-    def contains(column: str, word: str):
-        return F.coalesce(F.lower(F.col(column)).contains(word), F.lit(False))
-
-    return df.where(
-        any_of(
-            [
-                contains("employee_id", "tổng"),
-                contains("employee_name", "tổng"),
-                contains("month_col", "tổng"),
-                contains("month_col", "total"),
-            ]
-        )
-    )
+    """Rows of a normalised plan that still look like totals."""
+    return df.where(total_word())
 
 
 def normalize_plan(
@@ -112,15 +109,20 @@ def normalize_plan(
 
 
 def target_load_report(targets_raw: DataFrame) -> DataFrame:
-    """What a plan load left behind: versions, rows per version, months, leftover totals."""
+    """What a plan load left behind: rows per version and per month, leftover totals. One scan, by grouping sets.
+
+    A version or month that is NULL is told from a total by the grouping. The count of leftovers is there, as 0, for
+    an empty table as well.
+    """
     text = lambda c: F.col(c).cast("string")
-    per_version = targets_raw.groupBy("version_label").agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("rows per version").alias("item"), text("version_label").alias("member"), "value"
-    )
-    per_month = targets_raw.groupBy("month_col").agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("rows per month").alias("item"), text("month_col").alias("member"), "value"
+    by_version, by_month = F.col("kind") == 1, F.col("kind") == 2
+    counted = targets_raw.groupingSets([[F.col("version_label")], [F.col("month_col")], []], "version_label", "month_col").agg(
+        F.grouping_id().alias("kind"), F.count(F.lit(1)).alias("rows"), F.count_if(total_word()).alias("totals")
     )
-    leftovers = has_total_word(targets_raw).agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("total rows").alias("item"), F.lit(None).cast("string").alias("member"), "value"
+    report = counted.select(
+        F.when(by_version, "rows per version").when(by_month, "rows per month").otherwise("total rows").alias("item"),
+        F.when(by_version, text("version_label")).when(by_month, text("month_col")).alias("member"),
+        F.when(by_version | by_month, F.col("rows")).otherwise(F.col("totals")).alias("value"),
     )
-    return per_version.unionByName(per_month).unionByName(leftovers)
+    none = targets_raw.sparkSession.range(1).select(F.lit("total rows").alias("item"), F.lit(None).cast("string").alias("member"), F.lit(0).cast("long").alias("value"))
+    return report.unionByName(none).groupBy("item", "member").agg(F.sum("value").alias("value"))

@@ -119,6 +119,20 @@ def revenue_by(fact_sales: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def revenue_levels(fact_sales: DataFrame, levels: Sequence[str] = ("region", "province")) -> DataFrame:
+    """Revenue of a drill-down at all of its levels, from one scan; ``level`` is how many columns a row is grouped by.
+
+    A member that is NULL has the level of members, a total that of totals. An empty table has no rows at any level.
+    """
+    rolled = fact_sales.rollup(*levels).agg(
+        (F.lit(len(levels)) - F.bit_count(F.grouping_id())).cast("int").alias("level"),
+        F.sum("net_amount").alias("revenue"),
+        F.sum("gross_profit").alias("gross_profit"),
+        F.sum("quantity").alias("units_sold"),
+    )
+    return rolled.withColumn("gross_profit_margin_pct", safe_ratio("gross_profit", "revenue"))
+
+
 def revenue_trend(fact_sales: DataFrame) -> DataFrame:
     """Revenue and margin per month."""
     return revenue_by(fact_sales.withColumn("month_date", month_start("order_date")), ["month_date"]).orderBy("month_date")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 from pathlib import PurePosixPath
@@ -52,12 +52,28 @@ def read_delimited(
     return reader.csv(path)
 
 
+#: Table beside the sheets that records the workbook's order: position, sheet_name.
+ORDER = "sheet_order"
+
+
 def sheet_folders(spark: SparkSession, root: str) -> dict[str, str]:
-    """Folder of each sheet of a source landed as ``sheet_name=<name>/`` folders, in name order."""
+    """Folder of each sheet of a source landed as ``sheet_name=<name>/`` folders, in the workbook's order.
+
+    The order is what ``sheet_order/`` records. Sheets it does not name follow in name order, as all do without it.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     folder = F.regexp_extract("path", rf"/({SHEET}=[^/]*)/[^/]*$", 1).alias("folder")
     found = [r.folder for r in files.select(folder).distinct().where("folder != ''").collect()]
-    return dict(sorted((unquote(f.split("=", 1)[1]), f"{root.rstrip('/')}/{f}") for f in found))
+    named = {unquote(f.split("=", 1)[1]): f"{root.rstrip('/')}/{f}" for f in found}
+    unrecorded = files.where(F.col("path").rlike(rf"/{ORDER}/[^/]*$")).isEmpty()
+    places = {} if unrecorded else {r[SHEET]: r["position"] for r in spark.read.parquet(f"{root.rstrip('/')}/{ORDER}").collect()}
+    return {n: named[n] for n in sorted(named, key=lambda n: (n not in places, places.get(n, 0), n))}
+
+
+def record_order(spark: SparkSession, root: str, sheets: Sequence[str]) -> None:
+    """Note the workbook's order of sheets beside the landed sheets: one row a sheet."""
+    rows = spark.createDataFrame(list(enumerate(sheets)), f"position int, {SHEET} string")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{ORDER}")
 
 
 def _sheet(spark: SparkSession, name: str, folder: str) -> DataFrame:
@@ -71,7 +87,7 @@ def _sheet(spark: SparkSession, name: str, folder: str) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, root: str, sheet: str | int = 0) -> DataFrame:
-    """One sheet of a source. A number selects by position in name order, as folders keep no other order."""
+    """One sheet of a source. A number selects by position in the workbook."""
     folders = sheet_folders(spark, root)
     name = list(folders)[sheet] if isinstance(sheet, int) else sheet
     if name not in folders:

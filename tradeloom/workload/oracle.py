@@ -398,6 +398,7 @@ SQL: dict[str, str] = {}
 _sales = ", ".join(SOURCES["sales_transactions"].columns)
 SQL["src_csv_roundtrip"] = f"SELECT * REPLACE (NULLIF(employee_id, '') AS employee_id) FROM (SELECT {_sales} FROM raw_sales_transactions)"
 SQL["src_sheet_select"] = "SELECT * FROM plan_sheets WHERE sheet_name = 'Plan_v2_Adjustment_H2'"
+SQL["src_sheet_position"] = "SELECT * EXCLUDE (sheet_name) FROM plan_sheets WHERE sheet_name = 'Plan_v2_Adjustment_H2'"
 SQL["src_sheets_skip"] = "SELECT * FROM plan_sheets WHERE sheet_name <> 'summary'"
 SQL["src_dispatch"] = """SELECT 'SRC03_customer_master.csv' AS source, count(*) AS row_count FROM raw_customer_master
     UNION ALL SELECT 'SRC04_product_master.PARQUET', count(*) FROM raw_product_master
@@ -863,6 +864,11 @@ def revenue(by: str, select: str = "", where: str = "") -> str:
 SQL["revenue_by_region"] = revenue("region")
 SQL["revenue_by_channel"] = revenue("channel")
 SQL["revenue_by_province"] = revenue("region, province")
+SQL["revenue_drilldown"] = " UNION ALL BY NAME ".join([
+    f"SELECT *, 2 AS level FROM ({revenue('region, province')})",
+    f"SELECT *, CAST(NULL AS VARCHAR) AS province, 1 AS level FROM ({revenue('region')})",
+    f"SELECT * EXCLUDE (one), CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS province, 0 AS level FROM ({revenue('1', '1 AS one')})",
+])
 SQL["revenue_margin_trend"] = revenue("1", "CAST(date_trunc('month', order_date) AS DATE) AS month_date")
 SQL["slice_channel"] = revenue("region, order_year", where="WHERE channel = 'BUILDING'")
 SQL["slice_province"] = revenue("channel, order_year", where="WHERE province = 'CHINA'")

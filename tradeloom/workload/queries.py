@@ -117,6 +117,15 @@ def src_sheet_select(cat):
     return readers.read_sheet(cat.spark, cat.landed(PLAN_FILE), "Plan_v2_Adjustment_H2")
 
 
+@query
+def src_sheet_position(cat):
+    """The first sheet of a source whose recorded order is not that of the names."""
+    path = f"{new_folder(cat.spark, 'landing')}/{PLAN_FILE}"
+    write_sheets(cat.bindings.plan_sheets(), path)
+    readers.record_order(cat.spark, path, ["Plan_v2_Adjustment_H2", "summary"])
+    return readers.read_source(cat.spark, path)
+
+
 @query
 def src_sheets_skip(cat):
     return readers.read_sheets(cat.spark, cat.landed(PLAN_FILE))
@@ -943,6 +952,12 @@ def revenue_by_province(cat):
     return measures.revenue_by(cat["fact_sales"], ["region", "province"])
 
 
+@query
+def revenue_drilldown(cat):
+    """Provinces, regions and the total of a drill-down, from one scan of the fact."""
+    return measures.revenue_levels(cat["fact_sales"])
+
+
 @query
 def revenue_margin_trend(cat):
     return measures.revenue_trend(cat["fact_sales"])
