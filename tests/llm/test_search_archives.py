@@ -52,6 +52,22 @@ def test_all_verified_equals_brute_force(spark):
         assert np.allclose([d for d, _ in got[q]], [d for d, _ in e], rtol=0, atol=1e-12)
 
 
+def test_the_order_of_queries_does_not_show():
+    draw = np.random.default_rng(4)
+    vectors, queries = draw.standard_normal((1500, 16)), draw.standard_normal((20, 16)) * draw.uniform(0.1, 5, (20, 1))
+    found = []
+    for order in (range(20), reversed(range(20)), draw.permutation(20)):
+        index = neighbours.LineIndex(vectors)
+        found.append({int(q): index.search(queries[q], 10)[0].tolist() for q in order})
+    assert found[0] == found[1] == found[2]
+    # The level that is found is the lowest with enough vectors, whatever the search begins with.
+    index = neighbours.LineIndex(vectors)
+    for level in (0, 30, 90):
+        index.level = level
+        assert index.search(queries[0], 10)[0].tolist() == found[0][0]
+    assert neighbours.LineIndex(vectors[:1]).search(queries[0], 10)[0].tolist() == [0]
+
+
 def test_recall(spark):
     draw = np.random.default_rng(2)
     rows = [(k, (draw.standard_normal(64)).tolist()) for k in range(3000)]

@@ -38,32 +38,42 @@ class LineIndex:
         self.order = np.ascontiguousarray(np.argsort(projected, axis=0, kind="stable").T)
         self.values = np.sort(projected, axis=0).T.copy()
         spread = self.values[:, -1] - self.values[:, 0]
-        self.widest = float(spread.max())
+        self.widest = float(spread.max()) or 1.0
         self.level = 0
 
     def search(self, query: np.ndarray, k: int, verified: float = VERIFIED) -> tuple[np.ndarray, np.ndarray]:
         """Verified vectors' places and distances, at least k of them or all.
 
-        Windows are centred on the query, so one of a level holds those of every level below; the levels that the
-        query before did not need either are passed over.
+        Windows are centred on the query, so one of a level holds those of every level below. The answer is that of
+        the lowest level with enough vectors; the level of the query before is only where the search for it begins.
         """
-        n, m = len(self.vectors), len(self.order)
-        need, enough = min(n, k + ceil(verified * n)), ceil(THRESHOLD * m)
+        n = len(self.vectors)
+        need = min(n, k + ceil(verified * n))
         center = query @ self.lines
-        self.level = max(0, self.level - 1)
-        base = self.widest * WIDEN**-64
-        while True:
-            half = base * WIDEN**self.level
-            parts = [self.order[j, a:b] for j, (a, b) in enumerate(self._windows(center, half)) if a < b]
-            counts = np.bincount(np.concatenate(parts), minlength=n) if parts else np.zeros(n, np.int64)
-            found = np.flatnonzero(counts >= enough)
-            if len(found) >= need or half > 2 * self.widest + np.abs(center).max():
-                break
-            self.level += 1 if len(found) > need // 8 else 4
-        if len(found) < need:
-            found = np.arange(n)
+        widest = 2 * self.widest + np.abs(center).max()
+
+        def enough(level: int) -> np.ndarray | None:
+            half = self.widest * WIDEN ** (level - 64)
+            found = self._passing(center, half)
+            if len(found) >= need:
+                return found
+            return np.arange(n) if half > widest else None
+
+        level, found = self.level, enough(self.level)
+        while found is None:
+            level += 1
+            found = enough(level)
+        while level == self.level and level > 0 and (lower := enough(level - 1)) is not None:
+            level, self.level, found = level - 1, level - 1, lower
+        self.level = level
         return found, np.sqrt(((self.vectors[found] - query) ** 2).sum(axis=1))
 
+    def _passing(self, center: np.ndarray, half: float) -> np.ndarray:
+        """Vectors in enough of the windows."""
+        parts = [self.order[j, a:b] for j, (a, b) in enumerate(self._windows(center, half)) if a < b]
+        counts = np.bincount(np.concatenate(parts), minlength=len(self.vectors)) if parts else np.zeros(len(self.vectors), np.int64)
+        return np.flatnonzero(counts >= ceil(THRESHOLD * len(self.order)))
+
     def _windows(self, center: np.ndarray, half: float) -> Iterator[tuple[int, int]]:
         for j, c in enumerate(center.tolist()):
             yield self.values[j].searchsorted(c - half), self.values[j].searchsorted(c + half, side="right")
