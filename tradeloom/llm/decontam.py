@@ -51,14 +51,16 @@ class Windows:
         return min((m.shape[1] for m in self.lengths), default=1)
 
 
-def windows(items: list[tuple[str, bytes]], size: int = 10) -> Windows:
-    """Every window of ``size`` words; an item of fewer, but not none, is one window."""
+def windows(items: list[tuple[str | None, bytes]], size: int = 10) -> Windows:
+    """Every window of ``size`` words; an item of fewer, but not none, is one window. One without an id owns none of its own."""
     vocabulary: dict[bytes, int] = {}
     by: dict[tuple[int, ...], dict[str, None]] = {}
     for item, text in items:
         w = [vocabulary.setdefault(x, len(vocabulary) + 1) for x in words(text)]
         for k in range(max(1, len(w) - size + 1) if w else 0):
-            by.setdefault(tuple(w[k : k + size]), {})[item] = None
+            owners = by.setdefault(tuple(w[k : k + size]), {})
+            if item is not None:
+                owners[item] = None
     lengths = sorted({len(w) for w in by})
     chosen = [[w for w in by if len(w) == n] for n in lengths]
     return Windows(vocabulary, [np.array(c, np.int64).reshape(len(c), n) for c, n in zip(chosen, lengths, strict=True)], [[tuple(by[w]) for w in c] for c in chosen])
@@ -204,16 +206,29 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> tuple[int, Callable[[int], Windows]]:
-    """The benchmark's windows in parts of at most about BLOCK_WORDS words, each made on the driver when asked for."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), utf8(F.col(text_col)).alias("text")).where("item_id is not null")
+    """The benchmark's windows in parts of about BLOCK_WORDS, each made on the driver when asked for.
+
+    A benchmark of more than one part is cut into its different windows first, and these are dealt: neither a huge
+    item nor one that is repeated makes a part larger.
+    """
+    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), utf8(F.col(text_col)).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, ceil(total / (4 * BLOCK_WORDS)))
+    if total <= 4 * BLOCK_WORDS:
+        return 1, lambda _: windows([(r.item_id, bytes(r.text)) for r in items.collect()], size)
 
-    def part(k: int) -> Windows:
-        mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).collect()
-        return windows([(r.item_id, bytes(r.text)) for r in mine], size)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text"), strict=True):
+                w = words(text.as_py())
+                starts = range(max(1, len(w) - size + 1) if w else 0)
+                for first in range(0, len(starts), 10_000):
+                    own = [b" ".join(w[k : k + size]) for k in starts[first : first + 10_000]]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(own), pa.string()), pa.array(own, pa.binary())], names=["item_id", "text"])
 
-    return parts, part
+    cut = stored(items.mapInArrow(run, "item_id string, text binary").distinct(), "windows")
+    parts = max(1, ceil(cut.agg(F.approx_count_distinct("text")).first()[0] / BLOCK_WORDS))
+    dealt = cut.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)))
+    return parts, lambda k: windows([(r.item_id, bytes(r.text)) for r in dealt.where(F.col("part") == k).collect()], size)
 
 
 def _search(docs: DataFrame, shared: Broadcast) -> DataFrame:
@@ -262,9 +277,10 @@ def _united(docs: DataFrame, parts: int, block: Callable[[int], Windows], hits_o
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_hit, item_ids (sorted as strings), spans of hit words [start, stop).
 
-    Null texts have no words; items without words or without an id have no windows. Repeated rows and null document
-    ids are answered each for itself. A benchmark beyond BLOCK_WORDS is searched in parts, whose answers are united
-    by row. Other columns are not read.
+    Null texts have no words, and items without words no windows. An item without an id has windows, whose words are
+    hit, but no name among the item_ids. Repeated rows and null document ids are answered each for itself. A benchmark
+    beyond BLOCK_WORDS is searched in parts, whose answers are united by row. Empty tables give no rows, or no hits.
+    Other columns are not read.
     """
     spark = docs.sparkSession
     ship(spark)
