@@ -70,6 +70,22 @@ def frame(spark):
     return spark.createDataFrame([(d, t, "clash", 1, 2, "x", 3) for d, t in docs], DOCS), docs
 
 
+def test_sets_of_one_id_link_what_each_is_linked_with(spark):
+    texts = {k: " ".join(f"{k}{j}" for j in range(20)) for k in "ABCD"}
+    rows = [(3, "A"), (4, "B"), (5, "A"), (5, "B"), (9, "C"), (9, "D"), (8, "D"), (7, "C"), (6, "E"), (6, "F")]
+    rows = [(d, texts.get(t, f"alone {t}")) for d, t in rows]
+    # A row's component is its id's, and what keep_one adds to columns has no name of theirs.
+    docs = spark.createDataFrame([(d, t, n, 2, "p") for n, (d, t) in enumerate(rows)], "doc_id long, text string, kept int, `__kept` int, place string")
+    got = minhash.near_duplicates(docs, 4, 80).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(d, c) for d, c in brute(rows, 4, 80).items()}
+    assert {r.doc_id for r in got if r.component_id == 3} == {3, 4, 5} and {r.doc_id for r in got if r.component_id == 7} == {7, 8, 9}
+    kept = minhash.keep_one(docs, 4, 80)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 6, 7]
+    # Of the rows under one id the same one stays, however they are dealt.
+    again = minhash.keep_one(docs.orderBy(docs.kept.desc()).repartition(5), 4, 80)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, kept.collect()))
+
+
 @pytest.mark.parametrize("size", [4, 5])
 def test_near_duplicates_equal_brute_force(frame, size):
     docs, rows = frame
@@ -131,8 +147,8 @@ def brute_hits(docs, items, size=10):
     found = {}
     for item, text in items:
         w = WORD.findall(low(text))
-        for k in range(max(1, len(w) - size + 1) if w and item is not None else 0):
-            found.setdefault(tuple(w[k : k + size]), set()).add(str(item))
+        for k in range(max(1, len(w) - size + 1) if w else 0):
+            found.setdefault(tuple(w[k : k + size]), set()).update([] if item is None else [str(item)])
     out = []
     for text in docs:
         w, hit, names = WORD.findall(low(text)), set(), set()
@@ -164,9 +180,12 @@ def leaks(spark):
     draw = random.Random(8)
     items = [(k, " ".join(f"q{draw.randrange(300)}" for _ in range(draw.randint(3, 40)))) for k in range(30)]
     items += [(30, None), (31, ""), (32, "Ünï-código 9"), (None, "no id at all"), (33, items[0][1])]
+    # Without an id: windows of its own and some that another item has as well. A huge item, and a repeated one.
+    items += [(None, items[5][1] + " " + " ".join(f"none{k}" for k in range(15)))] + [(34, " ".join(f"big{k}" for k in range(900)))] + [items[6]] * 50
     docs = [None, "", "---", "ÜNÏ CÓDIGO 9 is Ünï_código,9!", "free of it", "long " * 40000, items[0][1].upper(), "x " + items[1][1] + " y " + items[1][1]]
     w = items[2][1].split()
     docs += [" ".join(w[:6]) + " " + " ".join(w[3:9]), items[4][1] * 2, items[4][1] * 2]
+    docs += ["so No Id at ALL, it says", items[5][1], "x " + " ".join(f"none{k}" for k in range(12)), " ".join(f"Big{k}" for k in range(300, 330)), items[6][1]]
     for _ in range(40):
         a = draw.choice(items[:30])[1].split()
         docs.append(" ".join([*draw.choices(["f", "g"], k=5), *a[draw.randrange(len(a)) :], *draw.choices(["f", "g"], k=5)]))

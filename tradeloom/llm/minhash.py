@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
@@ -285,10 +285,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     candidates = stored(_alike(candidates.select("u", "v", "a", "b"), least), "candidates")
     texts = texts_of(docs, candidates.select(F.explode(F.array("u", "v")).alias("id")))
 
+    # The sets of one id are one document, whether or not any of them is like another.
+    several = members.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v != most").drop("most")
+    of_one_id = stored(members.join(several, "doc_id").where("rep != v").select(F.col("rep").alias("u"), "v").distinct(), "one-id")
+
     # First each text's most alike hub; then the other hubs that are still apart from it; then the rest of the buckets.
     nearest = candidates.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
-    links = [verify(texts, nearest, size, percent)]
-    found = components(links[0])
+    links = [of_one_id, verify(texts, nearest, size, percent)]
+    found = components(_united(links))
     tried = nearest
     apart = _apart(candidates.select("u", "v"), found).join(tried, ["u", "v"], "left_anti")
     apart = stored(apart, "apart")
@@ -319,11 +323,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, of one document of each group of near duplicates: that with the smallest id.
 
-    Of rows that share that id, one stays. Rows without an id are kept.
+    Of rows that share that id, the one stays whose columns, as JSON, have the least SHA-256, so a task that is run
+    again keeps the same; of equal rows one stays. Rows without an id are kept. Columns may have any names. An empty
+    table gives no rows.
     """
-    kept = near_duplicates(docs, size, percent, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    one = docs.join(kept, F.col(id_col).cast("long") == F.col("__kept")).drop("__kept").dropDuplicates([id_col])
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    kept, place = "kept", "place"
+    while {kept, place} & set(map(str.lower, docs.columns)):
+        kept, place = f"_{kept}", f"_{place}"
+    ids = near_duplicates(docs, size, percent, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias(kept)).distinct()
+    held = docs.join(ids, F.col(f"`{id_col}`").cast("long") == F.col(kept))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    least = Window.partitionBy(kept).orderBy(F.sha2(F.to_json(F.struct(*columns)), 256))
+    one = held.withColumn(place, F.row_number().over(least)).where(F.col(place) == 1).select(*columns)
+    return one.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
 
 
 def _united(frames: list[DataFrame]) -> DataFrame:
