@@ -532,6 +532,31 @@ SQL["dim_products"] = doubles("dim_products", "unit_price", "cost_price", "weigh
 SQL["dim_distributors"] = doubles("dim_distributors", "credit_limit")
 for _table in ("dim_employees", "dim_regions", "dim_geography", "dim_channels"):
     SQL[_table] = f"SELECT * FROM {_table}"
+_PLACE = ("region", "province", "channel")
+
+
+def numbers(column: str, key: str, *near: str) -> str:
+    least = ", ".join(f"min({c}) AS {c}" for c in near)
+    order = ", ".join(f"{c} NULLS FIRST" for c in near)
+    return f"""SELECT {column}, row_number() OVER (ORDER BY {order}, {column}) AS {key} FROM (
+        SELECT {column}, {least} FROM (SELECT *, CAST(date_trunc('month', order_date) AS DATE) AS month_date FROM stg_sales_transactions)
+        WHERE {column} IS NOT NULL GROUP BY {column})"""
+
+
+CTE["key_customers"] = numbers("customer_id", "customer_no", *_PLACE)
+CTE["key_orders"] = numbers("order_id", "order_no", "month_date", *_PLACE)
+SQL["key_customers"] = "SELECT * FROM key_customers"
+SQL["key_orders"] = "SELECT * FROM key_orders"
+
+
+def bits_of(kind: str, number: str, sums: bool) -> str:
+    total = ", ".join(f"CAST({f'sum({c})' if sums else 'NULL'} AS DOUBLE) AS {n}" for c, n in (("net_amount", "revenue"), ("gross_profit", "gross_profit"), ("quantity", "units_sold")))
+    return f"""SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_date, region, province, channel, '{kind}' AS counted,
+        ({number} - 1) // 32768 + 1 AS bucket, {total}, count(DISTINCT {number}) AS members
+        FROM fact_sales LEFT JOIN key_customers USING (customer_id) LEFT JOIN key_orders USING (order_id) GROUP BY 1, 2, 3, 4, 5, 6"""
+
+
+SQL["mart_sales_activity"] = bits_of("customers", "customer_no", True) + " UNION ALL " + bits_of("orders", "order_no", False)
 SQL["fact_sales"] = doubles(
     "fact_sales", "quantity", "unit_price", "discount_pct", "discount_amount", "gross_amount", "net_amount", "total_cost", "gross_profit"
 )

@@ -518,10 +518,17 @@ def _model(name: str) -> Query:
 for _name in silver.SILVER_MODELS:
     QUERIES["stg_targets_versioned" if _name == "stg_sales_targets_versioned" else _name] = _model(_name)
 for _name in gold.GOLD_MODELS:
-    if _name != "dim_date":
+    if _name not in ("dim_date", "mart_sales_activity"):
         QUERIES[_name] = _model(_name)
 
 
+@query
+def mart_sales_activity(cat):
+    """The activity mart, its bitmaps as the numbers of members they hold."""
+    rows = cat.plan("mart_sales_activity")
+    return rows.withColumn("members", F.bitmap_count("bits")).drop("bits")
+
+
 @query
 def dim_date(cat):
     """The calendar with the sales lines of each day."""
