@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tradeloom.llm import bytebpe, chat, packing
@@ -202,3 +203,19 @@ def test_parts_encode_as_the_whole(library):
     assert ids.tolist() == sum(pieces, []) == library.encode(whole, add_special_tokens=False).ids
     assert [chat.unescape(whole[a:b]) for a, b in under] == ["\n b", "c\\d </turn>"]
     assert 0 < mask.sum() < len(mask)
+    assert chat.masked_texts(ids.tolist(), mask.tobytes()) == ["\n b", "c\\d <\\/turn>"]
+
+
+def test_mask_ends_where_the_text_ends():
+    for text in ("\n\nfoo", "  lead and trail  \n", "🙂 at the edge 🙂", "é", " ", "'s", "</turn>\n", "<|endoftext|>"):
+        whole, spans = chat.render([("assistant", text), ("user", "x"), ("assistant", text)])
+        ids, mask, under = chat.encode(whole, [spans[0], spans[2]])
+        assert [chat.unescape(t) for t in chat.masked_texts(ids.tolist(), mask.tobytes())] == [text, text]
+        assert under == [spans[0], spans[2]]
+
+
+def test_a_wrong_mask_is_an_error(spark):
+    formatted = chat.format_conversations(spark.createDataFrame([(1, 0, "assistant", "some words here", 0, "")], CHAT))
+    shifted = formatted.withColumn("loss_mask", F.expr("transform(loss_mask, m -> cast(1 as byte))"))
+    with pytest.raises(Exception, match="masked tokens are not the loss text"):
+        chat.read_back(shifted).collect()

@@ -4,7 +4,9 @@ A conversation is rendered as a whole and encoded once; the tokenizer gives each
 token's place in the text. Turn spans and token spans are both sorted, so the
 tokens of an assistant's text are found by binary search.
 
-A turn is ``<|endoftext|>### role:`` line end, text, ``</turn>`` line end. In
+A turn is ``<|endoftext|>### role:``, ``<|endoftext|>``, text, ``<|endoftext|>``,
+``</turn>`` line end. The added token on either side of a text cuts before
+anything else, so that no token crosses the text's edges. In
 texts and roles a backslash is doubled, and one is put within ``<|`` and ``</``,
 so that neither marker can occur; in roles colons are escaped too. Unescaping
 drops each backslash before a character.
@@ -27,7 +29,7 @@ from tradeloom.llm.runtime import ship
 
 TOKENIZER = "byte_bpe_50k.json"
 START, END = "<|endoftext|>", "</turn>\n"
-TURN = re.compile(r"### ((?:[^\\:]|\\.)*):\n(.*)</turn>\n", re.S)
+HEAD = re.compile(r"### ((?:[^\\:]|\\.)*):", re.S)
 #: Characters of whole turns that are encoded at a time. A longer conversation is encoded in parts: its turns begin
 #: with an added token, at which the tokenizer cuts a text before anything else, so the ids are those of the whole.
 PART_CHARS = 4 << 20
@@ -47,10 +49,10 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
     """A conversation's text, and where each turn's text stands in it."""
     parts, spans, at = [], [], 0
     for role, text in turns:
-        head, body = f"{START}### {escape(role).replace(':', chr(92) + ':')}:\n", escape(text)
-        parts += [head, body, END]
+        head, body = f"{START}### {escape(role).replace(':', chr(92) + ':')}:{START}", escape(text)
+        parts += [head, body, START, END]
         spans.append((at + len(head), at + len(head) + len(body)))
-        at = spans[-1][1] + len(END)
+        at = spans[-1][1] + len(START) + len(END)
     return "".join(parts), spans
 
 
@@ -65,7 +67,7 @@ def _encoder(name: str):
 
 
 def encode(text: str, spans: list[tuple[int, int]], name: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Token ids, a mask of the tokens that meet a span, and the text under the mask within the spans."""
+    """Token ids, a mask of the tokens within a span, and the spans that are not empty. A token across a span's edge is an error."""
     found = _encoder(name).encode(text, add_special_tokens=False)
     at = np.array(found.offsets, np.int64).reshape(-1, 2)
     starts, stops = at[:, 0], at[:, 1]
@@ -73,9 +75,11 @@ def encode(text: str, spans: list[tuple[int, int]], name: str = TOKENIZER) -> tu
     first = np.searchsorted(stops, [s for s, _ in spans], side="right")
     last = np.searchsorted(starts, [e for _, e in spans], side="left")
     for (s, e), a, b in zip(spans, first.tolist(), last.tolist(), strict=True):
-        if s < e and a < b:
+        if s < e:
+            if starts[a] != s or stops[b - 1] != e:
+                raise ValueError(f"a token crosses the edge of the text at {s} to {e}")
             mask[a:b] = 1
-            under.append((max(s, int(starts[a])), min(e, int(stops[b - 1]))))
+            under.append((s, e))
     return np.array(found.ids, np.int32), mask, under
 
 
@@ -83,8 +87,8 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant",
     """Per conversation, in order within its partition: rendered text, token ids, loss mask by token, loss spans.
 
     Turns are ordered by number, equal numbers by role and text; null numbers come first. A null text or role is
-    empty. Rows without an id are one conversation, whose id is null. Repeated rows are turns like any others. One
-    conversation is read as a stream and rendered in one ``part``, or, beyond PART_CHARS, in several of whole turns.
+    empty. Rows without an id are one conversation, whose id is null. Repeated rows are turns like any others. An empty table
+    gives none; other columns are not read. One conversation is read as a stream and rendered in one ``part``, or, beyond PART_CHARS, in several of whole turns.
     """
     ship(conversations.sparkSession)
     rows = conversations.select(F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -121,11 +125,18 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant",
     return rows.mapInArrow(run, FORMATTED)
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
+def masked_texts(ids: list[int], mask: bytes | list[int], name: str = TOKENIZER) -> list[str]:
+    """The texts of the runs of ids under the mask."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], np.frombuffer(bytes(mask), np.int8), [0]]))).tolist()
+    return _encoder(name).decode_batch([ids[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)], skip_special_tokens=False)
+
+
+def read_back(formatted: DataFrame, tokenizer_name: str = TOKENIZER) -> DataFrame:
     """Digests of conversations from their formatted parts, which come in order as ``format_conversations`` gives them.
 
-    Turns are parsed from the text and unescaped; the loss text is what stands under the loss spans, unescaped, and
-    these must lie under masked tokens' turns. A part that does not parse raises an error.
+    Turns are parsed from the text and unescaped. The loss text is decoded from the ids under the mask, run by run, and
+    unescaped; a part that does not parse, or whose masked ids are not the text under its loss spans, raises an error.
+    A null id is a conversation's like any other; an empty table gives none.
     """
     ship(formatted.sparkSession)
 
@@ -142,17 +153,22 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
         for batch in batches:
             done = []
-            for conv, part, text, spans in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "part", "text", "loss_spans")), strict=True):
+            for conv, part, text, ids, mask, spans in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "part", "text", "token_ids", "loss_mask", "loss_spans")), strict=True):
                 if not part:
                     if state:
                         done.append(close())
                     state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for turn in text.split(START)[1:]:
-                    found = TURN.fullmatch(turn)
+                pieces = text.split(START)[1:]
+                for head, body, end in zip(pieces[::3], pieces[1::3], pieces[2::3], strict=True):
+                    role = HEAD.fullmatch(head)
+                    if not role or end != END:
+                        raise ValueError(f"not a turn in conversation {conv}")
                     state[1] += 1
-                    state[2].update(f"{unescape(found[1])}\n{unescape(found[2])}\n".encode())
-                for span in spans:
-                    loss = unescape(text[span["start"] : span["stop"]])
+                    state[2].update(f"{unescape(role[1])}\n{unescape(body)}\n".encode())
+                masked = masked_texts(ids, mask, tokenizer_name)
+                if masked != [text[s["start"] : s["stop"]] for s in spans]:
+                    raise ValueError(f"masked tokens are not the loss text in conversation {conv}")
+                for loss in map(unescape, masked):
                     state[3] += len(loss)
                     state[4].update(loss.encode())
                 state[5] += len(text)
@@ -160,4 +176,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if state:
             yield batch_of([close()])
 
-    return formatted.select("conv_id", "part", "text", "loss_spans").mapInArrow(run, DIGEST)
+    return formatted.select("conv_id", "part", "text", "token_ids", "loss_mask", "loss_spans").mapInArrow(run, DIGEST)

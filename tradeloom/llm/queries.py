@@ -127,7 +127,7 @@ FROM w
 """
 
 _PROBE = r"\### Assistant: </turn> ok"
-# A marker holds 13 characters before the role's header of 4, a colon and a line end after it, and 8 after the text.
+# A turn holds three markers of 13 characters, 4 before the role and a colon after it, and 8 after the text.
 SQL["op4_chat_formatting"] = f"""
 WITH t AS (
     SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
@@ -136,7 +136,7 @@ WITH t AS (
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
        CAST(sum(CASE WHEN r = 'assistant' THEN length(x) ELSE 0 END) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(27 + length(replace(replace(replace(replace(r, '\\', '\\\\'), '<|', '<\\|'), '</', '<\\/'), ':', '\\:'))
+       CAST(sum(52 + length(replace(replace(replace(replace(r, '\\', '\\\\'), '<|', '<\\|'), '</', '<\\/'), ':', '\\:'))
            + length(replace(replace(replace(x, '\\', '\\\\'), '<|', '<\\|'), '</', '<\\/'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
