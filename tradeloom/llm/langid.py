@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship, thinned
+from tradeloom.llm.runtime import ship, thinned, windowed
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -83,17 +83,17 @@ class Languages:
 
 
 class Parses(dict):
-    """Row of ``counts`` that holds a word's phrases in each language and, last, its letters."""
+    """Row of ``counts`` that holds a word's phrases in each language and, last, its parsed characters and its letters."""
 
     def __init__(self, languages: Languages):
         super().__init__()
         self.names = sorted(languages.references)
         self.automata = [SuffixAutomaton(languages.references[n]) for n in self.names]
-        self.counts = np.zeros((MEMO_WORDS + 1, len(self.names) + 1), np.int32)
+        self.counts = np.zeros((MEMO_WORDS + 1, len(self.names) + 2), np.int32)
 
     def of(self, word: str) -> list[int]:
         letters = sum(map(str.isalpha, word))
-        return [a.phrases(f" {word} ") if letters else 0 for a in self.automata] + [letters]
+        return [a.phrases(f" {word} ") if letters else 0 for a in self.automata] + [len(word) + 2 if letters else 0, letters]
 
     def __missing__(self, word: str) -> int:
         row = len(self)
@@ -102,7 +102,7 @@ class Parses(dict):
         return row
 
     def total(self, text: str) -> np.ndarray:
-        """Phrases of a whole text in each language, and its letters."""
+        """Phrases of a whole text in each language, its parsed characters (words with a space on either side), its letters."""
         words = WORD.findall(text.lower())
         out = np.zeros(self.counts.shape[1], np.int64)
         for start in range(0, len(words), 50_000):
@@ -118,18 +118,22 @@ class Parses(dict):
         return out
 
 
-def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", texts: int = 200, text_bytes: int = 1 << 16, reference_chars: int = 60_000) -> Languages:
-    """References from rows with a language. Null texts and languages are left out.
+def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", windows: int = 200, window_bytes: int = 1 << 16, reference_chars: int = 60_000) -> Languages:
+    """References from rows with a language. Null and empty texts and null languages are left out; no rows give no languages.
 
-    For each language the ``texts`` different ones least by a hash, none over ``text_bytes``, go to the driver; the reference is
-    their distinct words, the most frequent first, up to ``reference_chars``. So the driver holds a bounded sample.
+    Texts of any length are cut into windows of ``window_bytes``. For each language the ``windows`` different ones least by
+    a hash go to the driver; the reference is their distinct words, the most frequent first, up to ``reference_chars``; words
+    over LONG_WORD letters stand as pieces of that length. So the driver holds a bounded sample. Equal windows count
+    once. Other columns are not read.
     """
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.octet_length("text").between(1, text_bytes))
-    few = thinned(rows, F.col("text"), texts, "lang").groupBy("lang", F.xxhash64("text").alias("draw")).agg(F.min("text").alias("text"))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull())
+    rows = windowed(rows, "text", window_bytes)
+    few = thinned(rows, F.col("text"), windows, "lang").groupBy("lang", F.xxhash64("text").alias("draw")).agg(F.min("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     counts: dict[str, Counter] = {}
-    for r in few.withColumn("place", place).where(F.col("place") <= texts).select("lang", "text").collect():
-        counts.setdefault(r.lang, Counter()).update(w for w in WORD.findall(r.text.lower()) if len(w) <= LONG_WORD)
+    for r in few.withColumn("place", place).where(F.col("place") <= windows).select("lang", "text").collect():
+        words = WORD.findall(r.text.lower())
+        counts.setdefault(r.lang, Counter()).update(w[k : k + LONG_WORD] for w in words for k in range(0, len(w), LONG_WORD))
     references = {}
     for lang, found in counts.items():
         words, size = [], 0
@@ -148,7 +152,8 @@ def identify(docs: DataFrame, languages: Languages, id_col: str = "doc_id", text
 
     ``und`` with score 0 for a null text or one without a letter, or if no language was learned. Ties go to the first
     name. The score is the second language's share of the two lowest counts: 0.5 where they tie, near 1 where the
-    winner is far ahead, and 1 for a single language. Other columns are not read.
+    winner is far ahead, and 1 for a single language. Repeated rows and null ids are answered each, an empty table with
+    none. Other columns are not read.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -164,7 +169,7 @@ def identify(docs: DataFrame, languages: Languages, id_col: str = "doc_id", text
                     names.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
-                order = np.argsort(total[:-1], kind="stable")
+                order = np.argsort(total[:-2], kind="stable")
                 best = float(total[order[0]])
                 names.append(parses.names[order[0]])
                 scores.append(float(total[order[1]]) / (best + float(total[order[1]])) if len(order) > 1 else 1.0)
@@ -173,16 +178,29 @@ def identify(docs: DataFrame, languages: Languages, id_col: str = "doc_id", text
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, languages: Languages, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text is identified as one of the languages."""
+#: A text is told by no language if the best needs so many phrases for each parsed character.
+UNKNOWN = 0.95
+
+
+def keep_identified(docs: DataFrame, languages: Languages, text_col: str = "text", unknown: float = UNKNOWN) -> DataFrame:
+    """The rows, with all their columns, whose text is identified as one of the languages.
+
+    Left out are texts that are null or have no letter, and those of which the winner knows next to nothing: its phrases are
+    ``unknown`` of the parsed characters or more. A text in letters that no language has needs a phrase for each. Rows are
+    judged one by one; an empty table gives none.
+    """
     spark = docs.sparkSession
     ship(spark)
     shared, key, place = spark.sparkContext.broadcast(languages), uuid.uuid4().hex, docs.columns.index(text_col)
 
+    def known(total: np.ndarray) -> bool:
+        return bool(total[-1]) and total[:-2].min() < unknown * total[-2]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parses = _parses(key, shared.value)
         for batch in batches:
-            yield batch.filter(pa.array([bool(parses.total(t.as_py() or "")[-1]) for t in batch.column(place)], pa.bool_()))
+            kept = [bool(parses.names) and known(parses.total(t.as_py() or "")) for t in batch.column(place)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

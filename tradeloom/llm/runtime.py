@@ -79,6 +79,19 @@ def thinned(rows: DataFrame, key: Column, n: int, within: str | None = None) ->
     return rows.join(F.broadcast(counts), within).where(draw < F.least(F.lit(1.0), 2 * n / F.col("__n")) * 2**32).drop("__n")
 
 
+def windowed(rows: DataFrame, text_col: str, size: int) -> DataFrame:
+    """Every text cut into windows of ``size`` bytes, its last one shorter, in its place; ``cut`` tells whether it has several.
+
+    A text of at most ``size`` bytes is its only window. A character cut in two becomes a replacement character. Bytes
+    are cut, as a place in them is found at once, so that a long text costs one pass. Null and empty texts have none.
+    """
+    raw = F.col(text_col).cast("binary")
+    parts = F.transform(F.sequence(F.lit(0), ((F.octet_length(text_col) - 1) / size).cast("int")), lambda k: F.make_valid_utf8(F.substring(raw, k * size + 1, F.lit(size)).cast("string")))
+    rows = rows.where(F.octet_length(text_col) > 0).withColumn("cut", F.octet_length(text_col) > size)
+    whole = F.when(F.col("cut"), parts).otherwise(F.array(text_col))
+    return rows.select(*(F.col(c) for c in rows.columns if c != text_col), F.explode(whole).alias(text_col))
+
+
 def utf8(text: Column) -> Column:
     """A text's bytes, none for null: Python workers then need not decode what they only cut."""
     return F.coalesce(text.cast("binary"), F.lit(b""))
