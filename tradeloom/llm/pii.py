@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship, thinned
+from tradeloom.llm.runtime import ship, thinned, windowed
 
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "secret")
@@ -31,7 +31,12 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: Seeds label what the base patterns leave: secrets by their key words, telephone numbers without a + after theirs.
 SECRET_SEEDS = (re.compile(r"\b(AKIA[0-9A-Z]{16})\b"), re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api_?key)\s*[=:]\s*[\"']?([0-9A-Za-z_/+-]{12,})"))
+PHONE_SEED = re.compile(r"(?i)\b(?:tel|telephone|phone|mobile|cell|fax|call)(?: (?:me|us))?(?: (?:at|on))?[.:]? ?(\(?[0-9]{2,5}\)?(?:[ .-][0-9]{2,5}){1,4})(?![0-9])")
+#: What segments of the field can be. A telephone number without a + has a sign or brackets between its groups.
+LOOSE_PHONE = re.compile(r"\(?[0-9]{2,5}\)?(?:[ .-][0-9]{2,5}){1,4}")
+LOOSE_SECRET = re.compile(r"[0-9A-Za-z]+(?:[_/+-]+[0-9A-Za-z]+)*")
 
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 TRIGGER = re.compile(r"[0-9@]")
@@ -126,9 +131,9 @@ def _possible(s: str, before: str, after: str) -> list[str]:
             out.append("ip")
         if 16 <= len(d) <= 19 and CARD.fullmatch(s) and luhn(d):
             out.append("card")
-        if 8 <= len(d) <= 15 and PHONE.fullmatch(s):
+        if 8 <= len(d) <= 15 and PHONE.fullmatch(s) or 9 <= len(d) <= 12 and LOOSE_PHONE.fullmatch(s) and before not in ("+", "(", "."):
             out.append("phone")
-    elif 12 <= len(s) <= SEGMENT_CHARS and s.isascii() and s.isalnum():
+    elif 12 <= len(s) <= SEGMENT_CHARS and LOOSE_SECRET.fullmatch(s) and not (before in ("_", "/", "+", "-") or after in ("_", "/", "+", "-")):
         out.append("secret")
     return out
 
@@ -148,6 +153,8 @@ def segment_features(text: str, start: int, stop: int, kind: str) -> list[str]:
     d = digits_of(s)
     out = [f"{kind}", f"{kind} before {_class(before)}", f"{kind} after {_class(after)}", f"{kind} digits {min(len(d), 20)}"]
     if kind in ("phone", "ip", "card"):
+        if kind == "phone":
+            out += [f"phone plus {s[0] == '+'}", f"phone word {bool(re.search('(?i)(tel|phone|mobile|cell|fax|call|call me|call us)[a-z]*( at| on)?[.:]? ?$', text[max(0, start - 24) : start]))}"]
         out.append(f"{kind} shape {_shape(s)}" if kind == "phone" else f"{kind} signs {''.join(sorted(set(s) - set('0123456789')))}")
     elif kind == "email":
         out.append(f"{kind} dots {min(s.rpartition('@')[2].count('.'), 4)}")
@@ -158,6 +165,8 @@ def segment_features(text: str, start: int, stop: int, kind: str) -> list[str]:
             f"{kind} hex {all(c in '0123456789abcdef' for c in s)}",
             f"{kind} upper {all(c.isupper() for c in letters)}",
             f"{kind} share {min(4, 5 * len(d) // len(s))}",
+            f"{kind} joints {''.join(sorted(set(s) & set('_/+-')))}",
+            f"{kind} words {sum(len(w) > 3 for w in re.findall('[a-z]+', s))}",
             f"{kind} runs {min(8, len(re.findall('[0-9]+|[A-Za-z]+', s)))}",
             f"{kind} key {bool(re.search('(?i)(pass|pwd|token|secret|key)[a-z_]*[^0-9A-Za-z]{0,4}$', text[max(0, start - 24) : start]))}",
         ]
@@ -184,7 +193,7 @@ def candidates(text: str, start: int, stop: int) -> tuple[list[int], list[tuple[
         for j in range(i + 1, min(i + SEGMENT_TOKENS, len(at) - 1) + 1):
             if at[j] - at[i] > SEGMENT_CHARS:
                 break
-            if at[j] - at[i] < 5 or not text[at[j] - 1].isalnum():
+            if at[j] - at[i] < 5 or not text[at[j] - 1].isalnum() or text[at[i]] in "_/-.:'\"=%)":
                 continue
             out += [(i, j, kind) for kind in _possible(text[at[i] : at[j]], text[at[i] - 1 : at[i]], text[at[j] : at[j] + 1])]
     return at, out
@@ -218,17 +227,29 @@ def _plus(a: float, b: float) -> float:
     return high + log(1 + exp(low - high))
 
 
+def labels_of(text: str, base: list[tuple[str, int, int]]) -> dict[tuple[int, int], str]:
+    """Disjoint labels of a text: base matches and seeds, longer ones first."""
+    found = [*base, *(("secret", *m.span(1)) for seed in SECRET_SEEDS for m in seed.finditer(text))]
+    found += [("phone", *m.span(1)) for m in PHONE_SEED.finditer(text) if 9 <= len(digits_of(m[1])) <= 12]
+    gold: dict[tuple[int, int], str] = {}
+    covered: set[int] = set()
+    for kind, a, b in sorted(found, key=lambda s: (s[1] - s[2], s[1], ALL_KINDS.index(s[0]))):
+        if covered.isdisjoint(range(a, b)):
+            covered.update(range(a, b))
+            gold[a, b] = kind
+    return gold
+
+
 def train(texts: list[str], rounds: int = 12, rate: float = 0.5, decay: float = 1e-3) -> Field:
     """By gradient ascent on the likelihood of the regions' labels, the sums over all segmentations by forward and backward.
 
-    Labels are base matches and seeds. A region with a dropped match that no label covers is uncertain and left out.
+    Labels are base matches and seeds; of those that overlap, the longest, then the first, then by the order of kinds, as no
+    segmentation holds two. A region with a dropped match that no label covers is uncertain and left out.
     """
     data, seen = [], set()
     for text in texts:
         base, dropped = base_spans(text)
-        gold = {(a, b): kind for kind, a, b in base}
-        for seed in SECRET_SEEDS:
-            gold |= {m.span(1): "secret" for m in seed.finditer(text)}
+        gold = labels_of(text, base)
         unsure = [(a, b) for a, b in dropped if b - a > 5 and not any(c <= a and b <= d for c, d in gold)]
         for start, stop in regions(text):
             if any(a < stop and start < b for a, b in unsure):
@@ -271,15 +292,22 @@ def train(texts: list[str], rounds: int = 12, rate: float = 0.5, decay: float =
     return model
 
 
-def learn(docs: DataFrame, texts: int = 1_500, text_bytes: int = 1 << 14, text_col: str = "text") -> Field:
-    """A field from the ``texts`` different ones least by a hash among those with a digit or @ and at most ``text_bytes``.
+def inner(window: str) -> str:
+    """A cut window from its first to its last blank between letters, where no entity can be cut; all of it if it has none."""
+    blanks = [m.start() for m in re.finditer(r"(?<=[A-Za-z])\s(?=[A-Za-z])", window)]
+    return window[blanks[0] : blanks[-1]] if len(blanks) > 1 else window
+
+
+def learn(docs: DataFrame, windows: int = 1_500, window_bytes: int = 1 << 14, text_col: str = "text") -> Field:
+    """A field from the ``windows`` different ones least by a hash among the windows of all texts that hold digits or an @.
 
-    So the driver holds a bounded sample. Without such a text the field is empty and adds nothing.
+    Texts of any length are cut into windows of ``window_bytes``; the ends of a text that was cut are left to where no entity
+    is. So the driver holds a bounded sample. Null and empty texts teach nothing; without a window the field is empty
+    and adds nothing. Other columns are not read.
     """
-    text = F.col(text_col)
-    rows = docs.select(text.alias("text")).where((F.octet_length("text") <= text_bytes) & F.col("text").rlike("[0-9]{5}|@|[0-9][.][0-9]|[+][0-9]"))
-    drawn = thinned(rows, F.col("text"), texts).groupBy(F.xxhash64("text").alias("draw")).agg(F.min("text").alias("text"))
-    return train([r.text for r in drawn.orderBy("draw").limit(texts).collect()])
+    rows = windowed(docs.select(F.col(text_col).alias("text")), "text", window_bytes).where(F.col("text").rlike("[0-9]{5}|@|[0-9][.][0-9]|[+][0-9]|[0-9][ -][0-9]{3}"))
+    drawn = thinned(rows, F.col("text"), windows).groupBy(F.xxhash64("text").alias("draw")).agg(F.min("text").alias("text"), F.max("cut").alias("cut"))
+    return train([inner(r.text) if r.cut else r.text for r in drawn.orderBy("draw").limit(windows).collect()])
 
 
 def find(text: str, model: Field) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -311,7 +339,7 @@ def detect(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str
     """Per row: doc_id, counts of base spans by kind, SHA-256 of the base spans, and all spans as ``kind:start:end``.
 
     Places are code points, ends exclusive. A null or empty text has none. One pass, no shuffle; rows stand for
-    themselves, so repeated rows and null ids are answered each. Other columns are not read.
+    themselves, so repeated rows and null ids are answered each; an empty table gives none. Other columns are not read.
     """
     spark = docs.sparkSession
     ship(spark)
