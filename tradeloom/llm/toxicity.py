@@ -21,7 +21,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.runtime import ship, stored, thinned
@@ -36,17 +36,18 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 # One sign can stand for i and for l, so that these are one letter after folding.
 _SIGNS = str.maketrans(SUBSTITUTES | {"l": "i"})
 _LOOKALIKES = str.maketrans(HOMOGLYPHS)
-_WORD = re.compile(r"[^\W_]+(?:[@$!|][^\W_]+)*")
+#: Signs stand for letters before and within a word, two at most in a row; after it, only dollar signs do.
+_WORD = re.compile(r"[@$!|]{0,2}[^\W_]+(?:[@$!|]{1,2}[^\W_]+)*\${0,2}")
 #: Lengths of the beginnings of words that can be entries.
 PREFIXES = range(3, 8)
 
 
 @functools.lru_cache(maxsize=200_000)
 def fold_word(word: str) -> str:
-    """A lower-case word in its folded form; one of digits alone stays as it is."""
+    """A lower-case word in its folded form; one of digits alone stays as it is, without signs at its edges."""
     if not word.isascii():
         word = "".join(c for c in unicodedata.normalize("NFKD", word.translate(_LOOKALIKES)) if not unicodedata.combining(c))
-    return word.translate(_SIGNS) if any(c.isalpha() for c in word) else word
+    return word.translate(_SIGNS) if any(c.isalpha() for c in word) else word.strip("@$!|")
 
 
 def folded(text: str) -> list[str]:
@@ -86,9 +87,12 @@ def hits(text: str, automaton: ahocorasick.Automaton) -> tuple[list[tuple[str, f
             excused.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    found = []
+    found, excused, reach = [], sorted(excused), 0
+    at = 0
     for start in sorted(best):
-        if not any(a <= start < b for a, b in excused):
+        while at < len(excused) and excused[at][0] <= start:
+            reach, at = max(reach, excused[at][1]), at + 1
+        if start >= reach:
             found.append((line[start + 1 : line.index(" ", start + 1)], best[start]))
     return found, len(words)
 
@@ -146,12 +150,15 @@ def _distinct_entries(found: dict[str, tuple[int, float]]) -> dict[str, float]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = 30_000) -> DataFrame:
     """(text, toxic) of at most ``sample`` labelled documents, the least by a hash of their ids.
 
-    The ids are drawn first and broadcast, at most 16 bytes each, so that texts are not shuffled. Labels without a
-    document, and null labels or ids, are left out.
+    The ids are drawn first and broadcast, at most 16 bytes each, so that texts of others are not shuffled. Of rows that
+    share an id the one whose text is least by a hash stands for it, so that repeated ids do not lift the bound. Labels
+    without a document, and null labels or ids, are left out; an id with both labels is drawn with each.
     """
     drawn = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
-    drawn = thinned(drawn, F.col("doc_id"), sample).withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id", "toxic").limit(sample).drop("draw")
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic")
+    drawn = thinned(drawn, F.col("doc_id"), sample).distinct().withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id", "toxic").limit(sample).drop("draw")
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    place = F.row_number().over(Window.partitionBy("doc_id", "toxic").orderBy(F.xxhash64("text"), "text"))
+    return rows.withColumn("place", place).where("place = 1").select("text", "toxic")
 
 
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), least: float = 1.5, entries: int = 20_000) -> Lexicon:
@@ -214,8 +221,8 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = (), least: float =
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, score in [0, 1], predicted (1 from 0.5 on), and the matched words with their weights as JSON.
 
-    A null or empty text has no hits; its score is that of a text without any. One pass, no shuffle; the lexicon is
-    broadcast, its size bounded when it was learned. Other columns are not read.
+    A null or empty text has no hits; its score is that of a text without any. Repeated rows and null ids are answered
+    each, an empty table with none. One pass, no shuffle; the lexicon is broadcast, its size bounded when it was learned. Other columns are not read.
     """
     spark = docs.sparkSession
     ship(spark)
