@@ -21,34 +21,39 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language can be told; those without a letter or a text are rejected, in ``identify``'s terms ``und``.
+    """Keep documents whose language can be told: ``keep_identified`` rejects those without a text or a letter, and those in
+    letters that no learned language has.
 
-    Null ids and repeated rows are judged row by row. The model's ids are those of the kept rows.
+    Null ids and repeated rows are judged row by row. Without a labelled text there is nothing to parse by, and every text
+    with a letter stays.
     """
     languages = langid.learn(docs.where(~held_out()).select("text", "lang"))
     if not languages.references:
-        # Nothing to learn from: any text with a letter could be in some language.
-        languages = langid.Languages({"any": " a "})
+        return langid.keep_identified(docs, langid.Languages({"any": " a "}), unknown=float("inf"))
     return langid.keep_identified(docs, languages)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, the one with the smallest id. Null ids are kept."""
+    """Keep one document of each group of near duplicates, the one with the smallest id. Null ids are kept, and so are texts
+    without words. Of rows that share a kept id one stays, as ``keep_one`` says; an empty table gives none.
+    """
     return minhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut the benchmark's passages out of the texts."""
+    """Cut the benchmark's passages out of the texts. All rows stay; null and empty texts, and those without a passage, are unchanged."""
     return _recounted(decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Hide personal data and secrets."""
+    """Hide personal data and secrets. All rows stay; null and empty texts, and those without a span, are unchanged."""
     return _recounted(pii.redact(docs, pii.learn(docs)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut into pieces of at most 1024 tokens and pack these into sequences."""
+    """Cut into pieces of at most 1024 tokens and pack these into sequences. A null text is empty: one piece of the end token.
+    Each of repeated rows is a document; an empty table has no pieces; other columns are not carried on.
+    """
     return packing.pack_documents(docs)
 
 
