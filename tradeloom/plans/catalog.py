@@ -49,6 +49,11 @@ class Catalog(Mapping[str, DataFrame]):
             self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
         return self._stored[name]
 
+    def folder_of(self, name: str) -> str:
+        """Folder of a table's files, stored first if need be."""
+        self[name]
+        return f"{self._folder}/{name}"
+
     def __contains__(self, name: object) -> bool:
         return name in self._sources or name in MODELS
 

@@ -768,6 +768,10 @@ SQL["dq_silver_not_null"] = nulls("silver", _SILVER_REQUIRED)
 SQL["dq_silver_unique"] = repeated("silver", _SILVER_KEYS, _KEY_NAMES)
 SQL["dq_one_latest"] = repeated("silver", {_TARGETS: _GRAINS["fact_targets"]}, {_TARGETS: "latest target"}, "WHERE is_latest")
 SQL["dq_gold_row_counts"] = counts("gold", [*_DIM_KEYS, *_GRAINS, "mart_sales_vs_target", "mart_distributor_performance"])
+SQL["gold_footer_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+    for t in [*_DIM_KEYS, *_GRAINS, "mart_sales_vs_target", "mart_distributor_performance"]
+)
 SQL["dq_dim_not_null"] = nulls("gold", _DIM_KEYS)
 SQL["dq_dim_unique"] = repeated("gold", _DIM_KEYS, {})
 SQL["dq_fact_grain"] = repeated("gold", _GRAINS, _KEY_NAMES)
@@ -897,6 +901,7 @@ SQL["revenue_drilldown"] = " UNION ALL BY NAME ".join([
 SQL["revenue_margin_trend"] = revenue("1", "CAST(date_trunc('month', order_date) AS DATE) AS month_date")
 SQL["slice_channel"] = revenue("region, order_year", where="WHERE channel = 'BUILDING'")
 SQL["slice_province"] = revenue("channel, order_year", where="WHERE province = 'CHINA'")
+SQL["slice_fiscal_year"] = revenue("channel, fiscal_quarter", where="JOIN dim_date ON date_day = order_date WHERE fiscal_year = 2023")
 SQL["slice_year"] = revenue("channel, order_quarter", where="WHERE year(order_date) = 2024 AND region = 'ASIA'")
 
 

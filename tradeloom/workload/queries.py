@@ -15,7 +15,7 @@ from tradeloom.operators import aggregates, columns, joins, keys, numbering, ver
 from tradeloom.plans import gold, measures, quality, silver
 from tradeloom.plans.catalog import Catalog, refresh_silver, silver_state, write_checked
 from tradeloom.session import new_folder
-from tradeloom.sources import batches, ingest, readers
+from tradeloom.sources import batches, ingest, months, readers
 from tradeloom.sources.keymap import KeyMaps
 from tradeloom.sources.specs import SOURCES
 from tradeloom.sources.warehouse import Warehouse
@@ -40,6 +40,7 @@ class BoundCatalog(Catalog):
         self.landing = new_folder(spark, "landing")
         self._landed: set[str] = set()
         self.ingested: Warehouse | None = None
+        self.sales_months: DataFrame | None = None
         super().__init__(spark, self.bindings.sources(), new_folder(spark, "tables"))
 
     def landed(self, name: str) -> str:
@@ -155,6 +156,12 @@ def bronze_row_counts(cat):
     return readers.row_counts({t: cat[f"raw.{t}"] for t in SOURCES})
 
 
+@query
+def gold_footer_counts(cat):
+    """Row counts of the checked Gold tables from their files' footers."""
+    return readers.footer_counts(cat.spark, {t: cat.folder_of(t) for t in quality.GOLD_COUNTED})
+
+
 def _ingested(cat) -> Warehouse:
     """Sales and customers loaded once for all queries of them; the product file is missing."""
     if cat.ingested is not None:
@@ -1006,6 +1013,15 @@ def slice_year(cat):
     return measures.revenue_by(measures.slice_rows(lines, region="ASIA"), ["channel", "order_quarter"])
 
 
+@query
+def slice_fiscal_year(cat):
+    """A fiscal year through the calendar, over the sales fact in month partitions."""
+    if cat.sales_months is None:
+        cat.sales_months = months.store_months(cat["fact_sales"], "order_date", new_folder(cat.spark, "sales-months"))
+    lines = months.slice_by_calendar(cat.sales_months, "order_date", cat["dim_date"], ["fiscal_quarter"], fiscal_year=2023)
+    return measures.revenue_by(lines, ["channel", "fiscal_quarter"])
+
+
 @query
 def slice_channel(cat):
     lines = measures.slice_rows(cat["fact_sales"], channel="BUILDING")
