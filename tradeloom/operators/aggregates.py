@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions import month_start, safe_ratio
@@ -58,12 +58,39 @@ def totals_with_distinct(
     )
 
 
-def employee_month_actuals(fact_sales: DataFrame) -> DataFrame:
-    """Orders, customers and amounts per employee and month.
+def totals_in_buckets(
+    df: DataFrame, by: Mapping[str, Column], counted: tuple[str, str], also: tuple[str, str],
+    sums: Mapping[str, str], counts: Mapping[str, Column],
+) -> DataFrame:
+    """The same rows as ``totals_with_distinct``, for a table bucketed by the first column that is counted.
+
+    All rows of such a value are in one bucket, so rows are combined by (group, value, other value) in the scan's stage,
+    and the first row of each (group, value) stands for the value: its distinct count is a sum from there on. Values such
+    as order ids, of which there are nearly as many as rows, are never shuffled; only the pairs with the other column
+    are. On a table without these buckets the result is the same, after an exchange of the combined rows.
+    """
+    named = df.select(
+        *[c.alias(n) for n, c in by.items()], F.col(counted[0]).alias("_counted"), F.col(also[0]).alias("_also"),
+        *[F.col(c).alias(f"_{n}") for n, c in sums.items()], *[c.alias(f"_{n}") for n, c in counts.items()],
+    )
+    combined = named.groupBy(*by, "_counted", "_also").agg(
+        *[F.sum(f"_{n}").alias(n) for n in sums], *[F.count_if(f"_{n}").alias(n) for n in counts],
+    )
+    first = F.row_number().over(Window.partitionBy(*by, "_counted").orderBy("_also")) == 1
+    marked = combined.withColumn("_new", (first & F.col("_counted").isNotNull()).cast("long"))
+    return marked.groupBy(*by).agg(
+        F.sum("_new").alias(counted[1]), F.count_distinct("_also").alias(also[1]),
+        # A sum of sums has more digits than the sum of the rows needs.
+        *[F.sum(n).cast(combined.schema[n].dataType).alias(n) for n in (*sums, *counts)],
+    )
+
+
+def employee_month_actuals(fact_sales: DataFrame, by_order: bool = False) -> DataFrame:
+    """Orders, customers and amounts per employee and month; ``by_order`` if the fact is bucketed by order.
 
     Year and month follow from the month's first day and need not be shuffled.
     """
-    totals = totals_with_distinct(
+    totals = (totals_in_buckets if by_order else totals_with_distinct)(
         fact_sales,
         {"employee_id": F.col("employee_id"), "sales_month_date": month_start("order_date")},
         ("order_id", "total_orders"), ("customer_id", "active_customers"),
@@ -76,14 +103,14 @@ def employee_month_actuals(fact_sales: DataFrame) -> DataFrame:
     return totals.withColumn("sales_year", F.year("sales_month_date")).withColumn("sales_month", F.month("sales_month_date"))
 
 
-def distributor_month(fact_orders: DataFrame, dim_distributors: DataFrame) -> DataFrame:
-    """Order, quantity and delivery totals per distributor, month, region and channel.
+def distributor_month(fact_orders: DataFrame, dim_distributors: DataFrame, by_order: bool = False) -> DataFrame:
+    """Order, quantity and delivery totals per distributor, month, region and channel; ``by_order`` as above.
 
     The distributor's attributes depend on its id alone, so they are joined to
     the finished aggregate instead of being carried through the shuffle.
     """
     on_time = F.col("calculated_on_time_delivery")
-    totals = totals_with_distinct(
+    totals = (totals_in_buckets if by_order else totals_with_distinct)(
         fact_orders,
         {
             "distributor_id": F.col("distributor_id"), "month_date": month_start("order_date"),

@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS
+from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS, ORDER_DATES
 from tradeloom.plans.quality import observed, row_rules
 from tradeloom.plans.silver import SILVER_MODELS, SPECS, silver
 from tradeloom.sources.batches import commits, committed
+from tradeloom.sources.buckets import Buckets
 from tradeloom.sources.ingest import expected_bronze
 from tradeloom.sources.keymap import KeyMaps
 from tradeloom.sources.newest import NewestState
@@ -125,24 +126,33 @@ def new_rows(warehouse: Warehouse, model: str, batches: list[str]) -> DataFrame:
 
 def build(
     warehouse: Warehouse, models: list[str] | None = None, incremental: bool = False, report: list[tuple] | None = None,
+    order_buckets: int | None = None,
 ) -> StoredTables:
     """Rebuild models from a warehouse's Bronze tables, in dependency order.
 
     When ``incremental``, Silver models of one row per key take in new batches only. A list given as ``report`` gets
     the rows of the row rules, counted by the writes themselves; ``quality.report_of`` makes a table of them.
+    With ``order_buckets``, the order tables are laid out in so many buckets of order ids instead of by month.
     """
     tables = StoredTables(warehouse, incremental)
     for name in models or MODELS:
         if incremental and name in SPECS:
             refresh_silver(warehouse, name)
             continue
-        rows = write_checked(warehouse, name, MODELS[name](tables), report is not None)
+        rows = write_checked(warehouse, name, MODELS[name](tables), report is not None, order_layout(name, order_buckets))
         if report is not None:
             report += rows
     return tables
 
 
-def write_checked(warehouse: Warehouse, name: str, df: DataFrame, checked: bool = True) -> list[tuple]:
+def order_layout(name: str, count: int | None) -> Buckets | None:
+    """Buckets by order id for the order tables, Silver and Gold; none for others."""
+    return Buckets(("order_id",), count, (ORDER_DATES[name],)) if count and name in ORDER_DATES else None
+
+
+def write_checked(
+    warehouse: Warehouse, name: str, df: DataFrame, checked: bool = True, buckets: Buckets | None = None,
+) -> list[tuple]:
     """Replace a model's table; the report rows of its row rules, as the write counted them."""
     rows: list[Callable[[], list[tuple]]] = []
 
@@ -152,5 +162,5 @@ def write_checked(warehouse: Warehouse, name: str, df: DataFrame, checked: bool
         return watched
 
     layer, table = StoredTables._place(name)
-    warehouse.materialize(df, layer, table, FACT_DATES.get(name), watch)
+    warehouse.materialize(df, layer, table, FACT_DATES.get(name), watch, buckets)
     return rows[0]()

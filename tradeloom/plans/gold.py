@@ -290,6 +290,9 @@ def mart_sales_activity(src: Tables) -> DataFrame:
 # The date each order-line fact is read by.
 FACT_DATES = {"fact_sales": "order_date", "fact_returns": "return_date", "fact_distributor_orders": "order_date"}
 
+# Tables of order lines, with the date that orders within a bucket of orders.
+ORDER_DATES = {n: "order_date" for n in ("stg_sales_transactions", "stg_distributor_orders", "fact_sales", "fact_distributor_orders")}
+
 # In build order: the channel dimension reads the sales fact.
 GOLD_MODELS = {
     "dim_date": dim_date,

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tradeloom.operators.columns import all_string, normalize_columns
 from tradeloom.operators.keys import all_of, any_of
+from tradeloom.sources.buckets import Buckets, buckets_of
 
 # Namespaces of the three layers.
 LAYERS = ("raw", "staging", "dwh")
@@ -76,8 +77,10 @@ class Warehouse:
 
     def materialize(
         self, df: DataFrame, layer: str, table: str, date: str | None = None, watch: Callable[[DataFrame], DataFrame] | None = None,
+        buckets: Buckets | None = None,
     ) -> DataFrame:
-        """Replace a table by the rows of ``df``, laid out by ``date`` if given. ``watch`` may observe what is written.
+        """Replace a table by the rows of ``df``, laid out by ``buckets`` or by ``date`` if given. ``watch`` may observe what
+        is written.
 
         The rows go to a new folder below the root and the table is pointed at it
         once they are all written, so a failed job leaves the old table as it was
@@ -87,23 +90,26 @@ class Warehouse:
         """
         home = f"{self.root}/{layer}/{self.prefix}{table}"
         folder = f"{home}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        laid_out = by_month(df, date) if date else df
+        laid_out = buckets.deal(df) if buckets else by_month(df, date) if date else df
         # Observed after the layout: adaptive execution cuts off what precedes an empty exchange.
-        (watch(laid_out) if watch else laid_out).write.parquet(folder)
+        written = watch(laid_out) if watch else laid_out
         target = self.name(layer, table)
-        fresh = self.spark.read.parquet(folder)
+        # Files are dealt to buckets by the catalog alone, so such a table is written under a name of its own.
+        coming = self.name(layer, f"{table}_{uuid.uuid4().hex[:8]}")
+        if buckets:
+            buckets.writer(written).option("path", folder).saveAsTable(coming)
+        else:
+            written.write.parquet(folder)
+            self.spark.catalog.createTable(coming, path=folder, source="parquet")
         replaced = self._version_of(target) if self.exists(layer, table) else None
-        if replaced and self.table(layer, table).schema == fresh.schema:
+        if replaced and self._shape(target) == self._shape(coming):
             self.spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
             self.spark.catalog.refreshTable(target)
-        elif replaced:
-            # The new table exists before the old one goes.
-            coming = self.name(layer, f"{table}_{uuid.uuid4().hex[:8]}")
-            self.spark.catalog.createTable(coming, path=folder, source="parquet")
-            self.spark.sql(f"DROP TABLE {target}")
-            self.spark.sql(f"ALTER TABLE {coming} RENAME TO {target}")
+            self.spark.sql(f"DROP TABLE {coming}")  # its files are the table's now
         else:
-            self.spark.catalog.createTable(target, path=folder, source="parquet")
+            if replaced:
+                self.spark.sql(f"DROP TABLE {target}")
+            self.spark.sql(f"ALTER TABLE {coming} RENAME TO {target}")
         if replaced:
             self._remove_before(home, replaced)
         return self.table(layer, table)
@@ -113,6 +119,14 @@ class Warehouse:
         described = self.spark.sql(f"DESCRIBE EXTENDED {self.name(layer, table)}").where("col_name = 'Location'")
         return described.first()["data_type"]
 
+    def buckets(self, layer: str, table: str) -> tuple[int, tuple[str, ...]] | None:
+        """Count and columns of a table's buckets; None if it has none."""
+        return buckets_of(self.spark.sql(f"DESCRIBE EXTENDED {self.name(layer, table)}").collect())
+
+    def _shape(self, target: str) -> tuple:
+        """What two versions of a table must share for one to take the other's place by its files alone."""
+        return self.spark.table(target).schema, buckets_of(self.spark.sql(f"DESCRIBE EXTENDED {target}").collect())
+
     def _version_of(self, target: str) -> str:
         described = self.spark.sql(f"DESCRIBE EXTENDED {target}").where("col_name = 'Location'")
         return described.first()["data_type"].rstrip("/").rsplit("/", 1)[-1]

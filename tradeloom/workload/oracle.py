@@ -613,6 +613,7 @@ SQL["agg_employee_month"] = doubles(
 SQL["agg_distributor_month"] = doubles(
     "distributor_months", *_MART_ORDERS, extra=", CAST(year(month_date) AS INTEGER) AS year, CAST(month(month_date) AS INTEGER) AS month"
 )
+SQL["agg_employee_month_by_order"], SQL["agg_distributor_month_by_order"] = SQL["agg_employee_month"], SQL["agg_distributor_month"]
 SQL["agg_filter_count"] = """SELECT channel, count(*) FILTER (WHERE flag) AS on_time, count(*) FILTER (WHERE NOT flag) AS late,
     count(*) FILTER (WHERE flag IS NULL) AS unknown, count(delivery_status) AS with_status
     FROM (SELECT *, actual_delivery_date <= expected_delivery_date AS flag FROM stg_distributor_orders) GROUP BY channel"""
@@ -634,6 +635,10 @@ SQL["distinct_unknown"] = "SELECT DISTINCT " + ", ".join(f"coalesce({c}, 'Unknow
 SQL["dedupe_latest"] = newest(
     "(SELECT customer_id, customer_name, credit_limit, _ingested_at FROM raw_customer_master)", ("customer_id",), ("customer_name", "credit_limit")
 )
+SQL["dedupe_in_buckets"] = newest(
+    "(SELECT order_id, product_id, order_date, net_amount, _ingested_at FROM raw_sales_transactions)",
+    ("order_id", "product_id"), ("order_date", "net_amount"),
+)
 SQL["flag_latest_version"] = """SELECT l_partkey, CAST(l_shipdate AS DATE) AS shipped, l_orderkey, l_linenumber, l_suppkey,
     row_number() OVER (PARTITION BY l_partkey ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) = 1 AS is_latest
     FROM lineitem"""
@@ -775,6 +780,10 @@ SQL["gold_footer_counts"] = " UNION ALL ".join(
 SQL["dq_dim_not_null"] = nulls("gold", _DIM_KEYS)
 SQL["dq_dim_unique"] = repeated("gold", _DIM_KEYS, {})
 SQL["dq_fact_grain"] = repeated("gold", _GRAINS, _KEY_NAMES)
+SQL["dq_order_keys_by_bucket"] = " UNION ALL ".join([
+    repeated("silver", {t: _SILVER_KEYS[t] for t in ("stg_sales_transactions", "stg_distributor_orders")}, _KEY_NAMES),
+    repeated("gold", {t: _GRAINS[t] for t in ("fact_sales", "fact_distributor_orders")}, _KEY_NAMES),
+])
 SQL["dq_missing_keys"] = nulls("gold", _FOREIGN, "missing dimension keys")
 
 

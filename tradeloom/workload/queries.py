@@ -13,9 +13,10 @@ from pyspark.sql.types import DecimalType
 from tradeloom import functions as X
 from tradeloom.operators import aggregates, columns, joins, keys, numbering, versions
 from tradeloom.plans import gold, measures, quality, silver
-from tradeloom.plans.catalog import Catalog, refresh_silver, silver_state, write_checked
+from tradeloom.plans.catalog import Catalog, order_layout, refresh_silver, silver_state, write_checked
 from tradeloom.session import new_folder
 from tradeloom.sources import batches, ingest, months, readers
+from tradeloom.sources.buckets import Buckets
 from tradeloom.sources.keymap import KeyMaps
 from tradeloom.sources.specs import SOURCES
 from tradeloom.sources.warehouse import Warehouse
@@ -41,6 +42,7 @@ class BoundCatalog(Catalog):
         self._landed: set[str] = set()
         self.ingested: Warehouse | None = None
         self.sales_months: DataFrame | None = None
+        self._bucketed: dict[str, DataFrame] = {}
         super().__init__(spark, self.bindings.sources(), new_folder(spark, "tables"))
 
     def landed(self, name: str) -> str:
@@ -52,6 +54,18 @@ class BoundCatalog(Catalog):
         return path
 
 
+    def bucketed(self, name: str) -> DataFrame:
+        """A table of order lines in buckets of orders, written on first use."""
+        if name not in self._bucketed:
+            warehouse = new_warehouse(self)
+            self._bucketed[name] = warehouse.materialize(self[name], "dwh", name, buckets=order_layout(name, ORDER_BUCKETS))
+        return self._bucketed[name]
+
+
+# Buckets of the order tables here: one for each 200 MB or so of the largest at the scale that is benchmarked, and then some.
+ORDER_BUCKETS = 16
+
+
 def catalog(spark: SparkSession, folder: str) -> BoundCatalog:
     """One catalog per application and folder, so each table is stored once."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
@@ -631,6 +645,17 @@ def agg_distributor_month(cat):
     return aggregates.distributor_month(cat["fact_distributor_orders"], cat["dim_distributors"])
 
 
+@query
+def agg_employee_month_by_order(cat):
+    """The actuals from the fact in buckets of orders: order ids are counted without being shuffled."""
+    return aggregates.employee_month_actuals(cat.bucketed("fact_sales"), by_order=True)
+
+
+@query
+def agg_distributor_month_by_order(cat):
+    return aggregates.distributor_month(cat.bucketed("fact_distributor_orders"), cat["dim_distributors"], by_order=True)
+
+
 @query
 def agg_filter_count(cat):
     flag = F.col("calculated_on_time_delivery")
@@ -828,6 +853,27 @@ for _name, _check in {
     QUERIES[_name] = _check
 
 
+ORDER_KEYED = ("stg_sales_transactions", "stg_distributor_orders")
+ORDER_GRAINED = ("fact_sales", "fact_distributor_orders")
+
+
+@query
+def dq_order_keys_by_bucket(cat):
+    """Key and grain checks of the order tables in buckets of orders, without an exchange of rows."""
+    parts = [("silver", ORDER_KEYED, quality.SILVER_KEYS), ("gold", ORDER_GRAINED, quality.FACT_GRAINS)]
+    return quality.union_all([quality.unique_checks(layer, {n: cat.bucketed(n) for n in names}, of) for layer, names, of in parts])
+
+
+@query
+def dedupe_in_buckets(cat):
+    """Newest line of each product and order from lines that came twice, in buckets of orders."""
+    if "sales twice" not in cat._bucketed:
+        lines = cat["raw.sales_transactions"].select("order_id", "product_id", "order_date", "net_amount", "_ingested_at")
+        layout = Buckets(("order_id",), ORDER_BUCKETS)
+        cat._bucketed["sales twice"] = new_warehouse(cat).materialize(lines, "raw", "sales_transactions", buckets=layout)
+    return keys.dedupe_latest(cat._bucketed["sales twice"], ["order_id", "product_id"])
+
+
 @query
 def dq_all(cat):
     """Every check of both layers as one report: a scan a table for its row rules, one more for each key."""
