@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tradeloom import functions as X
 from tradeloom.operators.columns import LINEAGE
 from tradeloom.plans.silver import CONVERT, SPECS, valid_keys
+from tradeloom.sources.readers import read_delimited
+from tradeloom.workload import queries
 
 JIT_BYTES = 8_000
 
@@ -53,3 +55,14 @@ def test_numbers_of_any_spelling(spark, cell, expected):
         lost = "more than four decimals" if re.search(r"\d{5}$|e-", cell) and "." in cell + "." and cell != "999999999999999" else "cast|represented|malformed"
         with pytest.raises(Exception, match=lost):
             df.select(X.to_num("c")).collect()
+
+
+def test_landed_text_is_compressed_in_files_for_a_task_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "CSV_ROWS", 1_000)
+    cells = spark.range(0, 3_500, 1, 1).selectExpr("cast(id as string) as a", "concat(' \"x\", ', id % 7, ' ') as b", "if(id % 3 = 0, null, 'word') as c")
+    path = str(tmp_path / "landed.csv")
+    queries.write_csv(cells, path)
+    files = sorted(f.name for f in (tmp_path / "landed.csv").glob("part-*"))
+    assert len(files) == 4 and all(f.endswith(".csv.gz") for f in files)
+    back = read_delimited(spark, path)
+    assert back.exceptAll(cells).isEmpty() and back.count() == 3_500
