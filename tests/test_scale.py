@@ -66,3 +66,11 @@ def test_landed_text_is_compressed_in_files_for_a_task_each(spark, tmp_path, mon
     assert len(files) == 4 and all(f.endswith(".csv.gz") for f in files)
     back = read_delimited(spark, path)
     assert back.exceptAll(cells).isEmpty() and back.count() == 3_500
+
+
+def test_a_fact_goes_to_its_buckets_from_its_model(spark):
+    cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
+    stored = cat.bucketed("fact_distributor_orders")
+    assert "fact_distributor_orders" not in cat._stored
+    rows = cat.plan("fact_distributor_orders")
+    assert stored.count() == rows.count() and stored.exceptAll(rows).isEmpty()
