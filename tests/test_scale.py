@@ -74,3 +74,16 @@ def test_a_fact_goes_to_its_buckets_from_its_model(spark):
     assert "fact_distributor_orders" not in cat._stored
     rows = cat.plan("fact_distributor_orders")
     assert stored.count() == rows.count() and stored.exceptAll(rows).isEmpty()
+
+
+@pytest.mark.parametrize("source", ["sales_transactions", "distributor_orders", "return_transactions"])
+def test_customers_are_joined_to_orders_not_to_lines(spark, source):
+    """Where customers are too many to broadcast, the exchange by customer moves orders alone."""
+    bindings = queries.Bindings(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = bindings.sources()[f"raw.{source}"]()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = re.findall(r"Exchange hashpartitioning\(o_custkey#[^\n]*\n(.*?FileScan)", text, re.DOTALL)
+    assert moved and not any("l_orderkey" in rows for rows in moved)

@@ -83,13 +83,13 @@ class Bindings:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
 
-    def _lines(self) -> DataFrame:
-        """Order lines with their order, with shifted dates.
+    def _lines(self, orders: DataFrame | None = None) -> DataFrame:
+        """Order lines with their order, with shifted dates. ``orders`` may bring what follows from an order's customer.
 
         Both sides grow with the data, so they are always sort-merged; this also
         spreads the lines of a file that only one task can read.
         """
-        lines, orders = self.table("lineitem"), self.table("orders").hint("merge")
+        lines, orders = self.table("lineitem"), (self.table("orders") if orders is None else orders).hint("merge")
         return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).withColumns(
             {
                 "day": F.date_add(F.col("o_orderdate").cast("date"), SHIFT_DAYS),
@@ -98,15 +98,17 @@ class Bindings:
             }
         )
 
-    def _with_customer(self, df: DataFrame) -> DataFrame:
-        customer, places = self.table("customer"), self._places()
+    def _orders_of_customers(self) -> DataFrame:
+        """Orders with customer and place, joined before the lines: a customer table too large to broadcast then costs an
+        exchange of orders instead of one of lines."""
+        df, customer, places = self.table("orders"), self.table("customer"), self._places()
         return df.join(customer, df["o_custkey"] == customer["c_custkey"], "left").join(
             places, customer["c_nationkey"] == places["n_nationkey"], "left"
         )
 
     def sales_transactions(self) -> DataFrame:
         part = self.table("part")
-        df = self._with_customer(self._lines())
+        df = self._lines(self._orders_of_customers())
         df = df.join(part, df["l_partkey"] == part["p_partkey"], "left").withColumn(
             "rebate", F.expr(f"round(gross * {money('l_discount')}, 2)")
         )
@@ -137,11 +139,10 @@ class Bindings:
 
     def distributor_orders(self) -> DataFrame:
         part, supplier, customer = self.table("part"), self.table("supplier"), self.table("customer")
-        df = self._lines()
-        places = self._places()
+        orders, places = self.table("orders"), self._places()
+        df = self._lines(orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left"))
         df = (
-            df.join(customer, df["o_custkey"] == customer["c_custkey"], "left")
-            .join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
+            df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
             .join(places, supplier["s_nationkey"] == places["n_nationkey"], "left")
             .join(part, df["l_partkey"] == part["p_partkey"], "left")
         )
@@ -183,8 +184,8 @@ class Bindings:
         )
 
     def return_transactions(self) -> DataFrame:
-        lines = self._lines().where("l_returnflag = 'R'")
-        df = self._again(self._with_customer(lines), "l_orderkey % 40 = 0").withColumn(
+        lines = self._lines(self._orders_of_customers()).where("l_returnflag = 'R'")
+        df = self._again(lines, "l_orderkey % 40 = 0").withColumn(
             "back", F.date_add(F.col("l_shipdate").cast("date"), SHIFT_DAYS)
         )
         return df.selectExpr(
