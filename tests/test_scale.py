@@ -87,3 +87,9 @@ def test_customers_are_joined_to_orders_not_to_lines(spark, source):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     moved = re.findall(r"Exchange hashpartitioning\(o_custkey#[^\n]*\n(.*?FileScan)", text, re.DOTALL)
     assert moved and not any("l_orderkey" in rows for rows in moved)
+
+
+def test_the_calendar_needs_no_source(spark, tables):
+    cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
+    assert cat["dim_date"].exceptAll(tables["dim_date"]).isEmpty() and cat["dim_date"].count() == 1826
+    assert set(cat._stored) == {"dim_date"}
