@@ -93,3 +93,27 @@ def test_the_calendar_needs_no_source(spark, tables):
     cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
     assert cat["dim_date"].exceptAll(tables["dim_date"]).isEmpty() and cat["dim_date"].count() == 1826
     assert set(cat._stored) == {"dim_date"}
+
+
+def test_an_input_that_is_read_once_is_not_stored(spark, tables):
+    cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
+    numbers = queries.QUERIES["key_customers"](cat)
+    assert numbers.exceptAll(tables["key_customers"]).isEmpty() and numbers.count() == tables["key_customers"].count()
+    queries.QUERIES["dq_missing_keys"](cat)
+    assert not [name for name in cat._stored if name.startswith("raw.") and name != "raw.sales_targets_raw"]
+    assert not {"fact_sales", "fact_returns", "fact_distributor_orders"} & set(cat._stored)
+    assert {"stg_sales_transactions", "stg_return_transactions", "stg_distributor_orders"} <= set(cat._stored)
+
+
+def test_an_input_that_is_stored_is_read_from_its_files(spark):
+    cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
+    stored = cat["fact_sales"]
+    assert cat.once("fact_sales") is stored
+    assert "l_orderkey" not in cat.direct("key_orders")._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["stg_sales_transactions", "stg_distributor_orders", "stg_return_transactions"])
+def test_silver_straight_from_its_source_is_compiled_by_the_jvm(spark, capsys, name):
+    cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
+    sizes = method_sizes(cat.direct(name), capsys)
+    assert sizes and max(sizes) <= JIT_BYTES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +19,15 @@ from tradeloom.sources.warehouse import Warehouse, by_month
 
 MODELS = {**SILVER_MODELS, **GOLD_MODELS}
 
+# The input that a model reads once, as its only one or for few of its columns. The marts read facts that are stored:
+# their distinct pairs combine better before the shuffle where rows of a month are together.
+READ_ONCE = {
+    **{name: spec.source for name, spec in SPECS.items()},
+    "dim_channels": "fact_sales",
+    "key_customers": "fact_sales",
+    "key_orders": "fact_sales",
+}
+
 
 class Catalog(Mapping[str, DataFrame]):
     """Tables by name, each built once and stored.
@@ -26,7 +35,9 @@ class Catalog(Mapping[str, DataFrame]):
     A table is written to ``folder`` when first needed and read back from there.
     Layers are then cut from each other as in a production run: a later model
     scans only the columns it needs, lineage stays short, and Spark knows each
-    input's real size when it chooses between broadcast and sort-merge.
+    input's real size when it chooses between broadcast and sort-merge. Inputs
+    named in ``READ_ONCE`` are not stored for such a reader alone: its rows come
+    straight from their model, in the columns that the reader needs.
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], folder: str):
@@ -39,12 +50,20 @@ class Catalog(Mapping[str, DataFrame]):
         """The model itself over its stored inputs, not stored."""
         return MODELS[name](self) if name in MODELS else self._sources[name]()
 
+    def direct(self, name: str) -> DataFrame:
+        """The same rows as ``plan``; an input that the model reads once is not stored for it."""
+        return MODELS[name](ReadOnce(self, READ_ONCE.get(name, ()))) if name in MODELS else self._sources[name]()
+
+    def once(self, name: str) -> DataFrame:
+        """A table's rows for one reader: from its files if it is stored, else from its model."""
+        return self[name] if name in self._stored or name not in self else self.direct(name)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self:
             raise KeyError(name)
         if name not in self._stored:
             path = f"{self._folder}/{name}"
-            frame = self.plan(name)
+            frame = self.direct(name)
             laid_out = by_month(frame, FACT_DATES[name]) if name in FACT_DATES else frame
             laid_out.write.mode("overwrite").parquet(path)
             self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
@@ -65,6 +84,24 @@ class Catalog(Mapping[str, DataFrame]):
         return len(self._sources) + len(MODELS)
 
 
+class ReadOnce(Mapping[str, DataFrame]):
+    """A catalog's tables for a reader that reads those named a single time."""
+
+    def __init__(self, cat: Catalog, names: str | Iterable[str]):
+        self._cat = cat
+        self.spark = cat.spark
+        self._names = {names} if isinstance(names, str) else set(names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._cat.once(name) if name in self._names else self._cat[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._cat)
+
+    def __len__(self) -> int:
+        return len(self._cat)
+
+
 class StoredTables(Mapping[str, DataFrame]):
     """The tables of a warehouse under the names the models use.
 

@@ -83,20 +83,24 @@ class Bindings:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
 
-    def _lines(self, orders: DataFrame | None = None) -> DataFrame:
-        """Order lines with their order, with shifted dates. ``orders`` may bring what follows from an order's customer.
+    def _lines(self, orders: DataFrame | None = None, *more: dict[str, str]) -> DataFrame:
+        """Order lines with their order, with shifted dates. ``orders`` may bring what follows from an order's customer,
+        ``more`` names columns that follow from a line alone.
 
         Both sides grow with the data, so they are always sort-merged; this also
-        spreads the lines of a file that only one task can read.
+        spreads the lines of a file that only one task can read. What follows from
+        one side is computed before the join: a date once an order, and apart from
+        the cells made of it, which keeps the methods compiled from them short.
         """
-        lines, orders = self.table("lineitem"), (self.table("orders") if orders is None else orders).hint("merge")
-        return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).withColumns(
-            {
-                "day": F.date_add(F.col("o_orderdate").cast("date"), SHIFT_DAYS),
-                "gross": F.expr(money("l_extendedprice")),
-                "qty": F.expr(money("l_quantity")),
-            }
+        orders = (self.table("orders") if orders is None else orders).withColumn(
+            "day", F.date_add(F.col("o_orderdate").cast("date"), SHIFT_DAYS)
         )
+        amounts = {"gross": money("l_extendedprice"), "qty": money("l_quantity")}
+        derived = {"price": f"cast(round(gross / qty, 2) as {MONEY})", "rebate": f"round(gross * {money('l_discount')}, 2)"}
+        lines = self.table("lineitem")
+        for columns in (amounts, derived, *more):
+            lines = lines.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+        return lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"])
 
     def _orders_of_customers(self) -> DataFrame:
         """Orders with customer and place, joined before the lines: a customer table too large to broadcast then costs an
@@ -109,9 +113,7 @@ class Bindings:
     def sales_transactions(self) -> DataFrame:
         part = self.table("part")
         df = self._lines(self._orders_of_customers())
-        df = df.join(part, df["l_partkey"] == part["p_partkey"], "left").withColumn(
-            "rebate", F.expr(f"round(gross * {money('l_discount')}, 2)")
-        )
+        df = df.join(part, df["l_partkey"] == part["p_partkey"], "left")
         return df.selectExpr(
             f"{text('l_orderkey')} as order_id",
             f"{text('day')} as order_date",
@@ -126,7 +128,7 @@ class Bindings:
             f"{text('l_partkey')} as product_id",
             "p_type as product_category",
             f"{text('qty')} as quantity",
-            f"{text('cast(round(gross / qty, 2) as ' + MONEY + ')')} as unit_price",
+            f"{text('price')} as unit_price",
             f"{text(money('l_discount') + ' * 100')} as discount_pct",
             f"{text('rebate')} as discount_amount",
             f"{text('gross')} as gross_amount",
@@ -140,7 +142,18 @@ class Bindings:
     def distributor_orders(self) -> DataFrame:
         part, supplier, customer = self.table("part"), self.table("supplier"), self.table("customer")
         orders, places = self.table("orders"), self._places()
-        df = self._lines(orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left"))
+        part = part.withColumn("retail", F.expr(money("p_retailprice")))
+        share = "try_divide(gross * delivered, ordered)"
+        rate = "try_divide(delivered * 100, ordered)"
+        df = self._lines(
+            orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left"),
+            {"ordered": f"if(l_partkey % 211 = 0, cast(0 as {MONEY}), qty)"},
+            {"delivered": f"cast(ordered - if(l_returnflag = 'R', ordered % 5, 0) as {MONEY})"},
+            {
+                "filled": f"cast(round({rate}, 2) as {MONEY})",
+                "received": f"cast(round(coalesce({share}, 0), 2) as {MONEY})",
+            },
+        )
         df = (
             df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
             .join(places, supplier["s_nationkey"] == places["n_nationkey"], "left")
@@ -148,16 +161,12 @@ class Bindings:
         )
         df = self._again(df, "l_orderkey % 50 = 0").withColumns(
             {
-                "ordered": F.expr(f"if(l_partkey % 211 = 0, cast(0 as {MONEY}), qty)"),
                 "expected": F.expr("date_add(day, 7 + l_linenumber)"),
                 "actual": F.expr(
                     "if(l_linestatus = 'O' and l_returnflag = 'N', null, date_add(day, cast(5 + l_partkey % 10 as int)))"
                 ),
             }
         )
-        df = df.withColumn("delivered", F.expr(f"cast(ordered - if(l_returnflag = 'R', ordered % 5, 0) as {MONEY})"))
-        share = "try_divide(gross * delivered, ordered)"
-        rate = "try_divide(delivered * 100, ordered)"
         return df.selectExpr(
             f"{text('l_orderkey')} as order_id",
             f"{text('day')} as order_date",
@@ -170,11 +179,11 @@ class Bindings:
             "p_type as product_category",
             f"{text('ordered')} as qty_ordered",
             f"{text('delivered')} as qty_delivered",
-            f"{text('cast(round(' + rate + ', 2) as ' + MONEY + ')')} as fill_rate_pct",
-            f"{text('cast(round(gross / qty, 2) as ' + MONEY + ')')} as unit_price_list",
-            f"{text(money('p_retailprice'))} as distributor_price",
+            f"{text('filled')} as fill_rate_pct",
+            f"{text('price')} as unit_price_list",
+            f"{text('retail')} as distributor_price",
             f"{text('gross')} as gross_amount",
-            f"{text('cast(round(coalesce(' + share + ', 0), 2) as ' + MONEY + ')')} as delivered_amount",
+            f"{text('received')} as delivered_amount",
             f"{text('expected')} as expected_delivery_date",
             f"{text('actual')} as actual_delivery_date",
             "l_returnflag as ontime_delivery",
@@ -199,7 +208,7 @@ class Bindings:
             "r_name as region",
             "n_name as province",
             f"{text('qty')} as return_quantity",
-            f"{text('cast(round(gross / qty, 2) as ' + MONEY + ')')} as unit_price",
+            f"{text('price')} as unit_price",
             f"{text('gross')} as return_amount",
             "if(l_linestatus = 'F', 'Damaged', 'Wrong item') as return_reason",
             "if(batch = 1, 'Closed', 'Open') as status",

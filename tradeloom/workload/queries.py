@@ -13,7 +13,7 @@ from pyspark.sql.types import DecimalType
 from tradeloom import functions as X
 from tradeloom.operators import aggregates, columns, joins, keys, numbering, versions
 from tradeloom.plans import gold, measures, quality, silver
-from tradeloom.plans.catalog import Catalog, order_layout, refresh_silver, silver_state, write_checked
+from tradeloom.plans.catalog import Catalog, ReadOnce, order_layout, refresh_silver, silver_state, write_checked
 from tradeloom.plans.gold import FACT_DATES
 from tradeloom.session import new_folder
 from tradeloom.sources import batches, ingest, months, readers
@@ -543,7 +543,7 @@ def slv_month_regex(cat):
 
 
 def _model(name: str) -> Query:
-    return lambda cat: cat.plan(name)
+    return lambda cat: cat.direct(name)
 
 
 for _name in silver.SILVER_MODELS:
@@ -854,8 +854,8 @@ for _name, _check in {
     "dq_gold_row_counts": quality.gold_row_counts,
     "dq_dim_not_null": quality.dimension_not_null,
     "dq_dim_unique": quality.dimension_unique,
-    "dq_fact_grain": quality.fact_grain,
-    "dq_missing_keys": quality.missing_keys,
+    "dq_fact_grain": lambda cat: quality.fact_grain(ReadOnce(cat, FACT_DATES)),
+    "dq_missing_keys": lambda cat: quality.missing_keys(ReadOnce(cat, FACT_DATES)),
     "dq_latest_flag": quality.latest_flag_check,
     "dq_negative_target": quality.negative_target_check,
     "dq_fill_rate_bounds": quality.fill_rate_check,
