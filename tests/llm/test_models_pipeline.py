@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import langid, pii, queries, toxicity
-from tradeloom.llm.runtime import windowed
+from tradeloom.llm import bytebpe, langid, minhash, pii, queries, toxicity
+from tradeloom.llm.runtime import begins, windowed
 
 from conftest import TABLES
 
@@ -293,3 +293,19 @@ def test_pipeline_stages_keep_columns_and_clean_rows(spark):
     assert packed.select("doc_id").distinct().count() == len({r.doc_id for r in rows})
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), TABLES).count() == 0
+
+
+def test_a_step_releases_what_the_one_before_left():
+    parses = langid._parses("model", langid.Languages({"x": " ab "}))
+    assert langid._parses("model", None) is parses
+    words = minhash._words
+    minhash.shingle_set(b"a b c", 2)
+    assert not langid._made and set(words) == {b"a", b"b", b"c"}
+    minhash.shingle_set(b"d", 2)
+    assert len(words) == 4
+    begins("packing", bytebpe.forget_encoders)
+    encode = bytebpe.text_encoder("byte_bpe_50k.json")
+    begins("packing", bytebpe.forget_encoders)
+    assert not words and bytebpe.text_encoder("byte_bpe_50k.json") is encode
+    begins("languages")
+    assert not any(f.cache_info().currsize for f in (bytebpe.text_encoder, bytebpe.pretoken_encoder, bytebpe.tokenizer))

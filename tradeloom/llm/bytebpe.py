@@ -126,6 +126,12 @@ def text_encoder(name: str) -> Callable[[str], bytes]:
     return encode
 
 
+def forget_encoders() -> None:
+    """Drop the encoders that a worker holds, and what they remember."""
+    for made in (text_encoder, pretoken_encoder, tokenizer):
+        made.cache_clear()
+
+
 @functools.lru_cache(maxsize=2)
 def pretoken_encoder(name: str) -> tuple[dict[str, int], Callable[[str], list[int]]]:
     """The strings proved to encode alone as one token, with its id; and the ids of any one pre-token by merging.

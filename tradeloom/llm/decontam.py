@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship, slices, stored, utf8
+from tradeloom.llm.runtime import begins, ship, slices, stored, utf8
 
 # Fixed value: in UTF-8 the words are runs of these bytes, after A-Z are lowered.
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -233,6 +233,7 @@ def _blocks(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> tupl
 
 def _search(docs: DataFrame, shared: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("decontamination")
         for shard in slices(batches, "text", SHARD_BYTES):
             texts = [words(t.as_py()) for t in shard.column("text")]
             begin, hit, items = occurrences(texts, shared.value)
@@ -363,6 +364,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_co
     shared, place = spark.sparkContext.broadcast(block(0)), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("decontamination")
         for shard in slices(batches, text_col, SHARD_BYTES):
             texts = [(t.as_py() or "").encode() for t in shard.column(place)]
             begin, hit, _ = occurrences([words(t) for t in texts], shared.value)

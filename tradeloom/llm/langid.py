@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship, thinned, windowed
+from tradeloom.llm.runtime import begins, ship, thinned, windowed
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -210,6 +210,7 @@ _made: dict[str, Parses] = {}
 
 def _parses(key: str, languages: Languages) -> Parses:
     """One for a worker and a model: tasks that follow go on with what is remembered."""
+    begins("languages", _made.clear)
     if key not in _made:
         _made.clear()
         _made[key] = Parses(languages)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
-from tradeloom.llm.runtime import ship, slices, stored, utf8
+from tradeloom.llm.runtime import begins, ship, slices, stored, utf8
 
 BANDS, BAND_ROWS = 32, 5
 MINIMA = BANDS * BAND_ROWS
@@ -54,6 +54,7 @@ _words = WordHashes()
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles. ``bytes`` lower-cases A-Z alone and splits at the six ASCII spaces."""
+    begins("shingles", _words.clear)
     words = text.lower().split()
     n = len(words)
     if not n:

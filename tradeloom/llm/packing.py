@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.bytebpe import text_encoder
-from tradeloom.llm.runtime import ship, stored
+from tradeloom.llm.bytebpe import forget_encoders, text_encoder
+from tradeloom.llm.runtime import begins, ship, stored
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -36,6 +36,7 @@ def cut(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_name:
     ship(docs.sparkSession)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("packing", forget_encoders)
         encode, end = text_encoder(tokenizer_name), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), ([], [], [], [], [])

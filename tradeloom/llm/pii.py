@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.runtime import ship, thinned, windowed
+from tradeloom.llm.runtime import begins, ship, thinned, windowed
 
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "secret")
@@ -346,6 +346,7 @@ def detect(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("personal data")
         for batch in batches:
             counts, digests, spans = {k: [] for k in KINDS}, [], []
             for text in batch.column("text"):
@@ -379,6 +380,7 @@ def redact(docs: DataFrame, model: Field, text_col: str = "text") -> DataFrame:
     shared, place = spark.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins("personal data")
         for batch in batches:
             texts = [t if not t else hide(t, find(t, shared.value)[1]) for t in (v.as_py() for v in batch.column(place))]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))

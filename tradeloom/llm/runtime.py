@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -17,6 +19,7 @@ from tradeloom.session import new_folder
 
 _shipped: set[str] = set()
 _steps: dict[str, list[str]] = {}
+_running: tuple[str, Callable[[], object] | None] = ("", None)
 
 
 def ship(spark: SparkSession) -> None:
@@ -42,6 +45,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def begins(step: str, release: Callable[[], object] | None = None) -> None:
+    """Called by a step's tasks in their worker; ``release`` drops what they leave there for the tasks that follow.
+
+    A worker outlives its step, and an executor has one for each core. So that a chain of steps holds no more than
+    its largest, the first task of another step releases what the step before it left, and gives the memory back.
+    """
+    global _running
+    before, drop = _running
+    if before == step:
+        return
+    _running = (step, release)
+    if drop:
+        drop()
+    if before:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has and needs it
+        if trim:
+            trim(0)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
