@@ -105,6 +105,18 @@ def test_an_input_that_is_read_once_is_not_stored(spark, tables):
     assert {"stg_sales_transactions", "stg_return_transactions", "stg_distributor_orders"} <= set(cat._stored)
 
 
+@pytest.mark.parametrize("name", ["target_by_region", "target_by_month"])
+def test_measures_of_revenue_need_no_distinct_counts(spark, name):
+    cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
+    found = queries.QUERIES[name](cat)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "distinct" not in plan
+    assert not {"mart_sales_vs_target", "fact_sales", "fact_targets"} & set(cat._stored)
+    mart = cat["mart_sales_vs_target"]
+    stored = queries.QUERIES[name](cat)
+    assert found.exceptAll(stored).isEmpty() and found.count() == stored.count() and mart.where("total_orders > 0").count()
+
+
 def test_an_input_that_is_stored_is_read_from_its_files(spark):
     cat = queries.BoundCatalog(spark, "/root/testdata/sf0.001")
     stored = cat["fact_sales"]

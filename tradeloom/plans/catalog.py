@@ -69,6 +69,10 @@ class Catalog(Mapping[str, DataFrame]):
             self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
         return self._stored[name]
 
+    def has(self, name: str) -> bool:
+        """Whether a table is stored already."""
+        return name in self._stored
+
     def folder_of(self, name: str) -> str:
         """Folder of a table's files, stored first if need be."""
         self[name]

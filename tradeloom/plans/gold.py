@@ -230,7 +230,7 @@ def mart_sales_vs_target(src: Tables) -> DataFrame:
         "target_new_customers",
     )
     actuals = employee_month_actuals(src["fact_sales"])
-    both = full_outer_coalesce(targets, actuals, {"employee_id": "employee_id", "month_date": "sales_month_date"})
+    both = full_outer_coalesce(targets, actuals, {"employee_id": "employee_id", "month_date": "sales_month_date"}, apart=("employee_id", "sales_month_date"))
 
     def or_zero(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
