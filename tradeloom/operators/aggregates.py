@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,9 +58,19 @@ def totals_with_distinct(
     )
 
 
+def totals_in_groups(df: DataFrame, by: Mapping[str, Column], *what) -> DataFrame:
+    """The same rows as ``totals_with_distinct``, for lines that come straight from their model, in no order.
+
+    Lines of a group are then scattered, so that neither sums nor pairs combine before a shuffle. They are brought
+    together once instead, in the columns needed, and everything follows within the group's task, where its lines are
+    sorted, on disk if need be.
+    """
+    return totals_in_buckets(df, by, *what, together=True)
+
+
 def totals_in_buckets(
     df: DataFrame, by: Mapping[str, Column], counted: tuple[str, str], also: tuple[str, str],
-    sums: Mapping[str, str], counts: Mapping[str, Column],
+    sums: Mapping[str, str], counts: Mapping[str, Column], together: bool = False,
 ) -> DataFrame:
     """The same rows as ``totals_with_distinct``, for a table bucketed by the first column that is counted.
 
@@ -73,6 +83,8 @@ def totals_in_buckets(
         *[c.alias(n) for n, c in by.items()], F.col(counted[0]).alias("_counted"), F.col(also[0]).alias("_also"),
         *[F.col(c).alias(f"_{n}") for n, c in sums.items()], *[c.alias(f"_{n}") for n, c in counts.items()],
     )
+    if together:
+        named = named.repartition(*by)
     combined = named.groupBy(*by, "_counted", "_also").agg(
         *[F.sum(f"_{n}").alias(n) for n in sums], *[F.count_if(f"_{n}").alias(n) for n in counts],
     )
@@ -85,12 +97,17 @@ def totals_in_buckets(
     )
 
 
-def employee_month_actuals(fact_sales: DataFrame, by_order: bool = False) -> DataFrame:
-    """Orders, customers and amounts per employee and month; ``by_order`` if the fact is bucketed by order.
+def _totals(by_order: bool, by_group: bool) -> Callable[..., DataFrame]:
+    return totals_in_buckets if by_order else totals_in_groups if by_group else totals_with_distinct
+
+
+def employee_month_actuals(fact_sales: DataFrame, by_order: bool = False, by_group: bool = False) -> DataFrame:
+    """Orders, customers and amounts per employee and month; ``by_order`` if the fact is bucketed by order, ``by_group`` if
+    its lines come in no order.
 
     Year and month follow from the month's first day and need not be shuffled.
     """
-    totals = (totals_in_buckets if by_order else totals_with_distinct)(
+    totals = _totals(by_order, by_group)(
         fact_sales,
         {"employee_id": F.col("employee_id"), "sales_month_date": month_start("order_date")},
         ("order_id", "total_orders"), ("customer_id", "active_customers"),
@@ -103,14 +120,16 @@ def employee_month_actuals(fact_sales: DataFrame, by_order: bool = False) -> Dat
     return totals.withColumn("sales_year", F.year("sales_month_date")).withColumn("sales_month", F.month("sales_month_date"))
 
 
-def distributor_month(fact_orders: DataFrame, dim_distributors: DataFrame, by_order: bool = False) -> DataFrame:
-    """Order, quantity and delivery totals per distributor, month, region and channel; ``by_order`` as above.
+def distributor_month(
+    fact_orders: DataFrame, dim_distributors: DataFrame, by_order: bool = False, by_group: bool = False
+) -> DataFrame:
+    """Order, quantity and delivery totals per distributor, month, region and channel; ``by_order`` and ``by_group`` as above.
 
     The distributor's attributes depend on its id alone, so they are joined to
     the finished aggregate instead of being carried through the shuffle.
     """
     on_time = F.col("calculated_on_time_delivery")
-    totals = (totals_in_buckets if by_order else totals_with_distinct)(
+    totals = _totals(by_order, by_group)(
         fact_orders,
         {
             "distributor_id": F.col("distributor_id"), "month_date": month_start("order_date"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.plans.gold import FACT_DATES, GOLD_MODELS, ORDER_DATES
 from tradeloom.plans.quality import observed, row_rules
-from tradeloom.plans.silver import SILVER_MODELS, SPECS, silver
+from tradeloom.plans.silver import SILVER_MODELS, SPECS, silver, silver_keys
 from tradeloom.sources.batches import commits, committed
 from tradeloom.sources.buckets import Buckets
 from tradeloom.sources.ingest import expected_bronze
@@ -106,6 +106,66 @@ class ReadOnce(Mapping[str, DataFrame]):
         return len(self._cat)
 
 
+# Columns that no two rows of a dimension share.
+UNIQUE = {"dim_customers": "customer_id", "dim_products": "product_id", "dim_distributors": "distributor_id"}
+
+# Silver tables whose rows are alike within an order.
+TOGETHER = {name: ("order_id",) for name in ORDER_DATES if name in SPECS}
+
+
+class Straight(Mapping[str, DataFrame]):
+    """A catalog's tables for one reader that passes once through the named ones, and from each to the next.
+
+    None of these is stored for it, at any depth, so that only the columns it needs are moved; one that is stored
+    already is read from its files. Dimensions come with their key declared: where nobody reads the column that a
+    lookup adds, Spark then leaves the lookup out, as it neither adds nor drops rows.
+    """
+
+    def __init__(self, cat: Catalog, names: Iterable[str], by_group: bool = False):
+        self._cat = cat
+        self.spark = cat.spark
+        self._names = frozenset(names)
+        #: Whether a mart brings the lines of a group together before it counts, as lines come in no order.
+        self.by_group = by_group
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in UNIQUE:
+            return self._cat[name].dropDuplicates([UNIQUE[name]])
+        if name not in self._names or self._cat.has(name):
+            return self._cat.once(name) if name.startswith("raw.") else self._cat[name]
+        return self.model(name)
+
+    def model(self, name: str) -> DataFrame:
+        """A model over these tables, also where its own table is stored."""
+        if name in TOGETHER:
+            return silver(SPECS[name], self[SPECS[name].source], together=TOGETHER[name])
+        return MODELS[name](self)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._cat)
+
+    def __len__(self) -> int:
+        return len(self._cat)
+
+
+class SilverKeys(Mapping[str, DataFrame]):
+    """The key columns of a catalog's Silver tables, straight from their sources unless a table is stored already."""
+
+    def __init__(self, cat: Catalog):
+        self._cat = cat
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in SPECS or self._cat.has(name):
+            return self._cat[name]
+        return silver_keys(SPECS[name], self._cat.once(SPECS[name].source))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SILVER_MODELS)
+
+    def __len__(self) -> int:
+        return len(SILVER_MODELS)
+
+
 class StoredTables(Mapping[str, DataFrame]):
     """The tables of a warehouse under the names the models use.
 

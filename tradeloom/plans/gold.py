@@ -229,7 +229,7 @@ def mart_sales_vs_target(src: Tables) -> DataFrame:
         "target_month", "region", "team", "version_label", "target_revenue", "target_quantity",
         "target_new_customers",
     )
-    actuals = employee_month_actuals(src["fact_sales"])
+    actuals = employee_month_actuals(src["fact_sales"], by_group=getattr(src, "by_group", False))
     both = full_outer_coalesce(targets, actuals, {"employee_id": "employee_id", "month_date": "sales_month_date"}, apart=("employee_id", "sales_month_date"))
 
     def or_zero(c: str) -> Column:
@@ -263,7 +263,9 @@ def mart_distributor_performance(src: Tables) -> DataFrame:
     On-time deliveries are set against all records with a delivery status, so
     undelivered records lower the rate.
     """
-    totals = distributor_month(src["fact_distributor_orders"], src["dim_distributors"])
+    totals = distributor_month(
+        src["fact_distributor_orders"], src["dim_distributors"], by_group=getattr(src, "by_group", False)
+    )
     return totals.select(
         "distributor_id", "distributor_name", "tier", "distributor_channel", "province", "distributor_region",
         "month_date", "year", "month", "order_region", "order_channel", "total_orders", "products_ordered",

@@ -6,7 +6,7 @@ plan model adds version resolution.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -109,19 +109,34 @@ SPECS = {
 }
 
 
-def silver(spec: SilverSpec, raw: DataFrame, permissive: bool = False) -> DataFrame:
+def silver(spec: SilverSpec, raw: DataFrame, permissive: bool = False, together: Sequence[str] = ()) -> DataFrame:
     """Valid keys, cleaned and typed columns, newest row per cleaned key.
 
     Strict by default: a malformed date or number fails the model. When
     ``permissive`` it becomes NULL; ``rejected_cells`` counts those.
     """
+    return dedupe_latest(_typed(spec, raw, permissive), spec.key, together=together)
+
+
+def _typed(spec: SilverSpec, raw: DataFrame, permissive: bool) -> DataFrame:
     def converted(name: str, kind: str) -> Column:
         return CONVERT[kind](F.col(spec.renamed.get(name, name)), permissive).alias(name)
 
-    typed = valid_keys(raw, spec.required).select(
+    return valid_keys(raw, spec.required).select(
         *[converted(name, kind) for name, kind in spec.columns.items()], *LINEAGE
     )
-    return dedupe_latest(typed, spec.key)
+
+
+def silver_keys(spec: SilverSpec, raw: DataFrame) -> DataFrame:
+    """The key columns of ``silver``, row by row, for readers of these alone.
+
+    Every cell is cleaned and typed, so that malformed text is an error here too. Cells beyond key and load time are
+    shuffled as one hash, which settles ties: whichever of the tied rows is kept, its key is the same.
+    """
+    typed = _typed(spec, raw, False)
+    others = [c for c in typed.columns if c not in spec.key and c != "_ingested_at"]
+    tied = typed.select(*spec.key, "_ingested_at", F.xxhash64(*others).alias("_others"))
+    return dedupe_latest(tied, spec.key).select(*spec.key)
 
 
 def rejected_cells(spec: SilverSpec, raw: DataFrame) -> DataFrame:

@@ -83,9 +83,12 @@ class Bindings:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
 
-    def _lines(self, orders: DataFrame | None = None, *more: dict[str, str]) -> DataFrame:
+    def _lines(self, orders: DataFrame | None = None, *more: dict[str, str], part: DataFrame | None = None) -> DataFrame:
         """Order lines with their order, with shifted dates. ``orders`` may bring what follows from an order's customer,
-        ``more`` names columns that follow from a line alone.
+        ``part`` what follows from a line's part, ``more`` names columns that follow from a line alone.
+
+        A part table too large to broadcast is joined before the orders: its exchange then moves the cells of a line,
+        not those of its order and customer, and the amounts are computed behind it.
 
         Both sides grow with the data, so they are always sort-merged; this also
         spreads the lines of a file that only one task can read. What follows from
@@ -98,6 +101,8 @@ class Bindings:
         amounts = {"gross": money("l_extendedprice"), "qty": money("l_quantity")}
         derived = {"price": f"cast(round(gross / qty, 2) as {MONEY})", "rebate": f"round(gross * {money('l_discount')}, 2)"}
         lines = self.table("lineitem")
+        if part is not None:
+            lines = lines.join(part, lines["l_partkey"] == part["p_partkey"], "left")
         for columns in (amounts, derived, *more):
             lines = lines.withColumns({name: F.expr(sql) for name, sql in columns.items()})
         return lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"])
@@ -111,9 +116,7 @@ class Bindings:
         )
 
     def sales_transactions(self) -> DataFrame:
-        part = self.table("part")
-        df = self._lines(self._orders_of_customers())
-        df = df.join(part, df["l_partkey"] == part["p_partkey"], "left")
+        df = self._lines(self._orders_of_customers(), part=self.table("part"))
         return df.selectExpr(
             f"{text('l_orderkey')} as order_id",
             f"{text('day')} as order_date",
@@ -153,11 +156,10 @@ class Bindings:
                 "filled": f"cast(round({rate}, 2) as {MONEY})",
                 "received": f"cast(round(coalesce({share}, 0), 2) as {MONEY})",
             },
+            part=part,
         )
-        df = (
-            df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
-            .join(places, supplier["s_nationkey"] == places["n_nationkey"], "left")
-            .join(part, df["l_partkey"] == part["p_partkey"], "left")
+        df = df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left").join(
+            places, supplier["s_nationkey"] == places["n_nationkey"], "left"
         )
         df = self._again(df, "l_orderkey % 50 = 0").withColumns(
             {

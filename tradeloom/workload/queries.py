@@ -13,7 +13,7 @@ from pyspark.sql.types import DecimalType
 from tradeloom import functions as X
 from tradeloom.operators import aggregates, columns, joins, keys, numbering, versions
 from tradeloom.plans import gold, measures, quality, silver
-from tradeloom.plans.catalog import Catalog, ReadOnce, order_layout, refresh_silver, silver_state, write_checked
+from tradeloom.plans.catalog import Catalog, ReadOnce, SilverKeys, Straight, order_layout, refresh_silver, silver_state, write_checked
 from tradeloom.plans.gold import FACT_DATES
 from tradeloom.session import new_folder
 from tradeloom.sources import batches, ingest, months, readers
@@ -67,6 +67,10 @@ class BoundCatalog(Catalog):
         return self._bucketed[name]
 
 
+# Tables of order lines up to the reader's last one, for queries that pass through them once.
+SALES = ("stg_sales_transactions", "fact_sales")
+DISTRIBUTOR_ORDERS = ("stg_distributor_orders", "fact_distributor_orders", "mart_distributor_performance")
+
 # Buckets of the order tables here: one for each 200 MB or so of the largest at the scale that is benchmarked, and then some.
 ORDER_BUCKETS = 16
 
@@ -1025,7 +1029,7 @@ def revenue_by_province(cat):
 @query
 def revenue_drilldown(cat):
     """Provinces, regions and the total of a drill-down, from one scan of the fact."""
-    return measures.revenue_levels(cat["fact_sales"])
+    return measures.revenue_levels(Straight(cat, SALES)["fact_sales"])
 
 
 @query
