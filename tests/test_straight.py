@@ -73,3 +73,8 @@ def test_straight_rows_are_compiled_by_the_jvm(spark, capsys, name):
 def test_revenue_drilldown(spark, tables, no_broadcast):
     found = text(stores_no_lines(spark, tables, "revenue_drilldown"))
     assert "cost_price#" in found and "_customer_id#" not in found  # costs are needed, customer keys are not
+
+
+def test_agg_filter_count(spark, tables, no_broadcast):
+    found = text(stores_no_lines(spark, tables, "agg_filter_count"))
+    assert "_product_id#" not in found and "_distributor_id#" not in found

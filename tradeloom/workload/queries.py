@@ -673,7 +673,7 @@ def agg_distributor_month_by_order(cat):
 @query
 def agg_filter_count(cat):
     flag = F.col("calculated_on_time_delivery")
-    return cat["fact_distributor_orders"].groupBy("channel").agg(
+    return Straight(cat, DISTRIBUTOR_ORDERS)["fact_distributor_orders"].groupBy("channel").agg(
         X.count_where(flag).alias("on_time"),
         X.count_where(~flag).alias("late"),
         X.count_where(flag.isNull()).alias("unknown"),
