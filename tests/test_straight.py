@@ -78,3 +78,7 @@ def test_revenue_drilldown(spark, tables, no_broadcast):
 def test_agg_filter_count(spark, tables, no_broadcast):
     found = text(stores_no_lines(spark, tables, "agg_filter_count"))
     assert "_product_id#" not in found and "_distributor_id#" not in found
+
+
+def test_join_full_outer(spark, tables):
+    stores_no_lines(spark, tables, "join_full_outer")

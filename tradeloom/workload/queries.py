@@ -637,7 +637,7 @@ def join_scd_asof_merge(cat):
 @query
 def join_full_outer(cat):
     """Sold and targeted revenue per employee and month, unmatched sides kept."""
-    sold = cat["stg_sales_transactions"].groupBy("employee_id", X.month_start("order_date").alias("month_date")).agg(
+    sold = Straight(cat, SALES)["stg_sales_transactions"].groupBy("employee_id", X.month_start("order_date").alias("month_date")).agg(
         F.sum("net_amount").alias("sold")
     )
     target = cat["stg_sales_targets_versioned"].where("is_latest").select(
