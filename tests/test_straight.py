@@ -82,3 +82,8 @@ def test_agg_filter_count(spark, tables, no_broadcast):
 
 def test_join_full_outer(spark, tables):
     stores_no_lines(spark, tables, "join_full_outer")
+
+
+@pytest.mark.parametrize("name", ["target_by_region", "target_by_month"])
+def test_targets(spark, tables, name):
+    stores_no_lines(spark, tables, name)

@@ -1038,10 +1038,9 @@ def revenue_margin_trend(cat):
 
 
 def sales_and_targets(cat: Catalog) -> DataFrame:
-    """The mart, for measures of its revenue. Unless it is stored, it comes straight from its model and so does the sales fact: Spark
-    then leaves out the distinct counts, and sums lines of sales as they are made."""
-    name = "mart_sales_vs_target"
-    return cat[name] if cat.has(name) else gold.GOLD_MODELS[name](ReadOnce(cat, FACT_DATES))
+    """The mart, for measures of its revenue. Unless it is stored, it comes straight from its model and so do the sales fact and
+    its Silver table: Spark then leaves out the distinct counts, and sums lines of sales as they are made."""
+    return Straight(cat, (*SALES, "fact_targets", "mart_sales_vs_target"))["mart_sales_vs_target"]
 
 
 @query
