@@ -87,3 +87,7 @@ def test_join_full_outer(spark, tables):
 @pytest.mark.parametrize("name", ["target_by_region", "target_by_month"])
 def test_targets(spark, tables, name):
     stores_no_lines(spark, tables, name)
+
+
+def test_kpi_sales_overview(spark, tables):
+    stores_no_lines(spark, tables, "kpi_sales_overview")

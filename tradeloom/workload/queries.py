@@ -964,7 +964,7 @@ def dq_rules_dirty(cat):
 
 @query
 def kpi_sales_overview(cat):
-    return measures.sales_overview(cat["mart_sales_vs_target"], ["year", "region"])
+    return measures.sales_overview(sales_and_targets(cat), ["year", "region"])
 
 
 @query
