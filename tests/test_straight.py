@@ -91,3 +91,7 @@ def test_targets(spark, tables, name):
 
 def test_kpi_sales_overview(spark, tables):
     stores_no_lines(spark, tables, "kpi_sales_overview")
+
+
+def test_key_customers(spark, tables):
+    stores_no_lines(spark, tables, "key_customers")

@@ -553,10 +553,15 @@ def _model(name: str) -> Query:
 for _name in silver.SILVER_MODELS:
     QUERIES["stg_targets_versioned" if _name == "stg_sales_targets_versioned" else _name] = _model(_name)
 for _name in gold.GOLD_MODELS:
-    if _name not in ("dim_date", "mart_sales_activity"):
+    if _name not in ("dim_date", "mart_sales_activity", "key_customers"):
         QUERIES[_name] = _model(_name)
 
 
+@query
+def key_customers(cat):
+    return Straight(cat, SALES).model("key_customers")
+
+
 @query
 def mart_sales_activity(cat):
     """The activity mart, its bitmaps as the numbers of members they hold."""
