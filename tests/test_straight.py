@@ -95,3 +95,8 @@ def test_kpi_sales_overview(spark, tables):
 
 def test_key_customers(spark, tables):
     stores_no_lines(spark, tables, "key_customers")
+
+
+def test_dq_fill_rate_bounds(spark, tables):
+    found = text(stores_no_lines(spark, tables, "dq_fill_rate_bounds"))
+    assert "Expand" not in found  # no distinct counts for a rate

@@ -867,7 +867,7 @@ for _name, _check in {
     "dq_missing_keys": lambda cat: quality.missing_keys(ReadOnce(cat, FACT_DATES)),
     "dq_latest_flag": quality.latest_flag_check,
     "dq_negative_target": quality.negative_target_check,
-    "dq_fill_rate_bounds": quality.fill_rate_check,
+    "dq_fill_rate_bounds": lambda cat: quality.fill_rate_check(Straight(cat, DISTRIBUTOR_ORDERS)),
 }.items():
     QUERIES[_name] = _check
 
