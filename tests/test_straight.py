@@ -100,3 +100,17 @@ def test_key_customers(spark, tables):
 def test_dq_fill_rate_bounds(spark, tables):
     found = text(stores_no_lines(spark, tables, "dq_fill_rate_bounds"))
     assert "Expand" not in found  # no distinct counts for a rate
+
+
+def test_distributor_action_priority(spark, tables):
+    found = stores_no_lines(spark, tables, "distributor_action_priority")
+    assert "FileScan" not in text(found)  # the mart is read once, its sums twice
+
+
+def test_priority_over_a_mart_of_its_own(spark):
+    rows = [("a", "A", 90, 10, 9, 1, 10), ("b", "B", 50, 10, 10, 9, 10), ("c", "C", 1, 1, 1, 0, 10), ("a", "A", 10, 10, 9, 1, 10), (None, None, 5, 1, 1, 1, 1)]
+    names = "total_delivered_amount total_qty_ordered total_qty_delivered on_time_delivery_count delivery_record_count"
+    mart = spark.createDataFrame(rows, "distributor_id string, distributor_name string, " + ", ".join(f"{n} int" for n in names.split()))
+    mart = mart.withColumns({n: F.col(n).cast("decimal(18,4)") for n in names.split()})
+    found = measures.distributor_priority(mart).collect()
+    assert [(r.distributor_id, float(r.delivered_revenue), float(r.on_time_delivery_rate_pct)) for r in found] == [("a", 100.0, 10.0)]

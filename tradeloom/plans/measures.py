@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions import month_start, safe_ratio
 from tradeloom.operators.aggregates import share_of_total, top_n
 from tradeloom.operators.bitmaps import roll_up
+from tradeloom.session import ensure_checkpoint_dir
 
 RANKED_EMPLOYEES = 10
 
@@ -191,15 +192,17 @@ def fulfilment_by(mart: DataFrame, by: Sequence[str]) -> DataFrame:
 def distributor_priority(mart: DataFrame) -> DataFrame:
     """Distributors to act on first: at least an average share of revenue, punctuality below the overall rate.
 
-    Both yardsticks come from one row of totals over the distributors' own sums, read as a scalar subquery.
+    Both yardsticks come from one row of totals over the distributors' own sums, read as a scalar subquery. The sums
+    are written once for both readers, so that a mart which comes straight from its model is made once.
     """
+    ensure_checkpoint_dir(mart.sparkSession)
     per_distributor = mart.groupBy("distributor_id", "distributor_name").agg(
         F.sum("total_delivered_amount").alias("delivered_revenue"),
         F.sum("total_qty_ordered").alias("qty_ordered"),
         F.sum("total_qty_delivered").alias("qty_delivered"),
         F.sum("on_time_delivery_count").alias("on_time_deliveries"),
         F.sum("delivery_record_count").alias("delivery_records"),
-    )
+    ).checkpoint()
     overall = per_distributor.agg(
         F.struct(
             F.sum("delivered_revenue").alias("revenue"),

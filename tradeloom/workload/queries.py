@@ -1075,7 +1075,7 @@ def late_by_channel(cat):
 
 @query
 def distributor_action_priority(cat):
-    return measures.distributor_priority(cat["mart_distributor_performance"])
+    return measures.distributor_priority(Straight(cat, DISTRIBUTOR_ORDERS)["mart_distributor_performance"])
 
 
 @query
