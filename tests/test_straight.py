@@ -114,3 +114,22 @@ def test_priority_over_a_mart_of_its_own(spark):
     mart = mart.withColumns({n: F.col(n).cast("decimal(18,4)") for n in names.split()})
     found = measures.distributor_priority(mart).collect()
     assert [(r.distributor_id, float(r.delivered_revenue), float(r.on_time_delivery_rate_pct)) for r in found] == [("a", 100.0, 10.0)]
+
+
+def test_mart_distributor_performance(spark, tables):
+    found = text(stores_no_lines(spark, tables, "mart_distributor_performance")).split("Initial Plan")[0]
+    assert "Expand" not in found
+
+
+def test_totals_within_groups(spark):
+    lines = spark.range(0, 6_000, 1, 4).selectExpr(
+        "if(id % 13 = 0, null, id % 5) as g", "date_add(date '2024-01-01', cast(id % 90 as int)) as d", "if(id % 17 = 0, null, id div 4) as o",
+        "if(id % 7 = 0, null, id % 50) as c", "if(id % 19 = 0, null, cast(id as decimal(18,4))) as v", "if(id % 3 = 0, null, id % 2 = 0) as f",
+    )
+    what = ({"g": F.col("g"), "m": F.trunc("d", "month")}, ("o", "orders"), ("c", "customers"), {"total": "v"}, {"flagged": F.col("f"), "rows": F.lit(True)})
+    plain, found = aggregates.totals_with_distinct(lines, *what), aggregates.totals_in_groups(lines, *what)
+    found = found.select(plain.columns)
+    assert found.dtypes == plain.dtypes and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty() and plain.count() == 18
+    assert text(found).split("Initial Plan")[0].count("Exchange") == 1
+    empty = aggregates.totals_in_groups(lines.where("g > 9"), *what)
+    assert empty.isEmpty()
