@@ -133,3 +133,8 @@ def test_totals_within_groups(spark):
     assert text(found).split("Initial Plan")[0].count("Exchange") == 1
     empty = aggregates.totals_in_groups(lines.where("g > 9"), *what)
     assert empty.isEmpty()
+
+
+def test_mart_sales_vs_target(spark, tables):
+    found = text(stores_no_lines(spark, tables, "mart_sales_vs_target")).split("Initial Plan")[0]
+    assert "Expand" not in found

@@ -553,10 +553,15 @@ def _model(name: str) -> Query:
 for _name in silver.SILVER_MODELS:
     QUERIES["stg_targets_versioned" if _name == "stg_sales_targets_versioned" else _name] = _model(_name)
 for _name in gold.GOLD_MODELS:
-    if _name not in ("dim_date", "mart_sales_activity", "key_customers", "mart_distributor_performance"):
+    if _name not in ("dim_date", "mart_sales_activity", "key_customers", "mart_sales_vs_target", "mart_distributor_performance"):
         QUERIES[_name] = _model(_name)
 
 
+@query
+def mart_sales_vs_target(cat):
+    return Straight(cat, (*SALES, "fact_targets"), by_group=not cat.has("fact_sales")).model("mart_sales_vs_target")
+
+
 @query
 def mart_distributor_performance(cat):
     straight = Straight(cat, DISTRIBUTOR_ORDERS, by_group=not cat.has("fact_distributor_orders"))
