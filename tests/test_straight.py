@@ -138,3 +138,8 @@ def test_totals_within_groups(spark):
 def test_mart_sales_vs_target(spark, tables):
     found = text(stores_no_lines(spark, tables, "mart_sales_vs_target")).split("Initial Plan")[0]
     assert "Expand" not in found
+
+
+def test_agg_employee_month(spark, tables):
+    found = text(stores_no_lines(spark, tables, "agg_employee_month")).split("Initial Plan")[0]
+    assert "Expand" not in found

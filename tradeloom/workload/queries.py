@@ -667,7 +667,7 @@ def join_full_outer(cat):
 
 @query
 def agg_employee_month(cat):
-    return aggregates.employee_month_actuals(cat["fact_sales"])
+    return aggregates.employee_month_actuals(Straight(cat, SALES)["fact_sales"], by_group=not cat.has("fact_sales"))
 
 
 @query
