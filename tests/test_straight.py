@@ -143,3 +143,32 @@ def test_mart_sales_vs_target(spark, tables):
 def test_agg_employee_month(spark, tables):
     found = text(stores_no_lines(spark, tables, "agg_employee_month")).split("Initial Plan")[0]
     assert "Expand" not in found
+
+
+def raw_customers(spark, *rows):
+    """Rows of (id, join date, credit limit, status, load time)."""
+    columns = silver.SPECS["stg_customers"].columns
+    given = spark.createDataFrame(rows, "customer_id string, join_date string, credit_limit string, status string, _ingested_at timestamp_ntz")
+    others = {c: F.lit(None).cast("string") for c in (*columns, "_source_file", "_source_platform", "_batch_id") if c not in given.columns}
+    return given.withColumns(others)
+
+
+def test_keys_are_those_of_the_model(spark):
+    from datetime import datetime
+
+    first, then = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    spec, good = silver.SPECS["stg_customers"], [
+        ("1", "2024-01-01", "5", "x", first), (" 1 ", "2024-01-01", "5", "y", first), ("1", None, None, None, then), ("2", None, "7", "x", None),
+        ("2", None, "7", "x", None), ("nan", None, None, "x", first), (None, None, None, "x", first), ("", None, None, "x", first), ("3", None, None, None, then),
+    ]
+    raw = raw_customers(spark, *good)
+    found = silver.silver_keys(spec, raw)
+    assert sorted(found.collect()) == sorted(silver.silver(spec, raw).select("customer_id").collect()) == [("1",), ("2",), ("3",)]
+    assert text(found).split("Initial Plan")[0].count("Exchange") == 1
+    for bad in (("4", "no date", None, None, first), ("4", None, "1.23456", None, first)):
+        with pytest.raises(Exception, match="date|decimals"):  # a cell beyond the key is still read
+            silver.silver_keys(spec, raw_customers(spark, bad)).collect()
+
+
+def test_dq_silver_not_null(spark, tables):
+    stores_no_lines(spark, tables, "dq_silver_not_null")
