@@ -172,3 +172,15 @@ def test_keys_are_those_of_the_model(spark):
 
 def test_dq_silver_not_null(spark, tables):
     stores_no_lines(spark, tables, "dq_silver_not_null")
+
+
+def test_rows_that_break_the_rules(spark):
+    df = spark.createDataFrame([("13", 1), ("25", 2), ("7", 3), (None, 4), ("5", None)], "k string, v int")
+    dirty = queries.DirtyTables({"t": df, "u": df}, {"t": ("k",)})
+    expected = [("13", 1), ("13", 1), ("25", 2), (None, 2), ("7", 3), (None, 4), ("5", None), (None, None)]
+    assert sorted(dirty["t"].collect(), key=str) == sorted(expected, key=str)
+    assert dirty["t"].columns == df.columns and dirty["u"] is df and text(dirty["t"]).count("Scan") == 1
+
+
+def test_dq_silver_not_null_dirty(spark, tables):
+    stores_no_lines(spark, tables, "dq_silver_not_null_dirty")
