@@ -188,3 +188,7 @@ def test_dq_silver_not_null_dirty(spark, tables):
 
 def test_dq_silver_unique(spark, tables):
     stores_no_lines(spark, tables, "dq_silver_unique")
+
+
+def test_dq_silver_unique_dirty(spark, tables):
+    stores_no_lines(spark, tables, "dq_silver_unique_dirty")
