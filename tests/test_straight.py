@@ -192,3 +192,8 @@ def test_dq_silver_unique(spark, tables):
 
 def test_dq_silver_unique_dirty(spark, tables):
     stores_no_lines(spark, tables, "dq_silver_unique_dirty")
+
+
+def test_profile_key_nulls(spark, tables, no_broadcast):
+    found = text(stores_no_lines(spark, tables, "profile_key_nulls"))
+    assert "l_extendedprice" not in found

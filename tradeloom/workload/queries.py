@@ -19,7 +19,7 @@ from tradeloom.session import new_folder
 from tradeloom.sources import batches, ingest, months, readers
 from tradeloom.sources.buckets import Buckets
 from tradeloom.sources.keymap import KeyMaps
-from tradeloom.sources.specs import SOURCES
+from tradeloom.sources.specs import PROFILED, SOURCES
 from tradeloom.sources.warehouse import Warehouse
 from tradeloom.workload.bindings import Bindings
 
@@ -845,7 +845,7 @@ def profile_tables(cat):
 
 @query
 def profile_key_nulls(cat):
-    return quality.profile_all_key_nulls(cat)
+    return quality.profile_all_key_nulls(ReadOnce(cat, [f"raw.{t}" for t in PROFILED]))
 
 
 @query
