@@ -197,3 +197,8 @@ def test_dq_silver_unique_dirty(spark, tables):
 def test_profile_key_nulls(spark, tables, no_broadcast):
     found = text(stores_no_lines(spark, tables, "profile_key_nulls"))
     assert "l_extendedprice" not in found
+
+
+def test_bronze_row_counts(spark, tables, no_broadcast):
+    found = text(stores_no_lines(spark, tables, "bronze_row_counts"))
+    assert "l_extendedprice" not in found and "p_type" not in found
