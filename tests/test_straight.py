@@ -202,3 +202,10 @@ def test_profile_key_nulls(spark, tables, no_broadcast):
 def test_bronze_row_counts(spark, tables, no_broadcast):
     found = text(stores_no_lines(spark, tables, "bronze_row_counts"))
     assert "l_extendedprice" not in found and "p_type" not in found
+
+
+@pytest.mark.parametrize("source", ["sales_transactions", "distributor_orders"])
+def test_price_and_rebate_are_not_shuffled(spark, no_broadcast, source):
+    found = text(queries.Bindings(spark, FOLDER).sources()[f"raw.{source}"]())
+    moved = re.findall(r"Exchange hashpartitioning\(l_orderkey#[^\n]*\n[^\n]*Project \[([^\n]*)\]", found)
+    assert moved and not any(re.search(r"AS (price|rebate)#", cells) for cells in moved)
