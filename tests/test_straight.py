@@ -209,3 +209,13 @@ def test_price_and_rebate_are_not_shuffled(spark, no_broadcast, source):
     found = text(queries.Bindings(spark, FOLDER).sources()[f"raw.{source}"]())
     moved = re.findall(r"Exchange hashpartitioning\(l_orderkey#[^\n]*\n[^\n]*Project \[([^\n]*)\]", found)
     assert moved and not any(re.search(r"AS (price|rebate)#", cells) for cells in moved)
+
+
+def test_dq_gold_row_counts(spark, tables):
+    """Facts and marts are counted as they are made; dimensions row by row."""
+    stores_no_lines(spark, tables, "dq_gold_row_counts")
+    cat = queries.BoundCatalog(spark, FOLDER)
+    twice = cat["dim_customers"].unionByName(cat["dim_customers"])
+    cat._stored["dim_customers"] = twice
+    counted = {r.test_name: r.value for r in queries.QUERIES["dq_gold_row_counts"](cat).collect()}
+    assert counted["dim_customers row count"] == twice.count()
