@@ -219,3 +219,7 @@ def test_dq_gold_row_counts(spark, tables):
     cat._stored["dim_customers"] = twice
     counted = {r.test_name: r.value for r in queries.QUERIES["dq_gold_row_counts"](cat).collect()}
     assert counted["dim_customers row count"] == twice.count()
+
+
+def test_dq_on_write(spark, tables):
+    stores_no_lines(spark, tables, "dq_on_write")
