@@ -223,3 +223,8 @@ def test_dq_gold_row_counts(spark, tables):
 
 def test_dq_on_write(spark, tables):
     stores_no_lines(spark, tables, "dq_on_write")
+
+
+@pytest.mark.parametrize("name", ["agg_distributor_month_by_order", "dq_order_keys_by_bucket"])
+def test_tables_go_to_their_buckets_from_their_models(spark, tables, name):
+    stores_no_lines(spark, tables, name)
